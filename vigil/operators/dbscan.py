@@ -64,6 +64,11 @@ def _box_box_max2(d, alo, ahi, blo, bhi):
                 for i in range(d))
 
 
+def _log(msg: str) -> None:
+    import logging
+    logging.getLogger("vigil").info(msg)
+
+
 def _ren(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
 
@@ -125,7 +130,8 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
     A = [f"a{i}" for i in range(d)]
     B = [f"b{i}" for i in range(d)]
 
-    pts = grid_points(matrix, cols, eps, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    # one reliable write of (id, features, cell): every later step reads it
+    pts = _cut(grid_points(matrix, cols, eps, id_col))
     cells = cell_table(pts, d).persist(StorageLevel.MEMORY_AND_DISK)
     pairs = cell_pairs(cells, d, eps).persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -197,7 +203,9 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
              .distinct())
     edges = _cut(edges)
     lab = _cut(core_cells.select(F.col("cid"), F.col("minpid").alias("label")))
+    iterations = 0
     for _ in range(10000):
+        iterations += 1
         nb = (edges.join(lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("nl")), "cid_b")
               .groupBy("cid_a").agg(F.min("nl").alias("nl")))
         new = (lab.join(nb, lab["cid"] == nb["cid_a"], "left")
@@ -208,6 +216,7 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
         lab = new
         if changed == 0:
             break
+    _log(f"dbscan: {iterations} label rounds")
     # cluster number = rank of the component's least core user id (components ≤ cells)
     comp = lab.select("label").distinct()
     comp = comp.withColumn("cluster", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int"))
