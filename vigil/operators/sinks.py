@@ -82,8 +82,8 @@ class VersionedTable:
     def commit(self, df: DataFrame, batch_id: int | None = None, partition_by: list[str] | None = None) -> int:
         """Write ``df`` as the next version; returns the version (or the current one when skipped)."""
         v, last = self.state()
-        if batch_id is not None and batch_id <= last:
-            return v
+        if batch_id is not None and 0 <= batch_id <= last:
+            return v  # replayed micro-batch: already applied
         nv = v + 1
         w = df.write.mode("overwrite")
         if partition_by:
