@@ -75,7 +75,8 @@ def _ren(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def _cut(df: DataFrame) -> DataFrame:
     """Cut lineage in iterative steps (reliable checkpoint under spark.checkpoint.dir)."""
-    return df.checkpoint(eager=True)
+    from ..session import checkpoint
+    return checkpoint(df)
 
 
 def grid_points(matrix: DataFrame, cols: list[str], eps: float, id_col: str) -> DataFrame:
@@ -111,6 +112,10 @@ def cell_pairs(cells: DataFrame, d: int, eps: float) -> DataFrame:
         gap = F.greatest(F.abs(F.col("_o")) - F.lit(1), F.lit(0)).cast("double") * F.lit(side)
         a = (a.withColumn("_cost", F.col("_cost") + gap * gap).filter(F.col("_cost") <= F.lit(eps2))
              .withColumn(f"b{i}", F.col(f"a{i}") + F.col("_o")).drop("_o"))
+        # keep only neighbour-key prefixes that some occupied cell has: the
+        # candidate set never grows past (cells × occupied prefixes in reach)
+        prefix = cells.select(*[F.col(f"k{j}").alias(f"b{j}") for j in range(i + 1)]).distinct()
+        a = a.join(prefix, [f"b{j}" for j in range(i + 1)], "left_semi")
     b = cells.select(*[F.col(f"k{i}").alias(f"b{i}") for i in range(d)],
                      *[F.col(f"lo{i}").alias(f"blo{i}") for i in range(d)],
                      *[F.col(f"hi{i}").alias(f"bhi{i}") for i in range(d)], F.col("n").alias("nb"))
@@ -118,6 +123,22 @@ def cell_pairs(cells: DataFrame, d: int, eps: float) -> DataFrame:
     return j.filter(_box_box_min2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2))
 
 
+def _propagate(lab: DataFrame, edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
+    """Min-label propagation over a (small, grid-bounded) cell graph until stable."""
+    for rounds in range(1, max_rounds + 1):
+        nb = (edges.join(lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("nl")), "cid_b")
+              .groupBy("cid_a").agg(F.min("nl").alias("nl")))
+        new = _cut(lab.join(nb, lab["cid"] == nb["cid_a"], "left")
+                   .select("cid", F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("label")))
+        changed = (new.join(lab.select("cid", F.col("label").alias("old")), "cid")
+                   .filter(F.col("label") != F.col("old")).limit(1).count())
+        lab = new
+        if changed == 0:
+            _log(f"dbscan: {rounds} label rounds")
+            return lab
+    raise RuntimeError("label propagation did not converge")
+
+
 def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSCAN_EPS,
            min_samples: int = C.DBSCAN_MIN_SAMPLES, id_col: str = "user_id_raiz",
            labels: bool = True) -> DataFrame:
@@ -156,6 +177,7 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
                .withColumn("is_core", (F.col("n") >= min_samples) | F.coalesce(F.col("sp_core"), F.lit(False)))
                .drop("n", "sp_core")).persist(StorageLevel.MEMORY_AND_DISK)
 
+    _log("dbscan: grid built")
     core_pts = flagged.filter("is_core")
     noncore = flagged.filter(~F.col("is_core"))
 
@@ -193,30 +215,31 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
     pa = _ren(core_pts.drop("is_core"), {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"x{i}": f"p{i}" for i in range(d)}})
     pb = _ren(core_pts.drop("is_core"), {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"x{i}": f"q{i}" for i in range(d)},
                                          "pid": "qid"})
-    checked = (unsure.select("cid_a", "cid_b", *A, *B, *[f"blo{i}" for i in range(d)], *[f"bhi{i}" for i in range(d)])
-               .join(pa, A).filter(_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2))
-               .select("cid_a", "cid_b", "pid", *[f"p{i}" for i in range(d)], *B)
-               .join(pb, B).filter(_pt_dist2(d, "p", "q") <= F.lit(eps2))
-               .select("cid_a", "cid_b").distinct())
-    edges = (edges_sure.unionByName(checked)
-             .unionByName(checked.select(F.col("cid_b").alias("cid_a"), F.col("cid_a").alias("cid_b")))
-             .distinct())
-    edges = _cut(edges)
-    lab = _cut(core_cells.select(F.col("cid"), F.col("minpid").alias("label")))
-    iterations = 0
-    for _ in range(10000):
-        iterations += 1
-        nb = (edges.join(lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("nl")), "cid_b")
-              .groupBy("cid_a").agg(F.min("nl").alias("nl")))
-        new = (lab.join(nb, lab["cid"] == nb["cid_a"], "left")
-               .select("cid", F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("label")))
-        new = _cut(new)
-        changed = (new.join(lab.select("cid", F.col("label").alias("old")), "cid")
-                   .filter(F.col("label") != F.col("old")).limit(1).count())
-        lab = new
-        if changed == 0:
-            break
-    _log(f"dbscan: {iterations} label rounds")
+    _log("dbscan: core flags and unsure pairs planned")
+    # 1) components over edges that need no pair work
+    lab = _propagate(_cut(core_cells.select(F.col("cid"), F.col("minpid").alias("label"))),
+                     _cut(edges_sure))
+    # 2) only unsure pairs that still join two different components matter
+    la = lab.select(F.col("cid").alias("cid_a"), F.col("label").alias("la"))
+    lb = lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("lb"))
+    open_pairs = unsure.join(la, "cid_a").join(lb, "cid_b").filter(F.col("la") != F.col("lb")).drop("la", "lb")
+    near_a = (open_pairs.select("cid_a", "cid_b", *A, *B, *[f"blo{i}" for i in range(d)],
+                                *[f"bhi{i}" for i in range(d)])
+              .join(pa, A).filter(_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2)))
+    near_a = _cut(near_a)
+    # a point within eps of the whole core box of b settles the pair without pair work
+    by_box = near_a.filter(_pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)).select("cid_a", "cid_b").distinct()
+    rest = near_a.join(by_box, ["cid_a", "cid_b"], "left_anti").select(
+        "cid_a", "cid_b", *[f"p{i}" for i in range(d)], *B)
+    # existence only: a left-semi join stops at the first core neighbour of each point
+    cond = [rest[f"b{i}"] == pb[f"b{i}"] for i in range(d)] + [
+        _sum(_sq(rest[f"p{i}"] - pb[f"q{i}"]) for i in range(d)) <= F.lit(eps2)]
+    by_pair = rest.join(pb, cond, "left_semi").select("cid_a", "cid_b").distinct()
+    extra = _cut(by_box.unionByName(by_pair).distinct())
+    _log("dbscan: open pairs checked")
+    if extra.limit(1).count() > 0:
+        both = extra.unionByName(extra.select(F.col("cid_b").alias("cid_a"), F.col("cid_a").alias("cid_b")))
+        lab = _propagate(lab, _cut(edges_sure.unionByName(both).distinct()))
     # cluster number = rank of the component's least core user id (components ≤ cells)
     comp = lab.select("label").distinct()
     comp = comp.withColumn("cluster", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int"))

@@ -99,7 +99,8 @@ def fit_predict(features: DataFrame, n_clusters: int = C.KMEANS_K,
     if not (C.N_CLUSTERS_MIN <= n_clusters <= C.N_CLUSTERS_MAX):
         raise ValueError(f"n_clusters must be in {C.N_CLUSTERS_MIN}..{C.N_CLUSTERS_MAX}")
     cols = C.FEATURE_COLUMNS
-    matrix = FT.prepare_matrix(features, id_col, cols).checkpoint(eager=True)
+    from ..session import checkpoint
+    matrix = checkpoint(FT.prepare_matrix(features, id_col, cols))
 
     centers, _cost = KM.fit_kmeans(matrix, k=n_clusters, restarts=restarts)
     risk_idx = KM.risk_cluster(centers)

@@ -23,7 +23,8 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
     if how == "cache":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if how == "checkpoint":
-        return df.checkpoint(eager=True)
+        from ..session import checkpoint
+        return checkpoint(df)
     return df
 
 
@@ -101,9 +102,13 @@ def raw_kpis(src: SourceTables, as_of: str) -> DataFrame:
 def run_transformation(src: SourceTables, as_of: str, skip_nlp: bool = False,
                        scorer=None, resolve_ids: bool = True,
                        negativity: DataFrame | None = None,
-                       materialize_kpis: str | None = None) -> DataFrame:
+                       materialize_kpis: str | None = "checkpoint") -> DataFrame:
     """M3: extract → KPIs → (M17) → M2 → P8.
 
+    The KPI frame is read twice (global min/max, then the scaled output), so
+    it is materialized once (default: reliable checkpoint) instead of
+    re-running every extract join for each pass.
+
     ``negativity`` may be given directly as (user_id, sentiment_negativity_index);
     otherwise it is computed with ``scorer`` unless ``skip_nlp``.
     """

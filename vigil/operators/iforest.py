@@ -159,7 +159,8 @@ def predict(matrix: DataFrame, model: dict, contamination: float = C.IFOREST_CON
     if not (C.CONTAMINATION_MIN <= contamination <= C.CONTAMINATION_MAX):
         raise ValueError(f"contamination must be in {C.CONTAMINATION_MIN}..{C.CONTAMINATION_MAX}")
     scored = matrix.withColumn("_raw", -score_column(model))
-    scored = scored.checkpoint(eager=True)  # the UDF runs once; percentile and output reuse it
+    from ..session import checkpoint
+    scored = checkpoint(scored)  # the UDF runs once; percentile and output reuse it
     offset = stats.exact_percentile(scored, "_raw", contamination)
     out = (scored.withColumn("iso_score", F.col("_raw") - F.lit(offset)).drop("_raw")
            .withColumn("iso_prediction", F.when(F.col("iso_score") < 0, F.lit(-1)).otherwise(F.lit(1)))

@@ -67,11 +67,21 @@ def fit_kmeans(matrix: DataFrame, k: int = C.KMEANS_K, seed: int = C.KMEANS_SEED
     if not (C.N_CLUSTERS_MIN <= k <= C.N_CLUSTERS_MAX):
         raise ValueError(f"k must be in {C.N_CLUSTERS_MIN}..{C.N_CLUSTERS_MAX}")
     cols = cols or C.FEATURE_COLUMNS
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import StorageLevel
+
     vec = VectorAssembler(inputCols=cols, outputCol="_features").transform(matrix.select(*cols))
-    best = None
-    for r in range(restarts):
+    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def one(r: int):
         model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="_features").fit(vec)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = ([list(map(float, c)) for c in model.clusterCenters()], cost)
-    return best
+        return ([list(map(float, c)) for c in model.clusterCenters()], model.summary.trainingCost, r)
+
+    # restarts are independent jobs: submit them concurrently (the scheduler
+    # interleaves their tasks); the least cost wins, ties to the lower seed
+    with ThreadPoolExecutor(max_workers=min(restarts, 4)) as pool:
+        runs = list(pool.map(one, range(restarts)))
+    vec.unpersist()
+    centers, cost, _ = min(runs, key=lambda t: (t[1], t[2]))
+    return centers, cost

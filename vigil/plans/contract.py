@@ -37,8 +37,18 @@ def register(name: str, sql: str | None):
     return deco
 
 
+_SOURCES: dict[tuple[int, str], SourceTables] = {}
+
+
 def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
-    return SourceTables.from_fixtures(spark, sf_dir)
+    """Fixture sources, built once per session and folder (lazy plans, no data cached)."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _SOURCES:
+        _SOURCES[key] = SourceTables.from_fixtures(spark, sf_dir)
+    return _SOURCES[key]
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ CENTERS = [
 def ensemble_features(src):
     kp = FT.raw_kpis(src, AS_OF).withColumn(
         "sentiment_negativity_index", ((F.col("profile_id_social") * 7919) % 1000) / F.lit(1000.0))
-    return FT.select_final_columns(FT.normalize_features(kp))
+    return FT.select_final_columns(FT.normalize_features(FT.materialize(kp, "checkpoint")))
 
 
 def ensemble_matrix(spark, sf_dir):
