@@ -34,19 +34,30 @@ TOKEN_PATTERN = "[a-z]+"
 
 
 def _blank_guard(text: F.Column) -> F.Column:
-    """Missing, or fewer than 3 characters after Python-style strip."""
-    return text.isNull() | (F.length(X.py_strip(text)) < C.TEXT_MIN_STRIPPED)
+    """Missing, or fewer than 3 characters after Python-style strip.
+
+    Written as one anchored match with possessive quantifiers (whitespace*,
+    at most two non-space characters, whitespace*), so a long text is
+    rejected after its first few characters instead of being stripped.
+    """
+    ws = X.py_whitespace_class()
+    nws = "[^" + ws[1:]
+    return text.isNull() | text.rlike(f"^{ws}*+(?:{nws}{{1,{C.TEXT_MIN_STRIPPED - 1}}})?{ws}*+$")
 
 
 def lexicon_score(text, lexicon: list[str] | None = None, max_chars: int | None = None) -> F.Column:
-    """M15 (lexicon form): share of lower-case ASCII word tokens found in the lexicon."""
+    """M15 (lexicon form): share of lower-case ASCII word tokens found in the lexicon.
+
+    Tokens are maximal ``[a-z]+`` runs of the lower-cased text; hits are
+    lexicon words matched as whole tokens. Both are regex counts, so no
+    per-text token array is built.
+    """
     lexicon = lexicon or C.NEGATIVE_LEXICON
     t = X.col(text)
-    body = F.substring(t, 1, max_chars) if max_chars else t
-    tokens = F.regexp_extract_all(F.lower(body), F.lit(TOKEN_PATTERN), 0)
-    lex = F.array(*[F.lit(w) for w in lexicon])
-    hits = F.size(F.filter(tokens, lambda w: F.array_contains(lex, w)))
-    n = F.size(tokens)
+    body = F.lower(F.substring(t, 1, max_chars) if max_chars else t)
+    n = F.regexp_count(body, F.lit(TOKEN_PATTERN))
+    words = "|".join(lexicon)
+    hits = F.regexp_count(body, F.lit(f"(?<![a-z])(?:{words})(?![a-z])"))
     return (F.when(_blank_guard(t) | (n == 0), F.lit(0.0))
             .otherwise(hits.cast("double") / n.cast("double")))
 
