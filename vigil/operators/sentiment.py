@@ -176,7 +176,7 @@ def model_adapter(model_factory: Callable[[], Callable[[list[str]], list[float]]
 class TrainedScorer:
     """spark.ml text classifier fitted on labelled texts (label 1 = negative)."""
 
-    def __init__(self, num_features: int = 1 << 18, reg_param: float = 0.01, max_iter: int = 50):
+    def __init__(self, num_features: int = 1 << 16, reg_param: float = 0.01, max_iter: int = 30):
         self.num_features = num_features
         self.reg_param = reg_param
         self.max_iter = max_iter

@@ -290,3 +290,15 @@ def q_scatter_series(spark, sf_dir):
 @register("feature_count", O.q(final="select count(*) as total_records from user_feature_vector"))
 def q_feature_count(spark, sf_dir):
     return finish(R.feature_count(feature_table(spark, sf_dir)))
+
+
+@register("text_scores_trained", None)
+def q_text_scores_trained(spark, sf_dir):
+    """X2(b): spark.ml classifier fitted on labelled documents, scoring every text."""
+    src = sources(spark, sf_dir)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    train = docs.join(labels, "doc_id").select("text", F.col("toxic").alias("label"))
+    scorer = S.TrainedScorer().fit(train, "text", "label")
+    texts = E.text_corpus(src, resolve_ids=True)
+    return finish(S.score_texts(texts, scorer).select("user_id", "source", "score"))

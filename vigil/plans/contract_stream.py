@@ -407,3 +407,26 @@ def q_snapshot_changes(spark, sf_dir):
 def q_change_payload_fields(spark, sf_dir):
     d = snapshots(spark, sf_dir)
     return finish(d.groupBy("operation", "field_changed").agg(F.count(F.lit(1)).alias("n_changes")))
+
+
+@register("changes_per_window_stream", O.q(PC, final=f"""select {O.ts("date_trunc('hour', event_time)")} as window_start,
+  {O.ts("date_trunc('hour', event_time) + interval 1 hour")} as window_end, tbl as "table", count(*) as n_changes
+  from pv where event_time is not null group by date_trunc('hour', event_time), tbl"""))
+def q_changes_per_window_stream(spark, sf_dir):
+    """T9 as a real stream: watermark + dedupe within it + tumbling-window counts."""
+    base = scratch_path(spark, "windows")
+    ev = sources(spark, sf_dir).frames["change_events"].select(
+        "event_id", "source", "channel", F.col("received_at").cast("timestamp").alias("received_at"), "payload")
+    ev.write.parquet(f"{base}/in")
+    parsed = CH.parse_changes(CH.change_stream(spark, f"{base}/in"))
+    counts = PL.windowed_change_counts(parsed.filter(F.col("event_time").isNotNull()))
+    out = f"{base}/out"
+
+    def write(batch, batch_id):
+        # complete mode: each batch carries every window; the newest batch wins
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return finish(spark.read.parquet(out))
