@@ -123,8 +123,41 @@ def cell_pairs(cells: DataFrame, d: int, eps: float) -> DataFrame:
     return j.filter(_box_box_min2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2))
 
 
+DRIVER_EDGE_LIMIT = 200_000
+
+
+def _components(lab: DataFrame, edges: DataFrame) -> DataFrame:
+    """Min label per connected component of the core-cell graph.
+
+    The graph is bounded by the grid, not the data. When its edge list is
+    within ``DRIVER_EDGE_LIMIT`` rows (checked with a count), union-find on
+    the driver does it in one pass; beyond that, distributed propagation.
+    """
+    if edges.count() > DRIVER_EDGE_LIMIT:
+        return _propagate(lab, edges)
+    nodes = {r["cid"]: r["label"] for r in lab.collect()}
+    parent = {c: c for c in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for r in edges.collect():
+        ra, rb = find(r["cid_a"]), find(r["cid_b"])
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    best: dict[int, int] = {}
+    for c, lbl in nodes.items():
+        root = find(c)
+        best[root] = min(best.get(root, lbl), lbl)
+    rows = [(c, best[find(c)]) for c in nodes]
+    return lab.sparkSession.createDataFrame(rows, "cid long, label long")
+
+
 def _propagate(lab: DataFrame, edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
-    """Min-label propagation over a (small, grid-bounded) cell graph until stable."""
+    """Min-label propagation over the cell graph until stable (checkpointed rounds)."""
     for rounds in range(1, max_rounds + 1):
         nb = (edges.join(lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("nl")), "cid_b")
               .groupBy("cid_a").agg(F.min("nl").alias("nl")))
@@ -217,8 +250,8 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
                                          "pid": "qid"})
     _log("dbscan: core flags and unsure pairs planned")
     # 1) components over edges that need no pair work
-    lab = _propagate(_cut(core_cells.select(F.col("cid"), F.col("minpid").alias("label"))),
-                     _cut(edges_sure))
+    lab = _components(core_cells.select(F.col("cid").cast("long"), F.col("minpid").cast("long").alias("label")),
+                      _cut(edges_sure))
     # 2) only unsure pairs that still join two different components matter
     la = lab.select(F.col("cid").alias("cid_a"), F.col("label").alias("la"))
     lb = lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("lb"))
@@ -239,7 +272,7 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
     _log("dbscan: open pairs checked")
     if extra.limit(1).count() > 0:
         both = extra.unionByName(extra.select(F.col("cid_b").alias("cid_a"), F.col("cid_a").alias("cid_b")))
-        lab = _propagate(lab, _cut(edges_sure.unionByName(both).distinct()))
+        lab = _components(lab, _cut(edges_sure.unionByName(both).distinct()))
     # cluster number = rank of the component's least core user id (components ≤ cells)
     comp = lab.select("label").distinct()
     comp = comp.withColumn("cluster", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int"))

@@ -80,7 +80,7 @@ def fit_kmeans(matrix: DataFrame, k: int = C.KMEANS_K, seed: int = C.KMEANS_SEED
 
     # restarts are independent jobs: submit them concurrently (the scheduler
     # interleaves their tasks); the least cost wins, ties to the lower seed
-    with ThreadPoolExecutor(max_workers=min(restarts, 4)) as pool:
+    with ThreadPoolExecutor(max_workers=restarts) as pool:
         runs = list(pool.map(one, range(restarts)))
     vec.unpersist()
     centers, cost, _ = min(runs, key=lambda t: (t[1], t[2]))
