@@ -94,12 +94,14 @@ def cell_table(pts: DataFrame, d: int) -> DataFrame:
                                *[F.max(f"x{i}").alias(f"hi{i}") for i in range(d)])
 
 
-def cell_pairs(cells: DataFrame, d: int, eps: float) -> DataFrame:
-    """Ordered pairs (a, b) of occupied cells whose boxes are within eps (incl. a = b).
+def cell_pairs(cells: DataFrame, d: int, eps: float, targets: DataFrame | None = None) -> DataFrame:
+    """Ordered pairs (a, b) of occupied cells whose boxes are within eps (incl. a = b);
+    b ranges over ``targets`` (default: the same cells).
 
     Neighbour keys are generated by exploding per-axis offsets with a running
     lower bound on the distance, then equi-joined to the occupied cells.
     """
+    targets = cells if targets is None else targets
     side = eps / math.sqrt(d)
     reach = math.ceil(eps / side)
     eps2 = eps * eps + TOL
@@ -114,9 +116,9 @@ def cell_pairs(cells: DataFrame, d: int, eps: float) -> DataFrame:
              .withColumn(f"b{i}", F.col(f"a{i}") + F.col("_o")).drop("_o"))
         # keep only neighbour-key prefixes that some occupied cell has: the
         # candidate set never grows past (cells × occupied prefixes in reach)
-        prefix = cells.select(*[F.col(f"k{j}").alias(f"b{j}") for j in range(i + 1)]).distinct()
+        prefix = targets.select(*[F.col(f"k{j}").alias(f"b{j}") for j in range(i + 1)]).distinct()
         a = a.join(prefix, [f"b{j}" for j in range(i + 1)], "left_semi")
-    b = cells.select(*[F.col(f"k{i}").alias(f"b{i}") for i in range(d)],
+    b = targets.select(*[F.col(f"k{i}").alias(f"b{i}") for i in range(d)],
                      *[F.col(f"lo{i}").alias(f"blo{i}") for i in range(d)],
                      *[F.col(f"hi{i}").alias(f"bhi{i}") for i in range(d)], F.col("n").alias("nb"))
     j = a.drop("_cost").join(b, [f"b{i}" for i in range(d)], "inner")
@@ -290,3 +292,42 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
            .select(F.col("pid").alias(id_col), "is_core",
                    F.coalesce(F.col("cluster"), F.col("bcl"), F.lit(-1)).cast("int").alias("dbscan_cluster")))
     return out.withColumn("vote_dbscan", (F.col("dbscan_cluster") == -1).cast("int"))
+
+
+def assign_to_fit(points: DataFrame, core: DataFrame, cols: list[str] | None = None,
+                  eps: float = C.DBSCAN_EPS, id_col: str = "user_id_raiz") -> DataFrame:
+    """Label new rows against a fitted model's core points.
+
+    ``core`` has the fitted core rows (features + dbscan_cluster). A new row
+    takes the least cluster among fitted core points within eps (a border
+    point of that cluster), else −1. All core points of one cell share a
+    cluster, so a cell box entirely within eps settles it without pair work.
+    """
+    cols = cols or C.FEATURE_COLUMNS
+    d = len(cols)
+    eps2 = eps * eps
+    A = [f"a{i}" for i in range(d)]
+    B = [f"b{i}" for i in range(d)]
+    new = grid_points(points, cols, eps, id_col)
+    cp = grid_points(core, cols, eps, id_col).join(
+        core.select(F.col(id_col).alias("pid"), "dbscan_cluster"), "pid")
+    ccells = cp.groupBy(*[f"k{i}" for i in range(d)]).agg(
+        F.count(F.lit(1)).alias("n"), F.min("dbscan_cluster").alias("cl"),
+        *[F.min(f"x{i}").alias(f"lo{i}") for i in range(d)], *[F.max(f"x{i}").alias(f"hi{i}") for i in range(d)])
+    ncells = cell_table(new, d)
+    pairs = cell_pairs(ncells, d, eps, targets=ccells).join(
+        _ren(ccells.select(*[f"k{i}" for i in range(d)], "cl"), {f"k{i}": f"b{i}" for i in range(d)}), B)
+    np_ = _ren(new, {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"x{i}": f"p{i}" for i in range(d)}})
+    cand = np_.join(pairs.select(*A, *B, "cl", *[f"blo{i}" for i in range(d)], *[f"bhi{i}" for i in range(d)]), A)
+    sure = cand.filter(_pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)).select("pid", "cl")
+    maybe = cand.filter((_pt_box_max2(d, "p", "blo", "bhi") > F.lit(eps2))
+                        & (_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2)))
+    q = _ren(cp.drop("dbscan_cluster"), {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"x{i}": f"q{i}" for i in range(d)},
+                                         "pid": "qid"})
+    cond = [maybe[f"b{i}"] == q[f"b{i}"] for i in range(d)] + [
+        _sum(_sq(maybe[f"p{i}"] - q[f"q{i}"]) for i in range(d)) <= F.lit(eps2)]
+    checked = maybe.join(q, cond, "left_semi").select("pid", "cl")
+    best = sure.unionByName(checked).groupBy("pid").agg(F.min("cl").alias("cl"))
+    return (new.select("pid").join(best, "pid", "left")
+            .select(F.col("pid").alias(id_col), F.coalesce("cl", F.lit(-1)).cast("int").alias("dbscan_cluster"))
+            .withColumn("vote_dbscan", (F.col("dbscan_cluster") == -1).cast("int")))

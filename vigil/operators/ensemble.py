@@ -33,15 +33,19 @@ def combine_votes(df: DataFrame) -> DataFrame:
 
 def severity_index(df: DataFrame, risk_center: list[float] | None, cols: list[str] | None = None,
                    w_iso: float = C.SEVERITY_WEIGHT_IFOREST, w_db: float = C.SEVERITY_WEIGHT_DBSCAN,
-                   w_km: float = C.SEVERITY_WEIGHT_KMEANS, eps: float = C.SEVERITY_EPS) -> DataFrame:
-    """M13 + J10 + F18 + F19 + F7: 100·(w1(1−iso_n) + w2·noise + w3(1−dist_n)), clipped."""
+                   w_km: float = C.SEVERITY_WEIGHT_KMEANS, eps: float = C.SEVERITY_EPS,
+                   bounds: dict | None = None) -> DataFrame:
+    """M13 + J10 + F18 + F19 + F7: 100·(w1(1−iso_n) + w2·noise + w3(1−dist_n)), clipped.
+
+    ``bounds`` (ilo, ihi, dlo, dhi) come from the data unless given (X3 scoring
+    of new rows reuses the fit's bounds).
+    """
     cols = cols or C.FEATURE_COLUMNS
     if risk_center is not None:
         df = df.withColumn("risk_distance", X.distance(cols, risk_center))
     else:
         df = df.withColumn("risk_distance", F.lit(None).cast("double"))
-    b = df.agg(F.min("iso_score").alias("ilo"), F.max("iso_score").alias("ihi"),
-               F.min("risk_distance").alias("dlo"), F.max("risk_distance").alias("dhi")).first()
+    b = bounds or severity_bounds(df)
     iso_n = X.minmax("iso_score", b["ilo"] or 0.0, b["ihi"] or 0.0, eps)
     if risk_center is not None:
         dist_n = X.minmax("risk_distance", b["dlo"] or 0.0, b["dhi"] or 0.0, eps)
@@ -53,6 +57,13 @@ def severity_index(df: DataFrame, risk_center: list[float] | None, cols: list[st
             .withColumn("severity_index", X.clip(sev * F.lit(100.0), 0.0, 100.0)))
 
 
+def severity_bounds(df: DataFrame) -> dict:
+    """A7 for the severity terms: one global aggregate row."""
+    r = df.agg(F.min("iso_score").alias("ilo"), F.max("iso_score").alias("ihi"),
+               F.min("risk_distance").alias("dlo"), F.max("risk_distance").alias("dhi")).first()
+    return r.asDict()
+
+
 @dataclass
 class EnsembleResult:
     results: DataFrame
@@ -61,6 +72,33 @@ class EnsembleResult:
     risk_cluster_id: int | None
     metrics: dict = field(default_factory=dict)
     pca: dict | None = None
+    matrix_bounds: dict | None = None
+    forest: dict | None = None
+    iso_offset: float | None = None
+    severity_bounds: dict | None = None
+    core: DataFrame | None = None
+
+    def score_batch(self, features: DataFrame, id_col: str = "user_id_raiz") -> DataFrame:
+        """Score new rows with the fitted models (no refit).
+
+        Fit's MinMax bounds → nearest fitted center (k-means vote), forest
+        score minus the fit's offset (forest vote), ε-neighbour of a fitted
+        core point (DBSCAN vote) → level; severity with the fit's bounds.
+        """
+        cols = C.FEATURE_COLUMNS
+        x = FT.apply_minmax(FT.matrix_columns(features, id_col, cols), self.matrix_bounds)
+        x = KM.assign_to_centers(x, self.centers).drop("center_distance")
+        x = x.withColumn("vote_kmeans", (F.col("kmeans_cluster") == F.lit(self.risk_cluster_id)).cast("int"))
+        x = (x.withColumn("iso_score", -IF.score_column(self.forest) - F.lit(self.iso_offset))
+             .withColumn("iso_prediction", F.when(F.col("iso_score") < 0, F.lit(-1)).otherwise(F.lit(1)))
+             .withColumn("vote_iso", (F.col("iso_prediction") == -1).cast("int")))
+        db = DB.assign_to_fit(x.select(id_col, *cols), self.core, cols, id_col=id_col)
+        res = combine_votes(x.join(db, id_col))
+        return severity_index(res, self.centers[self.risk_cluster_id], cols, bounds=self.severity_bounds)
+
+    def as_scorer(self):
+        """T3 ``scorer``: features → risk_level + severity_index."""
+        return lambda feats: self.score_batch(feats)
 
     def summary(self, spark, execution_date: str) -> DataFrame:
         """One row — date, metrics, counts per level, centers, risk cluster."""
@@ -100,7 +138,8 @@ def fit_predict(features: DataFrame, n_clusters: int = C.KMEANS_K,
         raise ValueError(f"n_clusters must be in {C.N_CLUSTERS_MIN}..{C.N_CLUSTERS_MAX}")
     cols = C.FEATURE_COLUMNS
     from ..session import checkpoint
-    matrix = checkpoint(FT.prepare_matrix(features, id_col, cols))
+    matrix, mbounds = FT.prepare_matrix_fit(features, id_col, cols)
+    matrix = checkpoint(matrix)
 
     centers, _cost = KM.fit_kmeans(matrix, k=n_clusters, restarts=restarts)
     risk_idx = KM.risk_cluster(centers)
@@ -108,11 +147,15 @@ def fit_predict(features: DataFrame, n_clusters: int = C.KMEANS_K,
     km = km.withColumn("vote_kmeans", (F.col("kmeans_cluster") == F.lit(risk_idx)).cast("int"))
 
     model = IF.fit(matrix, cols, id_col)
-    scored, _offset = IF.predict(km, model, contamination)
+    scored, offset = IF.predict(km, model, contamination)
 
-    db = DB.dbscan(matrix, cols, id_col=id_col).select(id_col, "dbscan_cluster", "vote_dbscan")
-    res = combine_votes(scored.join(db, id_col))
-    res = severity_index(res, centers[risk_idx], cols).persist(StorageLevel.MEMORY_AND_DISK)
+    db = checkpoint(DB.dbscan(matrix, cols, id_col=id_col))
+    core = matrix.join(db.filter("is_core").select(id_col, "dbscan_cluster"), id_col)
+    res = combine_votes(scored.join(db.select(id_col, "dbscan_cluster", "vote_dbscan"), id_col))
+    res = res.withColumn("risk_distance", X.distance(cols, centers[risk_idx]))
+    sbounds = severity_bounds(res)
+    res = severity_index(res.drop("risk_distance"), centers[risk_idx], cols,
+                         bounds=sbounds).persist(StorageLevel.MEMORY_AND_DISK)
 
     n_labels = res.select("kmeans_cluster").distinct().limit(2).count()
     metrics = {}
@@ -133,4 +176,4 @@ def fit_predict(features: DataFrame, n_clusters: int = C.KMEANS_K,
     out = res.select(id_col, "kmeans_cluster", "vote_kmeans", "dbscan_cluster", "vote_dbscan",
                      "iso_prediction", "iso_score", "vote_iso", "total_votes", "risk_level",
                      "severity_index", *(["pca_x", "pca_y"] if with_pca else []))
-    return EnsembleResult(out, matrix, centers, risk_idx, metrics, pca)
+    return EnsembleResult(out, matrix, centers, risk_idx, metrics, pca, mbounds, model, offset, sbounds, core)

@@ -128,12 +128,24 @@ def run_transformation(src: SourceTables, as_of: str, skip_nlp: bool = False,
 def prepare_matrix(df: DataFrame, id_col: str = "user_id_raiz",
                    cols: list[str] | None = None) -> DataFrame:
     """P10 + P11 + P7 + Q8: required-column check, bool→int, fill 0, MinMax again."""
+    return prepare_matrix_fit(df, id_col, cols)[0]
+
+
+def matrix_columns(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
+    """P11 + P7: booleans as 0/1, nulls and NaN as 0."""
+    types = dict(df.dtypes)
+    return df.select(F.col(id_col), *[X.fill_zero(F.col(c).cast("int")).alias(c)
+                                      if types[c] == "boolean" else X.fill_zero(c).alias(c)
+                                      for c in cols])
+
+
+def prepare_matrix_fit(df: DataFrame, id_col: str = "user_id_raiz",
+                       cols: list[str] | None = None) -> tuple[DataFrame, dict]:
+    """``prepare_matrix`` that also returns the fitted MinMax bounds (for scoring new rows)."""
     cols = cols or C.FEATURE_COLUMNS
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"missing feature columns: {missing}")
-    types = dict(df.dtypes)
-    x = df.select(F.col(id_col), *[X.fill_zero(F.col(c).cast("int")).alias(c)
-                                   if types[c] == "boolean" else X.fill_zero(c).alias(c)
-                                   for c in cols])
-    return apply_minmax(x, fit_minmax(x, cols))
+    x = matrix_columns(df, id_col, cols)
+    bounds = fit_minmax(x, cols)
+    return apply_minmax(x, bounds), bounds

@@ -153,8 +153,13 @@ def risk_transitions(history: DataFrame, key: str = "root_id") -> DataFrame:
 
 # ---------------------------------------------------------------- batch body
 
-def score_changes(src: SourceTables, events: DataFrame, table: DataFrame, resolve_ids: bool = True) -> dict:
-    """T3 over one batch of envelopes. Returns the DataFrames the sinks write."""
+def score_changes(src: SourceTables, events: DataFrame, table: DataFrame, resolve_ids: bool = True,
+                  scorer=None) -> dict:
+    """T3 over one batch of envelopes. Returns the DataFrames the sinks write.
+
+    ``scorer`` (X3) maps the batch features to risk_level + severity_index,
+    e.g. ``EnsembleResult.as_scorer()``; default is the T5 heuristic (Q18).
+    """
     parsed = CH.parse_changes(events)
     rejects = CH.rejected_changes(parsed)
     valid = CH.with_user(CH.valid_changes(parsed))
@@ -164,7 +169,11 @@ def score_changes(src: SourceTables, events: DataFrame, table: DataFrame, resolv
     metrics = affected_user_metrics(src, latest.select("root_id"))
     m = metrics.join(latest, metrics["user_id_raiz"] == latest["root_id"], "inner").drop("root_id")
     feats = incremental_features(m, F.col("as_of"))
-    scored = R.heuristic_risk(feats)
+    if scorer is None:
+        scored = R.heuristic_risk(feats)
+    else:
+        s = scorer(feats).select("user_id_raiz", "risk_level", "severity_index")
+        scored = feats.join(s, "user_id_raiz")
     scored = previous_levels(scored, table)
     updates = scored.select(
         "user_id_raiz", F.col("as_of").alias("extraction_date"), "reciprocity_ratio_norm",
@@ -198,14 +207,14 @@ class StreamSinks:
         return f"{self.root}/rejects"
 
 
-def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = True):
+def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = True, scorer=None):
     """foreachBatch body with replay safety: a batch id already committed is skipped."""
     def run(batch: DataFrame, batch_id: int) -> None:
         _, last = sinks.features.state()
         if batch_id <= last:
             return
         table = sinks.features.read()
-        out = score_changes(src, batch, table, resolve_ids)
+        out = score_changes(src, batch, table, resolve_ids, scorer)
         # messages and rejects first (overwrite their batch partition: idempotent), table commit last
         (out["messages"].withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "channel")
@@ -218,13 +227,13 @@ def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = Tru
 
 def run_stream(spark: SparkSession, src: SourceTables, input_path: str, root: str, checkpoint: str,
                initial: DataFrame | None = None, fmt: str = "parquet", max_files: int | None = 1,
-               resolve_ids: bool = True) -> StreamSinks:
+               resolve_ids: bool = True, scorer=None) -> StreamSinks:
     """S6 → foreachBatch(T3) with an availableNow trigger; returns the sinks."""
     sinks = StreamSinks(spark, root)
     if initial is not None and not sinks.features.exists():
         sinks.features.commit(K.conform(initial), batch_id=-1)
     stream = CH.change_stream(spark, input_path, fmt, max_files)
-    q = (stream.writeStream.foreachBatch(make_batch_fn(src, sinks, resolve_ids))
+    q = (stream.writeStream.foreachBatch(make_batch_fn(src, sinks, resolve_ids, scorer))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return sinks
