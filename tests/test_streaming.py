@@ -69,3 +69,29 @@ def test_upsert_keeps_ids_and_inserts(spark):
     assert out[10]["cluster_label"] == "A" and out[10]["id"] == 1
     assert out[20]["cluster_label"] == "X" and out[20]["id"] == 2 and out[20]["comm_voluntariado_one_hot"] is False
     assert out[30]["id"] == 3 and out[30]["comm_voluntariado_one_hot"] is None
+
+
+def test_skew_safe_lag_across_partitions(spark):
+    """A hot user spread over many range partitions gets the same lag as one window."""
+    from pyspark.sql import Window
+
+    rows = [(1 if i % 3 else 2 + i % 5, i, f"2024-01-01 00:{i // 60 % 60:02d}:{i % 60:02d}",
+             ["BAJO_RIESGO", "ALTO_RIESGO", "RIESGO_MODERADO"][(i * 7) % 3]) for i in range(600)]
+    h = (spark.createDataFrame(rows, "root_id long, event_id long, ts string, risk_level string")
+         .withColumn("received_at", F.to_timestamp("ts")).drop("ts"))
+    got = _rows(PL.risk_transitions(h, partitions=40).select("root_id", "event_id", "previous_level"))
+    w = Window.partitionBy("root_id").orderBy("received_at", "event_id")
+    want = _rows(h.withColumn("previous_level", F.lag("risk_level").over(w)).select("root_id", "event_id", "previous_level"))
+    assert got == want
+
+
+def test_two_stage_top_n(spark):
+    msgs = spark.createDataFrame(
+        [(str(u), "USER_RISK_UPDATE", f"2024-01-01 00:00:{u % 60:02d}", "clustering") for u in range(500)],
+        "user_id string, type string, ts string, channel string").withColumn(
+        "server_timestamp", F.to_timestamp("ts")).drop("ts")
+    from pyspark.sql import Window
+    got = _rows(PL.channel_history(msgs, 50, buckets=16).select("channel", "rank", "user_id"))
+    w = Window.partitionBy("channel").orderBy(*PL.HISTORY_ORDER)
+    want = _rows(msgs.withColumn("rank", F.row_number().over(w)).filter("rank <= 50").select("channel", "rank", "user_id"))
+    assert got == want

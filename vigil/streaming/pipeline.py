@@ -132,11 +132,24 @@ def route_messages(updates: DataFrame, alerts: DataFrame) -> DataFrame:
     return u.unionByName(a).withColumnRenamed("as_of", "server_timestamp")
 
 
-def channel_history(messages: DataFrame, n: int = C.HISTORY_MAX) -> DataFrame:
-    """Newest n messages per channel (order: time, user, type)."""
-    w = Window.partitionBy("channel").orderBy(F.col("server_timestamp").desc(), F.col("user_id").desc(),
-                                              F.col("type").desc())
-    return messages.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+HISTORY_ORDER = [F.col("server_timestamp").desc(), F.col("user_id").desc(), F.col("type").desc()]
+SALT_BUCKETS = 64
+
+
+def channel_history(messages: DataFrame, n: int = C.HISTORY_MAX, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Newest n messages per channel (order: time, user, type).
+
+    Exact two-stage top-n: a channel has only a few keys, so ranking it in
+    one window would put the whole channel in one task. Rows are first ranked
+    inside salted buckets (keep n each), then the ≤ buckets·n survivors per
+    channel are ranked once more.
+    """
+    salt = F.pmod(F.xxhash64("user_id", "server_timestamp", "type"), F.lit(buckets))
+    local = (messages.withColumn("_salt", salt)
+             .withColumn("_r", F.row_number().over(Window.partitionBy("channel", "_salt").orderBy(*HISTORY_ORDER)))
+             .filter(F.col("_r") <= n).drop("_r", "_salt"))
+    return (local.withColumn("rank", F.row_number().over(Window.partitionBy("channel").orderBy(*HISTORY_ORDER)))
+            .filter(F.col("rank") <= n))
 
 
 def recent_messages(messages: DataFrame, n: int = C.HISTORY_ON_CONNECT) -> DataFrame:
@@ -144,11 +157,29 @@ def recent_messages(messages: DataFrame, n: int = C.HISTORY_ON_CONNECT) -> DataF
     return channel_history(messages, n).orderBy("channel", F.col("rank").desc())
 
 
-def risk_transitions(history: DataFrame, key: str = "root_id") -> DataFrame:
-    """Previous level over a per-user history of scored events."""
-    w = Window.partitionBy(key).orderBy("received_at", "event_id")
-    return (history.withColumn("previous_level", F.lag("risk_level").over(w))
-            .withColumn("is_transition", ~F.col("previous_level").eqNullSafe(F.col("risk_level"))))
+def risk_transitions(history: DataFrame, key: str = "root_id", partitions: int | None = None) -> DataFrame:
+    """Previous level over a per-user history of scored events.
+
+    Skew-safe ``lag``: rows are range-partitioned on (user, time), so one
+    user's history may span many partitions; the lag runs inside each
+    partition and a partition's first row per user takes the last level of
+    that user in the previous partition (a table with ≤ partitions rows per
+    user). No task holds a whole hot user.
+    """
+    order = ["received_at", "event_id"]
+    n = partitions or int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = history.repartitionByRange(n, key, *order).withColumn("_p", F.spark_partition_id())
+    w = Window.partitionBy(key, "_p").orderBy(*order)
+    local = (r.withColumn("previous_level", F.lag("risk_level").over(w))
+             .withColumn("_first", F.row_number().over(w) == 1))
+    tails = (r.groupBy(key, "_p").agg(F.max_by("risk_level", F.struct(*order)).alias("_tail"))
+             .withColumn("_prev_tail", F.lag("_tail").over(Window.partitionBy(key).orderBy("_p")))
+             .drop("_tail"))
+    out = (local.join(tails, [key, "_p"], "left")
+           .withColumn("previous_level", F.when(F.col("_first"), F.col("_prev_tail"))
+                       .otherwise(F.col("previous_level")))
+           .drop("_p", "_first", "_prev_tail"))
+    return out.withColumn("is_transition", ~F.col("previous_level").eqNullSafe(F.col("risk_level")))
 
 
 # ---------------------------------------------------------------- batch body
