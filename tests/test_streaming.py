@@ -92,6 +92,6 @@ def test_two_stage_top_n(spark):
         "server_timestamp", F.to_timestamp("ts")).drop("ts")
     from pyspark.sql import Window
     got = _rows(PL.channel_history(msgs, 50, buckets=16).select("channel", "rank", "user_id"))
-    w = Window.partitionBy("channel").orderBy(*PL.HISTORY_ORDER)
+    w = Window.partitionBy("channel").orderBy(*PL.history_order())
     want = _rows(msgs.withColumn("rank", F.row_number().over(w)).filter("rank <= 50").select("channel", "rank", "user_id"))
     assert got == want

@@ -132,7 +132,8 @@ def route_messages(updates: DataFrame, alerts: DataFrame) -> DataFrame:
     return u.unionByName(a).withColumnRenamed("as_of", "server_timestamp")
 
 
-HISTORY_ORDER = [F.col("server_timestamp").desc(), F.col("user_id").desc(), F.col("type").desc()]
+def history_order() -> list:
+    return [F.col("server_timestamp").desc(), F.col("user_id").desc(), F.col("type").desc()]
 SALT_BUCKETS = 64
 
 
@@ -146,9 +147,9 @@ def channel_history(messages: DataFrame, n: int = C.HISTORY_MAX, buckets: int =
     """
     salt = F.pmod(F.xxhash64("user_id", "server_timestamp", "type"), F.lit(buckets))
     local = (messages.withColumn("_salt", salt)
-             .withColumn("_r", F.row_number().over(Window.partitionBy("channel", "_salt").orderBy(*HISTORY_ORDER)))
+             .withColumn("_r", F.row_number().over(Window.partitionBy("channel", "_salt").orderBy(*history_order())))
              .filter(F.col("_r") <= n).drop("_r", "_salt"))
-    return (local.withColumn("rank", F.row_number().over(Window.partitionBy("channel").orderBy(*HISTORY_ORDER)))
+    return (local.withColumn("rank", F.row_number().over(Window.partitionBy("channel").orderBy(*history_order())))
             .filter(F.col("rank") <= n))
 
 
