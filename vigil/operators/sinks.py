@@ -73,15 +73,17 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.state()[0] > 0
 
-    def read(self) -> DataFrame:
-        v, _ = self.state()
+    def read(self, state: tuple[int, int] | None = None) -> DataFrame:
+        v, _ = state if state is not None else self.state()
         if v == 0:
             return self.spark.createDataFrame([], FEATURE_TABLE_SCHEMA)
         return self.spark.read.parquet(f"{self.root}/v={v}")
 
-    def commit(self, df: DataFrame, batch_id: int | None = None, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version; returns the version (or the current one when skipped)."""
-        v, last = self.state()
+    def commit(self, df: DataFrame, batch_id: int | None = None, partition_by: list[str] | None = None,
+               state: tuple[int, int] | None = None) -> int:
+        """Write ``df`` as the next version; returns the version (or the current one when skipped).
+        ``state`` may pass the (version, batch) the single writer already read."""
+        v, last = state if state is not None else self.state()
         if batch_id is not None and 0 <= batch_id <= last:
             return v  # replayed micro-batch: already applied
         nv = v + 1

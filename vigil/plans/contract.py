@@ -45,6 +45,8 @@ def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
+    # fixture timestamps are zone-less (as DuckDB reads them): compare in UTC
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (id(spark._jsparkSession), sf_dir)
     if key not in _SOURCES:
         _SOURCES[key] = SourceTables.from_fixtures(spark, sf_dir)

@@ -196,8 +196,11 @@ def score_changes(src: SourceTables, events: DataFrame, table: DataFrame, resolv
     rejects = CH.rejected_changes(parsed)
     valid = CH.with_user(CH.valid_changes(parsed))
     resolved = CH.resolve_users(valid, E.id_map(src) if resolve_ids else None, resolve_ids)
-    latest = CH.latest_per_user(resolved).select("root_id", "table", "event_id",
-                                                 F.col("received_at").alias("as_of"))
+    # the batch's users (bounded by the trigger size) feed every semi join below:
+    # materialize them once instead of re-deriving parse → resolve → latest per use
+    from ..session import checkpoint
+    latest = checkpoint(CH.latest_per_user(resolved).select("root_id", "table", "event_id",
+                                                            F.col("received_at").alias("as_of")))
     metrics = affected_user_metrics(src, latest.select("root_id"))
     m = metrics.join(latest, metrics["user_id_raiz"] == latest["root_id"], "inner").drop("root_id")
     feats = incremental_features(m, F.col("as_of"))
@@ -242,18 +245,23 @@ class StreamSinks:
 def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = True, scorer=None):
     """foreachBatch body with replay safety: a batch id already committed is skipped."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        _, last = sinks.features.state()
-        if batch_id <= last:
+        st = sinks.features.state()  # read once: this body is the table's only writer
+        if batch_id <= st[1]:
             return
-        table = sinks.features.read()
+        table = sinks.features.read(st)
+        batch = batch.persist()
         out = score_changes(src, batch, table, resolve_ids, scorer)
+        # three writes below share the scored users (cache lookup matches the subplan)
+        out["scored"].persist()
         # messages and rejects first (overwrite their batch partition: idempotent), table commit last
         (out["messages"].withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "channel")
          .parquet(sinks.messages_path))
         (out["rejects"].withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sinks.rejects_path))
-        sinks.features.commit(K.upsert(table, out["updates"]), batch_id)
+        sinks.features.commit(K.upsert(table, out["updates"]), batch_id, state=st)
+        out["scored"].unpersist()
+        batch.unpersist()
     return run
 
 
