@@ -202,3 +202,17 @@ def test_argument_ranges(spark):
         R.users_by_level(df, "UNKNOWN")
     with pytest.raises(ValueError):
         FT.prepare_matrix(df, "x")
+
+
+def test_chart_histogram_equals_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    cases = [rng.uniform(0, 100, 2000), np.array([5.0] * 10),
+             np.concatenate([np.linspace(0, 100, 21), rng.uniform(10, 90, 300)])]
+    for vals in cases:
+        df = spark.createDataFrame([(float(v),) for v in vals], "severity_index double")
+        rows = R.chart_histogram(df).orderBy("bin").collect()
+        want, edges = np.histogram(vals, bins=20)
+        assert [r["n_users"] for r in rows] == list(want)
+        assert [r["left_edge"] for r in rows] == list(edges[:-1])

@@ -137,7 +137,13 @@ def severity_summary(df: DataFrame, sev: str = "severity_index") -> DataFrame:
 
 def chart_histogram(df: DataFrame, sev: str = "severity_index", bins: int = C.CHART_BINS) -> DataFrame:
     """Equal-width bins over [min, max] (constant input widened by ±0.5),
-    band by left edge (<30 low, <60 moderate, else high). Zero-filled."""
+    band by left edge (<30 low, <60 moderate, else high). Zero-filled.
+
+    Bin rule of the reference's histogram library: edge_i = i·step + min
+    (last edge = max), index = trunc((x − min)/(max − min)·bins), then moved
+    down one when x < edge_index and up one when x ≥ edge_(index+1) (not for
+    the last bin).
+    """
     s = F.col(sev)
     bounds = df.agg(F.min(s).alias("lo"), F.max(s).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
@@ -145,12 +151,19 @@ def chart_histogram(df: DataFrame, sev: str = "severity_index", bins: int = C.CH
         lo, hi = 0.0, 1.0
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
-    width = (hi - lo) / bins
-    idx = F.least(F.floor((s - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))), F.lit(bins - 1))
+    step = (hi - lo) / bins
+
+    def edge(i):
+        return F.when(i == bins, F.lit(float(hi))).otherwise(i.cast("double") * F.lit(step) + F.lit(float(lo)))
+
+    i0 = F.floor((s - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))).cast("int")
+    i0 = F.when(i0 == bins, F.lit(bins - 1)).otherwise(i0)
+    i1 = F.when(s < edge(i0), i0 - 1).otherwise(i0)
+    idx = F.when((s >= edge(i1 + 1)) & (i1 != bins - 1), i1 + 1).otherwise(i1)
     row = df.agg(*[F.count_if(idx == i).alias(f"c{i}") for i in range(bins)])
     slots = []
     for i in range(bins):
-        left = lo + i * width
+        left = i * step + lo
         band = (C.LEVEL_LOW if left < C.CHART_BAND_LOW else
                 C.LEVEL_MODERATE if left < C.CHART_BAND_HIGH else C.LEVEL_HIGH)
         slots.append((f"c{i}", {"bin": i, "left_edge": float(left), "band": band}))

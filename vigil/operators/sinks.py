@@ -196,3 +196,17 @@ def label_update(target: DataFrame, labels: DataFrame, key: str = "user_id_raiz"
     j = conform(target).join(lab, F.col(key) == F.col("_k"), "left")
     return j.select(*[F.coalesce(F.col("_lvl"), F.col(c)).alias(c) if c == "cluster_label" else F.col(c)
                       for c in FEATURE_TABLE_COLUMNS])
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append",
+               batch_size: int = C.LOAD_CHUNK_ROWS, partitions: int | None = None) -> None:
+    """K1/K2 to a database: parallel writers, ``batchsize`` rows per INSERT batch.
+    ``mode="overwrite"`` with ``truncate=true`` keeps the table definition.
+    Not exercised here (no driver jar, no database)."""
+    out = df.repartition(partitions) if partitions else df
+    w = out.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch_size)
+    if mode == "overwrite":
+        w = w.option("truncate", "true")
+    for k, v in properties.items():
+        w = w.option(k, v)
+    w.mode(mode).save()

@@ -247,10 +247,14 @@ def q_severity_summary(spark, sf_dir):
 
 @register("severity_histogram_20", O.q(SEV_CTE, """b AS (select min(severity_index) as lo0, max(severity_index) as hi0 from sev),
 b2 AS (select case when lo0 = hi0 then lo0 - 0.5 else lo0 end as lo, case when lo0 = hi0 then hi0 + 0.5 else hi0 end as hi from b),
-idx AS (select least(floor((severity_index - lo) / (hi - lo) * 20.0), 19) as bin from sev cross join b2),
-bins AS (select range as bin from range(20))""", final="""select bins.bin, round(b2.lo + bins.bin * ((b2.hi - b2.lo) / 20), 6) as left_edge,
-  case when b2.lo + bins.bin * ((b2.hi - b2.lo) / 20) < 30 then 'BAJO_RIESGO'
-       when b2.lo + bins.bin * ((b2.hi - b2.lo) / 20) < 60 then 'RIESGO_MODERADO' else 'ALTO_RIESGO' end as band,
+i0 AS (select severity_index as s, lo, hi, (hi - lo) / 20 as step,
+   least(cast(floor((severity_index - lo) / (hi - lo) * 20.0) as integer), 19) as k from sev cross join b2),
+i1 AS (select *, case when s < (case when k = 20 then hi else k * step + lo end) then k - 1 else k end as k1 from i0),
+idx AS (select case when s >= (case when k1 + 1 = 20 then hi else (k1 + 1) * step + lo end) and k1 <> 19
+   then k1 + 1 else k1 end as bin from i1),
+bins AS (select range as bin from range(20))""", final="""select bins.bin, round(bins.bin * ((b2.hi - b2.lo) / 20) + b2.lo, 6) as left_edge,
+  case when bins.bin * ((b2.hi - b2.lo) / 20) + b2.lo < 30 then 'BAJO_RIESGO'
+       when bins.bin * ((b2.hi - b2.lo) / 20) + b2.lo < 60 then 'RIESGO_MODERADO' else 'ALTO_RIESGO' end as band,
   (select count(*) from idx where idx.bin = bins.bin) as n_users
  from bins cross join b2"""))
 def q_severity_histogram_20(spark, sf_dir):

@@ -311,8 +311,15 @@ def q_pca_projection(spark, sf_dir):
     return finish(PJ.pca_project(mat, PJ.fit_pca(mat)).select("user_id_raiz", "pca_x", "pca_y"))
 
 
+_FITS: dict = {}
+
+
 def _ensemble(spark, sf_dir):
-    return EN.fit_predict(ensemble_features(sources(spark, sf_dir)))
+    """One seeded fit per session and folder, shared by the queries that read it."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _FITS:
+        _FITS[key] = EN.fit_predict(ensemble_features(sources(spark, sf_dir)))
+    return _FITS[key]
 
 
 @register("ensemble_results", None)
