@@ -435,11 +435,10 @@ def q_changes_per_window_stream(spark, sf_dir):
 @register("ensemble_batch_scores", None)
 def q_ensemble_batch_scores(spark, sf_dir):
     """The stream's batch features scored by the fitted ensemble instead of T5."""
-    from ..operators import ensemble as EN
     from . import contract_ensemble as CE
 
     src = sources(spark, sf_dir)
-    fit = EN.fit_predict(CE.ensemble_features(src), restarts=3, with_pca=False)
+    fit = CE._ensemble(spark, sf_dir)
     out = PL.score_changes(src, src.frames["change_events"], src.frames["user_feature_vector"],
                            scorer=fit.as_scorer())
     return finish(out["risk_updates"].select("user_id", "risk_level", "severity_index", "previous_risk",
