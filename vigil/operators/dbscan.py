@@ -189,7 +189,9 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
     # one reliable write of (id, features, cell): every later step reads it
     pts = _cut(grid_points(matrix, cols, eps, id_col))
     cells = cell_table(pts, d).persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = cell_pairs(cells, d, eps).persist(StorageLevel.MEMORY_AND_DISK)
+    _log("dbscan: points gridded")
+    pairs = _cut(cell_pairs(cells, d, eps))  # grid-bounded; reused by every pair step
+    _log("dbscan: cell pairs materialized")
 
     # ---- core flags for points of sparse cells (bounded set)
     sparse_cells = cells.filter(F.col("n") < min_samples).select(*K)
@@ -210,7 +212,8 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
     flagged = (pts.join(cells.select(*K, "n"), K)
                .join(sp_core, "pid", "left")
                .withColumn("is_core", (F.col("n") >= min_samples) | F.coalesce(F.col("sp_core"), F.lit(False)))
-               .drop("n", "sp_core")).persist(StorageLevel.MEMORY_AND_DISK)
+               .drop("n", "sp_core"))
+    flagged = _cut(flagged)  # read by core, non-core and output branches
 
     _log("dbscan: grid built")
     core_pts = flagged.filter("is_core")
@@ -250,10 +253,13 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
     pa = _ren(core_pts.drop("is_core"), {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"x{i}": f"p{i}" for i in range(d)}})
     pb = _ren(core_pts.drop("is_core"), {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"x{i}": f"q{i}" for i in range(d)},
                                          "pid": "qid"})
-    _log("dbscan: core flags and unsure pairs planned")
+    _log("dbscan: core flags materialized")
     # 1) components over edges that need no pair work
+    edges_sure = _cut(edges_sure)
+    _log("dbscan: sure edges materialized")
     lab = _components(core_cells.select(F.col("cid").cast("long"), F.col("minpid").cast("long").alias("label")),
-                      _cut(edges_sure))
+                      edges_sure)
+    _log("dbscan: components over sure edges")
     # 2) only unsure pairs that still join two different components matter
     la = lab.select(F.col("cid").alias("cid_a"), F.col("label").alias("la"))
     lb = lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("lb"))
@@ -262,6 +268,7 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
                                 *[f"bhi{i}" for i in range(d)])
               .join(pa, A).filter(_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2)))
     near_a = _cut(near_a)
+    _log("dbscan: points near open pairs materialized")
     # a point within eps of the whole core box of b settles the pair without pair work
     by_box = near_a.filter(_pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)).select("cid_a", "cid_b").distinct()
     rest = near_a.join(by_box, ["cid_a", "cid_b"], "left_anti").select(
