@@ -216,3 +216,28 @@ def test_chart_histogram_equals_numpy(spark):
         want, edges = np.histogram(vals, bins=20)
         assert [r["n_users"] for r in rows] == list(want)
         assert [r["left_edge"] for r in rows] == list(edges[:-1])
+
+
+def test_append_rejects_duplicate_user(spark, src):
+    from vigil.session import scratch_path
+
+    fv = FT.run_transformation(src, AS_OF, skip_nlp=True, materialize_kpis=None)
+    t = K.VersionedTable(spark, scratch_path(spark, "append"))
+    K.append_features(t, fv, AS_OF)
+    first = t.read().orderBy("user_id_raiz").collect()
+    assert [r["id"] for r in first] == [1, 2, 3, 4] and all(r["cluster_label"] is None for r in first)
+    with pytest.raises(ValueError):
+        K.append_features(t, fv, AS_OF)        # D2: second load of the same users
+
+
+def test_snapshot_diff_operations(spark):
+    from vigil.operators import cdc
+
+    old = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, 30, None)], "id long, uid long, v string")
+    new = spark.createDataFrame([(2, 20, "B"), (3, 30, None), (4, 40, "d")], "id long, uid long, v string")
+    d = {r["profile_id"]: r for r in cdc.snapshot_diff(old, new, "id", ["v"], "t", "uid", "profile_id", ["v"],
+                                                       as_of="2024-01-01 00:00:00").collect()}
+    assert {k: v["operation"] for k, v in d.items()} == {1: "DELETE", 2: "UPDATE", 4: "INSERT"}  # null = null
+    assert d[2]["field_changed"] == "v" and d[4]["field_changed"] == "other"
+    only_delete = cdc.snapshot_diff(old, new, "id", ["v"], "t", "uid", "profile_id", operations=["DELETE"])
+    assert [r["profile_id"] for r in only_delete.collect()] == [1]
