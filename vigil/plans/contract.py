@@ -47,7 +47,7 @@ def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
     ensure_checkpoint_dir(spark)
     # fixture timestamps are zone-less (as DuckDB reads them): compare in UTC
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir)
     if key not in _SOURCES:
         _SOURCES[key] = SourceTables.from_fixtures(spark, sf_dir)
     return _SOURCES[key]

@@ -316,7 +316,7 @@ _FITS: dict = {}
 
 def _ensemble(spark, sf_dir):
     """One seeded fit per session and folder, shared by the queries that read it."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir)
     if key not in _FITS:
         _FITS[key] = EN.fit_predict(ensemble_features(sources(spark, sf_dir)))
     return _FITS[key]
