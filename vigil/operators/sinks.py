@@ -10,8 +10,6 @@ no-op (exactly-once effect over at-least-once delivery).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

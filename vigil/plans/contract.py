@@ -12,9 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import constants as C
 from .. import fixtures
-from ..functions import expressions as X
 from ..operators import features as FT
 from ..operators import reports as R
 from ..operators import sentiment as S

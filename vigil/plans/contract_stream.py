@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import constants as C
 from ..operators import cdc
 from ..operators import reports as R
 from ..operators import sinks as K
