@@ -138,3 +138,21 @@ def test_assign_ids_dense(spark):
     df = spark.range(0, 5000, 3).withColumnRenamed("id", "user_id_raiz").repartition(7)
     rows = assign_ids(df, start=10).orderBy("user_id_raiz").collect()
     assert [r["id"] for r in rows] == list(range(10, 10 + len(rows)))
+
+
+def test_score_batch_reproduces_fit(spark, sf_dir):
+    """Scoring the fitted rows again gives the fit's own labels and scores."""
+    from vigil.operators import ensemble as EN
+    from vigil.plans.contract import sources
+
+    feats = CE.ensemble_features(sources(spark, sf_dir))
+    fit = EN.fit_predict(feats, restarts=2, with_pca=False)
+    want = {r["user_id_raiz"]: r for r in fit.results.collect()}
+    got = {r["user_id_raiz"]: r for r in fit.score_batch(feats).collect()}
+    assert set(got) == set(want)
+    for uid, w in want.items():
+        g = got[uid]
+        for c in ("kmeans_cluster", "dbscan_cluster", "vote_iso", "total_votes", "risk_level"):
+            assert g[c] == w[c], (uid, c)
+        assert g["iso_score"] == pytest.approx(w["iso_score"], abs=1e-12)
+        assert g["severity_index"] == pytest.approx(w["severity_index"], abs=1e-9)
