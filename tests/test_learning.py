@@ -156,3 +156,17 @@ def test_score_batch_reproduces_fit(spark, sf_dir):
             assert g[c] == w[c], (uid, c)
         assert g["iso_score"] == pytest.approx(w["iso_score"], abs=1e-12)
         assert g["severity_index"] == pytest.approx(w["severity_index"], abs=1e-9)
+
+
+def test_trained_scorer_separates_labels(spark, sf_dir):
+    """X2(b): the spark.ml scorer ranks labelled toxic texts above clean ones."""
+    from vigil.operators import sentiment as S
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    train = docs.join(labels, "doc_id").select("text", F.col("toxic").alias("label"))
+    scorer = S.TrainedScorer().fit(train, "text", "label")
+    scored = scorer(train.withColumnRenamed("text", "content"))
+    m = {r["label"]: r["s"] for r in scored.groupBy("label").agg(F.avg("score").alias("s")).collect()}
+    assert m[1] > m[0]
+    assert scored.filter((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
