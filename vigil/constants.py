@@ -110,7 +110,7 @@ MSG_DISTRIBUTION_UPDATE = "DISTRIBUTION_UPDATE"
 MSG_CRITICAL_ALERT = "CRITICAL_ALERT"
 CHANNEL_CLUSTERING = "clustering"
 CHANNEL_ALERTS = "alerts"
-CHANGE_CHANNEL = "aura_data_change"
+CHANGE_CHANNEL = "data_change"
 HISTORY_MAX = 50
 HISTORY_ON_CONNECT = 10
 ALERT_ACTION = "Revisar perfil del usuario y considerar contacto"
