@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
@@ -44,7 +44,7 @@ def row_key(*cols: str) -> Column:
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a (materialised or cheap) table has at most that many rows."""
-    return df.limit(rows + 1).count() <= rows
+    return rows >= 0 and df.limit(rows + 1).count() <= rows
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str,
@@ -67,3 +67,10 @@ def settled(df: DataFrame) -> DataFrame:
     """The rows written once to the shared checkpoint folder; later plans read
     those files, also after executors are lost."""
     return checkpoint(df)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
+    """Bound what a Python worker holds at once: Arrow batches end at that many
+    rows or bytes, so that batches of very long texts stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

@@ -122,3 +122,22 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (whole + CASE WHEN prior + size / 2.0 <= need THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM o
 """
+
+_STRIP = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_KEY = _LOWER.format(f"trim(line, {_STRIP})")
+
+LINE_DEDUP = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (
+  SELECT r, doc_id, p, line, {_KEY} AS key
+  FROM (SELECT r, doc_id, unnest(l) AS line, unnest(generate_series(1, len(l))) AS p FROM d)),
+rep AS (
+  SELECT key, max(doc_id) AS last FROM x WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+y AS (
+  SELECT r, doc_id, p, line, rep.key IS NOT NULL AND x.doc_id <> rep.last AS gone FROM x LEFT JOIN rep USING (key))
+SELECT any_value(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS n_lines,
+       CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM y GROUP BY r
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, oracle, quality, urlfilter
+from . import decontam, linededup, mixing, oracle, quality, simhash, urlfilter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -63,6 +63,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "failed")
 
 
+@register("op7_line_dedup", oracle.LINE_DEDUP)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.line_report(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 @register("op8_mixing", oracle.MIXING)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, share=1.5, max_epochs=2.0)
+
+
+@register("op10_simhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.group(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
