@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, oracle, quality, simhash, urlfilter
+from . import decontam, langid, linededup, mixing, oracle, quality, sample, simhash, toxicity, urlfilter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -63,6 +63,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "failed")
 
 
+@register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @register("op7_line_dedup", oracle.LINE_DEDUP)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.line_report(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
@@ -75,6 +80,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, share=1.5, max_epochs=2.0)
 
 
+@register("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.with_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", sample.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @register("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.group(table(spark, sf_dir, "documents"), shingle=3, distance=3)
