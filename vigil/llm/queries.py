@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, mixing, oracle, quality, sample, simhash, toxicity, urlfilter
+from . import chat, decontam, langid, linededup, mixing, oracle, quality, sample, simhash, toxicity, urlfilter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -53,6 +53,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), rules, default="allow")
 
 
+@register("op4_chat_format")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.read_back(chat.format_windows(turns.unionByName(probe)))
+
+
 @register("op5_quality_rules", oracle.QUALITY)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(table(spark, sf_dir, "documents"))
