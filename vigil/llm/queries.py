@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, linededup, mixing, oracle, quality, sample, simhash, toxicity, urlfilter
+from . import chat, decontam, langid, linededup, mixing, oracle, pii, quality, sample, simhash, toxicity, urlfilter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -53,6 +53,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), rules, default="allow")
 
 
+@register("op3_pii_surrogates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents")).select("doc_id", "n_entities", "text")
+
+
 @register("op4_chat_format")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
