@@ -48,7 +48,7 @@ def associated(ids: np.ndarray, n: np.ndarray, n_pos: np.ndarray, pos: int, neg:
 
 def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, min_docs: int = 3, association: float = 10.0,
         rounds: int = 60, rate: float = 0.05, l2: float = 3e-5, seed: int = 7) -> FactorizationMachine:
-    """Fit on the terms of bounded many texts. With one label or none the score is
+    """Fit on the distinct terms (small non-negative numbers) of bounded many texts. With one label or none the score is
     constant. Terms in fewer than ``min_docs`` texts, or without an association with
     the label, are left out: they would only teach the factors the sample by heart."""
     y = np.asarray(labels, dtype=np.float64)
@@ -56,18 +56,19 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, min_docs:
     if len(y) == 0 or y.min() == y.max():
         nothing.bias = -30.0 if len(y) == 0 or y.max() == 0 else 30.0
         return nothing
-    flat = np.concatenate(texts) if texts else np.empty(0, np.int64)
-    rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    ids, where, n = np.unique(flat, return_inverse=True, return_counts=True)
-    n_pos = np.bincount(where, y[rows], len(ids))
-    keep = n >= min_docs
-    ids = associated(ids[keep], n[keep].astype(float), n_pos[keep], int(y.sum()), int(len(y) - y.sum()), association)
-    at = np.searchsorted(ids, flat)
-    known = at < len(ids)
-    known[known] = ids[at[known]] == flat[known]
+    flat = np.concatenate([t.astype(np.int32, copy=False) for t in texts])
+    rows = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
+    n = np.bincount(flat) if len(flat) else np.zeros(1, np.int64)
+    n_pos = np.bincount(flat[y[rows] > 0], minlength=len(n))
+    ids = np.flatnonzero(n >= min_docs)
+    ids = associated(ids, n[ids].astype(float), n_pos[ids].astype(float), int(y.sum()), int(len(y) - y.sum()), association)
+    column = np.zeros(len(n), np.int32)
+    column[ids] = np.arange(1, len(ids) + 1)
+    known = column[flat] > 0
+    rows, at = rows[known], column[flat[known]]
     # column 0 is the bias: no row is empty
-    cols = np.concatenate([np.zeros(len(texts), np.int64), at[known] + 1])
-    rows = np.concatenate([np.arange(len(texts)), rows[known]])
+    cols = np.concatenate([np.zeros(len(texts), np.int32), at])
+    rows = np.concatenate([np.arange(len(texts), dtype=np.int32), rows])
     order = np.argsort(rows, kind="stable")
     rows, cols = rows[order], cols[order]
     first = np.searchsorted(rows, np.arange(len(texts)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import lookup_join, settled
 
 
 def fold(doc_id: Column) -> Column:
@@ -22,15 +22,20 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFr
     """At most ``per_label`` documents (doc_id, label, text) of each label in
     ``labels`` (doc_id, label), never a held-out one.
 
-    Which documents are taken follows from a hash of their ids, so reruns take the
-    same. Only ids and labels are ranked, with a per-task limit before the
-    shuffle; texts are read for the documents taken. Of rows with the same doc_id
-    one is taken; documents without id or label are not.
+    The documents with the smallest hashes of their ids are taken, so reruns take
+    the same. Labels are counted first: only ids whose hash is in the share that
+    holds about twice the wanted number are ranked, however many a label has. Texts
+    are read for the documents taken. Of rows with the same doc_id one is taken;
+    documents without id or label are not.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & (fold(F.col("doc_id")) != 1))
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    order = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    taken = known.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_label).drop("rank")
+    known = settled(known.groupBy("doc_id").agg(F.max("label").alias("label")))
+    counts = settled(known.groupBy("label").agg(F.count("*").alias("n")))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(float(1 << 63))
+    near = lookup_join(known.withColumn("place", place), counts, ["label"], "inner")
+    near = near.filter(F.col("place") * F.col("n") <= 2 * per_label + 20)
+    order = W.partitionBy("label").orderBy("place", "doc_id")
+    taken = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_label).select("doc_id", "label")
     taken = settled(taken)  # at most per_label rows of each label
     texts = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id")
     return texts.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))

@@ -28,7 +28,7 @@ from .terms import word_terms
 
 TERM_BITS = 22
 PREFIXES = (4, 5, 6)
-PER_LABEL = 3000
+PER_LABEL = 2000
 THRESHOLD = 0.7
 
 
@@ -36,15 +36,15 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> fm.
     """Fit on labelled documents; ``labels`` has doc_id and toxic (0 or 1)."""
     small_batches(docs.sparkSession)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def hashed_terms(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: word_terms(t, TERM_BITS, PREFIXES).astype(np.int32))
+        return text.map(lambda t: word_terms(t, TERM_BITS, PREFIXES).astype(np.int32).tobytes())
 
     marked = labels.select("doc_id", F.col("toxic").cast("int").alias("label"))
     sample = labelled_texts(docs, marked.filter("label IN (0, 1)"), per_label)
     rows = sample.select("doc_id", "label", hashed_terms(F.coalesce("text", F.lit(""))).alias("terms")).collect()
     rows.sort(key=lambda r: str(r["doc_id"]))
-    texts = [np.asarray(r["terms"], dtype=np.int64) for r in rows]
+    texts = [np.frombuffer(r["terms"], dtype=np.int32) for r in rows]
     return fm.fit(texts, np.array([r["label"] for r in rows]))
 
 
