@@ -43,6 +43,7 @@ from .common import is_small, lookup_join, row_key, settled, small_batches
 from .graph import components
 
 LEAF = 64
+OVERLAP = 1.45
 VANTAGE_POINTS = 10
 CHUNK = 1 << 16
 
@@ -110,28 +111,28 @@ def shards(nodes: DataFrame, distance: int, blocks: int) -> DataFrame:
 
 def split_large(members: DataFrame, distance: int, shard_rows: int) -> DataFrame:
     """Split shards above ``shard_rows`` by a vantage point and the median distance
-    to it, with the overlap at the boundary. A shard whose halves stay as large
-    (a dense cluster) is left; the in-memory search shrinks it as it links."""
-    settled_rows, todo, level = [], members, 0
+    to it, with the overlap at the boundary. A shard whose halves would hold more
+    than ``OVERLAP`` times its rows (a dense cluster) is left as it is: the
+    in-memory search shrinks it as it links."""
+    finished, todo, level = [], members, 0
     while True:
         level += 1
         sizes = todo.groupBy("shard").agg(F.count("*").alias("n"), F.min_by("fp", F.xxhash64("fp", F.lit(level))).alias("point"))
         large = settled(sizes.filter(F.col("n") > shard_rows))
         if large.isEmpty():
-            return _union([*settled_rows, todo])
-        settled_rows.append(lookup_join(todo, large.select("shard"), ["shard"], "left_anti"))
-        big = lookup_join(todo, large, ["shard"], "inner")
-        big = big.withColumn("d", F.bit_count(F.col("fp").bitwiseXOR(F.col("point"))))
-        cut = settled(big.groupBy("shard", "n").agg(F.percentile_approx("d", 0.5).alias("m")))
-        big = lookup_join(big.drop("n"), cut, ["shard"], "inner")
-        far = F.col("m") - distance
-        sides = F.array_compact(F.array(F.when(F.col("d") <= F.col("m"), F.lit(0)), F.when(F.col("d") > far, F.lit(1))))
-        big = big.select("shard", "n", "fp", F.explode(sides).alias("side"))
-        big = settled(big.select(F.xxhash64("shard", "side").alias("shard"), "n", "fp"))
-        shrunk = big.groupBy("shard").agg((F.count("*") <= 0.8 * F.max("n")).alias("shrunk"))
-        big = lookup_join(big.drop("n"), settled(shrunk), ["shard"], "inner")
-        settled_rows.append(big.filter("NOT shrunk").select("shard", "fp"))
-        todo = settled(big.filter("shrunk").select("shard", "fp"))
+            return _union([*finished, todo])
+        far = F.bit_count(F.col("fp").bitwiseXOR(F.col("point")))
+        big = settled(lookup_join(todo, large, ["shard"], "inner").select("shard", "n", "fp", far.alias("d")))
+        cut = settled(big.groupBy("shard").agg(F.percentile_approx("d", 0.5).alias("m")))
+        big = lookup_join(big, cut, ["shard"], "inner").select(
+            "shard", "n", "fp", (F.col("d") <= F.col("m")).alias("near"), (F.col("d") > F.col("m") - distance).alias("far"))
+        halves = big.groupBy("shard", "n").agg(F.count_if("near").alias("near"), F.count_if("far").alias("far"))
+        split = settled(halves.filter((F.col("near") + F.col("far") <= OVERLAP * F.col("n"))
+                                      & (F.greatest("near", "far") < F.col("n"))).select("shard"))
+        finished.append(lookup_join(todo, split, ["shard"], "left_anti"))
+        sides = F.array_compact(F.array(F.when(F.col("near"), F.lit(0)), F.when(F.col("far"), F.lit(1))))
+        dealt = lookup_join(big, split, ["shard"], "left_semi").select("shard", "fp", F.explode(sides).alias("side"))
+        todo = settled(dealt.select(F.xxhash64("shard", "side").alias("shard"), "fp"))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -189,7 +190,7 @@ def links_in(x: np.ndarray, distance: int) -> list[np.ndarray]:
         d = np.bitwise_count(x ^ x[len(x) // 2]).astype(np.int16)
         m = int(np.median(d))
         near, far = x[d <= m], x[d > m - distance]
-        if max(len(near), len(far)) > 0.8 * len(x):
+        if len(near) + len(far) > OVERLAP * len(x) or max(len(near), len(far)) == len(x):
             out += _sweep(x, distance)
         else:
             todo += [near, far]
