@@ -10,6 +10,7 @@ no-op (exactly-once effect over at-least-once delivery).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,8 +40,11 @@ LOG_SCHEMA = "version long, batch_id long"
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Cast to the 12-column feature schema (missing columns → null)."""
+    """Cast to the 12-column feature schema (missing columns → null); the user id
+    keeps its own type, a number or a UUID as text."""
     types = {f.name: f.dataType for f in FEATURE_TABLE_SCHEMA.fields}
+    if "user_id_raiz" in df.columns:
+        types["user_id_raiz"] = df.schema["user_id_raiz"].dataType
     return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c)
                        for c in FEATURE_TABLE_COLUMNS])
 
@@ -57,8 +61,10 @@ class VersionedTable:
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-        except Exception:  # no commit yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # no commit yet
+                return None
+            raise
 
     def state(self) -> tuple[int, int]:
         """(current version, last batch id); (0, -1) before the first commit."""
@@ -94,12 +100,26 @@ class VersionedTable:
         return nv
 
 
+    def append(self, df: DataFrame, state: tuple[int, int] | None = None) -> int:
+        """Add rows to the current version in place; earlier files are not read or rewritten."""
+        v, last = state if state is not None else self.state()
+        df.write.mode("append").parquet(f"{self.root}/v={v}")
+        self.spark.createDataFrame([(v, last + 1)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        return v
+
+
 # ---------------------------------------------------------------- W5, K1, K2
 
 def assign_ids(df: DataFrame, order_col: str = "user_id_raiz", start: int = 1, id_col: str = "id") -> DataFrame:
     """Dense surrogate ids in ``order_col`` order without one global window:
-    rank inside range partitions, then add each partition's offset."""
-    ranged = df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id())
+    rank inside range partitions, then add each partition's offset.
+
+    Range bounds are sampled and partitions may be merged at run time, so the
+    partitioned rows are written once together with their partition number;
+    ranks and offsets both read that copy.
+    """
+    from ..session import checkpoint
+    ranged = checkpoint(df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)))
     sizes = local.groupBy("_pid").agg(F.max("_rn").alias("_n"))  # one row per partition
     offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(
@@ -125,16 +145,20 @@ def assert_feature_table(df: DataFrame) -> DataFrame:
 
 
 def append_features(table: VersionedTable, features: DataFrame, as_of: str, check: bool = True) -> int:
-    """K1 + D2: append with a load timestamp; duplicates of existing user ids raise."""
-    cur = table.read()
-    v, _ = table.state()
-    new = with_load_columns(features, as_of)
-    start = (cur.agg(F.max("id")).first()[0] or 0) + 1 if v else 1
-    new = conform(assign_ids(new, start=start))
-    both = conform(cur).unionByName(new)
-    if check and assert_feature_table(both).limit(1).count() > 0:
-        raise ValueError("append would duplicate user_id_raiz (unique key)")
-    return table.commit(both)
+    """K1 + D2: append with a load timestamp; duplicates of existing user ids raise.
+    Only the new rows are written, and checked among themselves and by a semi
+    join against the ids that are there."""
+    state = table.state()
+    cur = table.read(state)
+    start = (cur.agg(F.max("id")).first()[0] or 0) + 1 if state[0] else 1
+    new = conform(assign_ids(with_load_columns(features, as_of), start=start))
+    if check:
+        clash = assert_feature_table(new).select("user_id_raiz")
+        if state[0]:
+            clash = clash.unionByName(new.join(cur.select("user_id_raiz"), "user_id_raiz", "left_semi").select("user_id_raiz"))
+        if not clash.isEmpty():
+            raise ValueError("append would duplicate user_id_raiz (unique key)")
+    return table.append(new, state) if state[0] else table.commit(new)
 
 
 def truncate_reload(table: VersionedTable, features: DataFrame, as_of: str) -> int:
@@ -155,7 +179,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "user_id_raiz",
     after the current maximum. One full outer join on the key.
     """
     columns = columns or UPSERT_COLUMNS
-    t = conform(target).withColumn("_t", F.lit(True))
+    t = conform(target).withColumn(key, F.col(key).cast(updates.schema[key].dataType)).withColumn("_t", F.lit(True))
     u = updates.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_u_{c}") for c in columns if c in updates.columns])
     j = t.join(u, t[key] == u["_k"], "full_outer")
     matched = F.col("_k").isNotNull()
@@ -178,6 +202,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "user_id_raiz",
 def merge_into(spark: SparkSession, table: str, updates: DataFrame, key: str = "user_id_raiz",
                columns: list[str] | None = None) -> None:
     """K3 for table formats with MERGE (Delta/Iceberg catalogs): rewrite only touched files.
+    Such a table generates ``id`` itself (identity column).
     Not exercised here (no such format on the classpath)."""
     columns = columns or UPSERT_COLUMNS
     src = updates.alias("s")

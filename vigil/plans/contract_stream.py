@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..operators import cdc
 from ..operators import reports as R
 from ..operators import sinks as K
@@ -25,13 +26,13 @@ from .finish import finish
 
 PC = """pc AS (select event_id, source, channel, received_at, payload, json_valid(payload) as ok from change_events),
 pv AS (select event_id, source, channel, received_at, payload->>'table' as tbl, payload->>'operation' as operation,
-   try_cast(payload->>'user_id' as bigint) as user_id, try_cast(payload->>'timestamp' as timestamp) as event_time
+   payload->>'user_id' as user_id, try_cast(payload->>'timestamp' as timestamp) as event_time
    from pc where ok),
 pu AS (select * from pv where user_id is not null),
 lk AS (select distinct * from (select 'root' as space, root_id as id, root_id from id_map
    union all select 'profile', profile_id, root_id from id_map
    union all select 'messaging', messaging_id, root_id from id_map where messaging_id is not null)),
-res AS (select pu.*, lk.root_id from pu join lk on lk.id = pu.user_id and lk.space = case when pu.tbl = 'messages'
+res AS (select pu.*, lk.root_id from pu join lk on cast(lk.id as varchar) = pu.user_id and lk.space = case when pu.tbl = 'messages'
    then 'messaging' when pu.tbl in ('users', 'community_members') then 'profile' else 'root' end),
 lat AS (select * from (select res.*, row_number() over (partition by root_id order by received_at desc, event_id desc) as rn,
    count(*) over (partition by root_id) as n_events from res) where rn = 1)"""
@@ -64,13 +65,20 @@ SCORE = """sc AS (select inc.*, days_since_last_seen_norm * 0.25 + ratio_night_m
 sc2 AS (select sc.*, case when risk_score >= 0.6 then 'ALTO_RIESGO' when risk_score >= 0.3 then 'RIESGO_MODERADO'
      else 'BAJO_RIESGO' end as risk_level, risk_score * 100.0 as severity_index, u.cluster_label as previous_risk
    from sc left join user_feature_vector u on u.user_id_raiz = sc.user_id_raiz)"""
-UPD_MSG = """upd AS (select cast(user_id_raiz as varchar) as user_id, risk_level, round(severity_index, 2) as severity_index,
+
+
+def factor(text: str) -> str:
+    """A fixed alert text as an SQL literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+UPD_MSG = f"""upd AS (select cast(user_id_raiz as varchar) as user_id, risk_level, round(severity_index, 2) as severity_index,
    previous_risk, coalesce(previous_risk is not null and previous_risk <> risk_level, false) as risk_changed,
    tbl as triggering_table, as_of, 'USER_RISK_UPDATE' as type from sc2),
 alr AS (select cast(user_id_raiz as varchar) as user_id, case when severity_index > 80 then 'URGENT' else 'HIGH' end
    as priority, round(severity_index, 2) as severity_index,
-   'Cambio detectado en: ' || tbl || ' | ' || 'Riesgo anterior: ' || coalesce(previous_risk, 'N/A') || ' | '
-   || 'Riesgo actual: ' || risk_level as factors, as_of, 'CRITICAL_ALERT' as type
+   concat_ws(' | ', {factor(C.ALERT_FACTOR_TABLE)} || tbl, {factor(C.ALERT_FACTOR_PREVIOUS)} || ifnull(previous_risk, 'N/A'),
+   {factor(C.ALERT_FACTOR_CURRENT)} || risk_level) as factors, as_of, 'CRITICAL_ALERT' as type
    from sc2 where risk_level = 'ALTO_RIESGO' and previous_risk is distinct from 'ALTO_RIESGO'),
 msgs AS (select user_id, type, as_of as server_timestamp, 'clustering' as channel from upd
    union all select user_id, type, as_of, 'alerts' from alr
@@ -272,7 +280,7 @@ def q_stateful_transitions(spark, sf_dir):
          .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    out = spark.read.schema(PL.TRANSITION_SCHEMA).parquet(f"{base}/out")
+    out = spark.read.schema(PL.transition_schema(hist)).parquet(f"{base}/out")
     return finish(out.select("root_id", "event_id", "received_at", "risk_level", "previous_level", "is_transition"))
 
 

@@ -12,17 +12,19 @@ from pyspark.sql import types as T
 
 from .. import constants as C
 
+# Ids are text: the sources use UUIDs as well as numbers.
+PAYLOAD_ID_COLUMNS = ["message_id", "post_id", "comment_id", "profile_id", "community_id"]
 PAYLOAD_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("operation", T.StringType()),
-    T.StructField("user_id", T.LongType()),
+    T.StructField("user_id", T.StringType()),
     T.StructField("timestamp", T.StringType()),
-    T.StructField("message_id", T.LongType()),
+    T.StructField("message_id", T.StringType()),
     T.StructField("field_changed", T.StringType()),
-    T.StructField("post_id", T.LongType()),
-    T.StructField("comment_id", T.LongType()),
-    T.StructField("profile_id", T.LongType()),
-    T.StructField("community_id", T.LongType()),
+    T.StructField("post_id", T.StringType()),
+    T.StructField("comment_id", T.StringType()),
+    T.StructField("profile_id", T.StringType()),
+    T.StructField("community_id", T.StringType()),
     T.StructField("_corrupt", T.StringType()),
 ])
 
@@ -75,6 +77,7 @@ def parse_changes(events: DataFrame) -> DataFrame:
         F.col("_p.user_id").alias("user_id"),
         F.to_timestamp(F.col("_p.timestamp")).alias("event_time"),
         F.col("_p.field_changed").alias("field_changed"),
+        *[F.col(f"_p.{c}").alias(c) for c in PAYLOAD_ID_COLUMNS],
         bad.alias("is_malformed"))
 
 
@@ -94,14 +97,15 @@ def with_user(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("user_id").isNotNull())
 
 
-def id_lookup(id_map: DataFrame) -> DataFrame:
-    """J9 in long form: (space, id, root_id) for the three id spaces."""
-    return (id_map.select(F.inline(F.array(
-        F.struct(F.lit("root").alias("space"), F.col("root_id").alias("id"), F.col("root_id").alias("root_id")),
-        F.struct(F.lit("profile").alias("space"), F.col("profile_id").alias("id"), F.col("root_id").alias("root_id")),
-        F.struct(F.lit("messaging").alias("space"), F.col("messaging_id").alias("id"),
-                 F.col("root_id").alias("root_id")))))
-        .filter(F.col("id").isNotNull()).dropDuplicates(["space", "id"]))
+def id_lookup(id_map: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """J9 in long form: (space, id as text, root_id) for the three id spaces."""
+    spaces = {"root": "root_id", "profile": "profile_id", "messaging": "messaging_id"}
+    return (id_map.select(F.inline(F.array(*[
+        F.struct(F.lit(s).alias("space"), F.col(c).cast("string").alias("id"), F.col("root_id").alias("root_id"))
+        for s, c in spaces.items()])))
+        .filter(F.col("id").isNotNull()).transform(
+            lambda d: d if wanted is None else d.join(wanted, ["space", "id"], "left_semi"))
+        .dropDuplicates(["space", "id"]))
 
 
 def space_of(table_col) -> F.Column:
@@ -116,8 +120,10 @@ def resolve_users(changes: DataFrame, id_map: DataFrame | None, resolve_ids: boo
     ``resolve_ids=False`` takes the payload id as the root id (reference behaviour)."""
     if not resolve_ids or id_map is None:
         return changes.withColumn("root_id", F.col("user_id"))
-    lk = id_lookup(id_map)
     ch = changes.withColumn("_space", space_of(F.col("table")))
+    # cut the id map down to the ids of these changes before it is de-duplicated
+    wanted = ch.select(F.col("_space").alias("space"), F.col("user_id").alias("id")).distinct()
+    lk = id_lookup(id_map, wanted)
     return (ch.join(lk, (ch["_space"] == lk["space"]) & (ch["user_id"] == lk["id"]), "inner")
             .drop("_space", "space", "id"))
 

@@ -134,17 +134,18 @@ def route_messages(updates: DataFrame, alerts: DataFrame) -> DataFrame:
 
 def history_order() -> list:
     return [F.col("server_timestamp").desc(), F.col("user_id").desc(), F.col("type").desc()]
-SALT_BUCKETS = 64
 
 
-def channel_history(messages: DataFrame, n: int = C.HISTORY_MAX, buckets: int = SALT_BUCKETS) -> DataFrame:
+def channel_history(messages: DataFrame, n: int = C.HISTORY_MAX, buckets: int | None = None) -> DataFrame:
     """Newest n messages per channel (order: time, user, type).
 
     Exact two-stage top-n: a channel has only a few keys, so ranking it in
     one window would put the whole channel in one task. Rows are first ranked
-    inside salted buckets (keep n each), then the ≤ buckets·n survivors per
+    inside salted buckets (keep n each; as many buckets as shuffle partitions,
+    so a hot channel uses every task), then the ≤ buckets·n survivors per
     channel are ranked once more.
     """
+    buckets = buckets or int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64("user_id", "server_timestamp", "type"), F.lit(buckets))
     local = (messages.withColumn("_salt", salt)
              .withColumn("_r", F.row_number().over(Window.partitionBy("channel", "_salt").orderBy(*history_order())))
@@ -169,7 +170,9 @@ def risk_transitions(history: DataFrame, key: str = "root_id", partitions: int |
     """
     order = ["received_at", "event_id"]
     n = partitions or int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = history.repartitionByRange(n, key, *order).withColumn("_p", F.spark_partition_id())
+    from ..session import checkpoint
+    # range bounds are sampled per exchange: number the partitions once, in a written copy
+    r = checkpoint(history.repartitionByRange(n, key, *order).withColumn("_p", F.spark_partition_id()))
     w = Window.partitionBy(key, "_p").orderBy(*order)
     local = (r.withColumn("previous_level", F.lag("risk_level").over(w))
              .withColumn("_first", F.row_number().over(w) == 1))
@@ -295,26 +298,30 @@ def windowed_change_counts(parsed_stream: DataFrame, duration: str = "1 hour", d
 
 # ---------------------------------------------------------------- T10
 
-TRANSITION_SCHEMA = T.StructType([
-    T.StructField("root_id", T.LongType()), T.StructField("event_id", T.LongType()),
-    T.StructField("received_at", T.TimestampType()), T.StructField("risk_level", T.StringType()),
-    T.StructField("previous_level", T.StringType()), T.StructField("is_transition", T.BooleanType()),
-])
+
+
+def transition_schema(events: DataFrame) -> T.StructType:
+    """Output of T10: the id columns keep the types of the events."""
+    return T.StructType([
+        T.StructField("root_id", events.schema["root_id"].dataType),
+        T.StructField("event_id", events.schema["event_id"].dataType),
+        T.StructField("received_at", T.TimestampType()), T.StructField("risk_level", T.StringType()),
+        T.StructField("previous_level", T.StringType()), T.StructField("is_transition", T.BooleanType()),
+    ])
+
+
 STATE_SCHEMA = T.StructType([T.StructField("last_level", T.StringType())])
 
 
 def _transitions(key, pdfs, state):
-    rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["received_at", "event_id"])
-    last = state.get[0] if state.exists else None
-    prev = []
-    for lvl in rows["risk_level"]:
-        prev.append(last)
-        last = lvl
-    state.update((last,))
-    out = rows[["root_id", "event_id", "received_at", "risk_level"]].copy()
-    out["previous_level"] = prev
-    out["is_transition"] = [p != c for p, c in zip(prev, out["risk_level"])]
-    yield out
+    rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["received_at", "event_id"], ignore_index=True)
+    level = rows["risk_level"]
+    previous = level.shift(1)
+    previous.iloc[0] = state.get[0] if state.exists else None
+    state.update((level.iloc[-1],))
+    same = (previous == level) | (previous.isna() & level.isna())
+    yield rows[["root_id", "event_id", "received_at", "risk_level"]].assign(
+        previous_level=previous.where(previous.notna(), None), is_transition=~same)
 
 
 def stateful_transitions(scored_events: DataFrame) -> DataFrame:
@@ -323,5 +330,5 @@ def stateful_transitions(scored_events: DataFrame) -> DataFrame:
 
     return (scored_events.select("root_id", "event_id", "received_at", "risk_level")
             .groupBy("root_id")
-            .applyInPandasWithState(_transitions, TRANSITION_SCHEMA, STATE_SCHEMA, "append",
+            .applyInPandasWithState(_transitions, transition_schema(scored_events), STATE_SCHEMA, "append",
                                     GroupStateTimeout.NoTimeout))
