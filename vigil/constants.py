@@ -122,7 +122,6 @@ PRIORITY_URGENT = "URGENT"
 PRIORITY_HIGH = "HIGH"
 
 # --- fixed values: text scoring ----------------------------------------
-TEXT_MAX_CHARS = 512
 TEXT_MIN_STRIPPED = 3
 MODEL_BATCH = 32
 NEGATIVE_LABELS = ["NEG", "NEGATIVE", "LABEL_0"]

@@ -32,8 +32,7 @@ select p_partkey as id,
 from part""",
     "community_members": """
 select distinct o_custkey+1000000 as user_id, l_partkey as community_id
-from orders join lineitem on o_orderkey=l_orderkey
-where l_returnflag='R' and l_linenumber=1""",
+from orders join lineitem on o_orderkey=l_orderkey""",
     "users": """
 select c_custkey+2000000 as id, c_custkey+1000000 as profile_id,
   case when c_custkey%17=0 then null else m end as last_seen_at,

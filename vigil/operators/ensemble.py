@@ -106,7 +106,7 @@ class EnsembleResult:
         counts = {r["risk_level"]: r["n_users"] for r in dist}
         row = {
             "execution_date": execution_date,
-            "silhouette_score": float(self.metrics.get("silhouette_score", 0.0)),
+            "silhouette_sq": float(self.metrics.get("silhouette_sq", 0.0)),
             "calinski_harabasz": float(self.metrics.get("calinski_harabasz", 0.0)),
             "total_users": int(self.metrics.get("total_users", 0)),
             "high_risk_percentage": float(self.metrics.get("high_risk_percentage", 0.0)),
@@ -117,7 +117,7 @@ class EnsembleResult:
             "cluster_centers": [[float(v) for v in c] for c in self.centers],
         }
         return spark.createDataFrame([row], schema=(
-            "execution_date string, silhouette_score double, calinski_harabasz double, total_users long, "
+            "execution_date string, silhouette_sq double, calinski_harabasz double, total_users long, "
             "high_risk_percentage double, n_bajo long, n_moderado long, n_alto long, risk_cluster_id int, "
             "cluster_centers array<array<double>>"))
 
@@ -160,10 +160,10 @@ def fit_predict(features: DataFrame, n_clusters: int = C.KMEANS_K,
     n_labels = res.select("kmeans_cluster").distinct().limit(2).count()
     metrics = {}
     if n_labels > 1:
-        metrics["silhouette_score"] = QL.silhouette_sq(res, cols, "kmeans_cluster", id_col)[1]
+        metrics["silhouette_sq"] = QL.silhouette_sq(res, cols, "kmeans_cluster", id_col)[1]
         metrics["calinski_harabasz"] = QL.calinski_harabasz(res, cols, "kmeans_cluster")
     else:
-        metrics["silhouette_score"] = 0.0
+        metrics["silhouette_sq"] = 0.0
         metrics["calinski_harabasz"] = 0.0
     tot = R.risk_totals(res).first()
     metrics["total_users"] = tot["total_users"]

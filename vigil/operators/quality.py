@@ -61,7 +61,7 @@ def silhouette_sq(df: DataFrame, cols: list[str] | None = None, cluster: str = "
                   F.col(cols[0]) * F.lit(float(s["s"][0])))
         per[s["k"]] = (s["n"], F.lit(float(s["n"])) * xx - F.lit(2.0) * dot + F.lit(float(s["q"])))
     if len(sums) < 2:
-        return df.select(id_col, F.lit(0.0).alias("silhouette")), 0.0
+        return df.select(id_col, F.lit(0.0).alias("silhouette_sq")), 0.0
     a = None
     b = None
     own_n = None
@@ -72,7 +72,7 @@ def silhouette_sq(df: DataFrame, cols: list[str] | None = None, cluster: str = "
         own_n = F.when(is_own, F.lit(n)) if own_n is None else own_n.when(is_own, F.lit(n))
         other = F.when(~is_own, tot / F.lit(float(n)))
         b = other if b is None else F.least(b, other)
-    s = F.when(own_n <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
-    rows = df.select(F.col(id_col), F.col(cluster), s.alias("silhouette"))
-    mean = rows.agg(F.avg("silhouette").alias("m")).first()["m"]
+    s = F.when((own_n <= 1) | (F.greatest(a, b) <= 0), F.lit(0.0)).otherwise(F.try_divide(b - a, F.greatest(a, b)))
+    rows = df.select(F.col(id_col), F.col(cluster), s.alias("silhouette_sq"))
+    mean = rows.agg(F.avg("silhouette_sq").alias("m")).first()["m"]
     return rows, float(mean if mean is not None else 0.0)

@@ -80,6 +80,19 @@ def distribution_message(df: DataFrame, level: str = "risk_level") -> DataFrame:
             .withColumn("type", F.lit(C.MSG_DISTRIBUTION_UPDATE)))
 
 
+def distribution_update(df: DataFrame, level: str = "risk_level") -> DataFrame:
+    """A17 as the one message: counts and shares per level as two maps, and the JSON body."""
+    rows = distribution_message(df, level)
+    entry = F.sort_array(F.collect_list(F.struct("risk_level", "n_users", "percentage")))
+    out = rows.agg(entry.alias("_e"), F.coalesce(F.max("total_users"), F.lit(0)).alias("total_users"))
+    out = out.select(
+        F.lit(C.MSG_DISTRIBUTION_UPDATE).alias("type"), "total_users",
+        F.map_from_entries(F.transform("_e", lambda e: F.struct(e["risk_level"], e["n_users"]))).alias("distribution"),
+        F.map_from_entries(F.transform("_e", lambda e: F.struct(e["risk_level"], e["percentage"]))).alias("percentages"))
+    payload = F.struct("distribution", "percentages", "total_users")
+    return out.withColumn("body", F.to_json(F.struct("type", payload.alias("payload"))))
+
+
 def distribution_bars(df: DataFrame, level: str = "risk_level") -> DataFrame:
     """Three bars with count and % of all rows (1 dp)."""
     lv = F.col(level)
@@ -131,8 +144,9 @@ def severity_summary(df: DataFrame, sev: str = "severity_index") -> DataFrame:
     s = F.col(sev)
     return df.agg(F.round(F.avg(s), 1).alias("mean_severity"),
                   F.round(F.max(s), 1).alias("max_severity"),
-                  F.round(F.count_if(s >= C.SEVERITY_HIGH_MARK) / F.count(F.lit(1)) * 100.0, 1)
-                  .alias("above_60_percent"))
+                  F.when(F.count(F.lit(1)) > 0, F.round(
+                      F.try_divide(F.count_if(s >= C.SEVERITY_HIGH_MARK), F.count(F.lit(1))) * 100.0, 1))
+                  .otherwise(F.lit(0.0)).alias("above_60_percent"))
 
 
 def chart_histogram(df: DataFrame, sev: str = "severity_index", bins: int = C.CHART_BINS) -> DataFrame:
@@ -250,9 +264,9 @@ def cluster_profiles(matrix: DataFrame, risk_cluster: int | None,
                         F.coalesce(F.col("cluster") == F.lit(risk_cluster), F.lit(False))))
 
 
-def metrics_summary(silhouette: float, calinski: float, results: DataFrame) -> DataFrame:
-    """Chart values — silhouette, min(CH/500, 1), and level shares."""
+def metrics_summary(silhouette_sq: float, calinski: float, results: DataFrame) -> DataFrame:
+    """Chart values — silhouette over squared distances, min(CH/500, 1), and level shares."""
     shares = distribution_bars(results)
-    return shares.select(F.lit(float(silhouette)).alias("silhouette"),
+    return shares.select(F.lit(float(silhouette_sq)).alias("silhouette_sq"),
                          F.lit(min(calinski / C.CH_CHART_SCALE, 1.0)).alias("calinski_scaled"),
                          "risk_level", "n_users", "share")

@@ -10,9 +10,8 @@ negative label, 0..1). Three scorers ship:
 * ``model_adapter`` – wraps any Python batch model through ``mapInPandas``
   (Arrow batches of the model's batch size; model built once per task).
 
-Texts are scored whole (no 512-character prefix): the cut in the reference
-is a model input limit, which the lexicon does not have; a wrapped model
-may still pass ``max_chars``.
+Texts are scored whole (no 512-character prefix): that cut is a model input
+limit, which the lexicon does not have; a wrapped model truncates by itself.
 """
 
 from __future__ import annotations
@@ -45,7 +44,7 @@ def _blank_guard(text: F.Column) -> F.Column:
     return text.isNull() | text.rlike(f"^{ws}*+(?:{nws}{{1,{C.TEXT_MIN_STRIPPED - 1}}})?{ws}*+$")
 
 
-def lexicon_score(text, lexicon: list[str] | None = None, max_chars: int | None = None) -> F.Column:
+def lexicon_score(text, lexicon: list[str] | None = None) -> F.Column:
     """M15 (lexicon form): share of lower-case ASCII word tokens found in the lexicon.
 
     Tokens are maximal ``[a-z]+`` runs of the lower-cased text; hits are
@@ -54,7 +53,7 @@ def lexicon_score(text, lexicon: list[str] | None = None, max_chars: int | None
     """
     lexicon = lexicon or C.NEGATIVE_LEXICON
     t = X.col(text)
-    body = F.lower(F.substring(t, 1, max_chars) if max_chars else t)
+    body = F.lower(t)
     n = F.regexp_count(body, F.lit(TOKEN_PATTERN))
     words = "|".join(lexicon)
     hits = F.regexp_count(body, F.lit(f"(?<![a-z])(?:{words})(?![a-z])"))
@@ -147,7 +146,7 @@ class LexiconModel:
 
 
 def model_adapter(model_factory: Callable[[], Callable[[list[str]], list[float]]] = LexiconModel,
-                  batch_size: int = C.MODEL_BATCH, max_chars: int | None = None):
+                  batch_size: int = C.MODEL_BATCH):
     """Scorer that runs a Python batch model with ``mapInPandas``.
 
     The factory is called once per task (model load), batches follow the
@@ -160,8 +159,6 @@ def model_adapter(model_factory: Callable[[], Callable[[list[str]], list[float]]
             model = model_factory()
             for pdf in batches:
                 texts = pdf[text_col].fillna("").astype(str).tolist()
-                if max_chars:
-                    texts = [t[:max_chars] for t in texts]
                 scores: list[float] = []
                 for i in range(0, len(texts), batch_size):
                     scores.extend(model(texts[i:i + batch_size]))

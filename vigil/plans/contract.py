@@ -35,7 +35,10 @@ def register(name: str, sql: str | None):
     return deco
 
 
-_SOURCES: dict[tuple[int, str], SourceTables] = {}
+def session_cache(spark: SparkSession, name: str) -> dict:
+    """A dict that lives as long as the session object itself."""
+    caches = spark.__dict__.setdefault("_vigil_caches", {})
+    return caches.setdefault(name, {})
 
 
 def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
@@ -45,10 +48,10 @@ def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
     ensure_checkpoint_dir(spark)
     # fixture timestamps are zone-less (as DuckDB reads them): compare in UTC
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir)
-    if key not in _SOURCES:
-        _SOURCES[key] = SourceTables.from_fixtures(spark, sf_dir)
-    return _SOURCES[key]
+    cache = session_cache(spark, "sources")
+    if sf_dir not in cache:
+        cache[sf_dir] = SourceTables.from_fixtures(spark, sf_dir)
+    return cache[sf_dir]
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +208,20 @@ def q_distribution_message(spark, sf_dir):
     return finish(R.distribution_message(R.heuristic_risk(feature_table(spark, sf_dir))))
 
 
+@register("distribution_update", O.q(O.HEUR, final="""select 'DISTRIBUTION_UPDATE' as type, sum(n) as total_users,
+  string_agg(risk_level || '=' || n, ',' order by risk_level) as counts,
+  string_agg(risk_level || '=' || round(n * 100.0 / total, 1), ',' order by risk_level) as shares
+ from (select risk_level, count(*) as n, sum(count(*)) over () as total from heur2 group by risk_level)"""))
+def q_distribution_update(spark, sf_dir):
+    m = R.distribution_update(R.heuristic_risk(feature_table(spark, sf_dir)))
+
+    def flat(c):
+        pairs = F.sort_array(F.map_entries(c))
+        return F.array_join(F.transform(pairs, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+
+    return finish(m.select("type", "total_users", flat("distribution").alias("counts"), flat("percentages").alias("shares")))
+
+
 @register("distribution_bars", O.q(O.LEVELS_CTE, O.HEUR, final="""select l.risk_level, l.label, l.ordinal,
   coalesce(c.n, 0) as n_users,
   case when t.total > 0 then round(coalesce(c.n, 0) / t.total * 100.0, 1) else 0.0 end as share
@@ -214,12 +231,16 @@ def q_distribution_bars(spark, sf_dir):
     return finish(R.distribution_bars(R.heuristic_risk(feature_table(spark, sf_dir))))
 
 
-@register("radar_by_level", O.q(final="""select cluster_label as risk_level,
-  round(avg(reciprocity_ratio_norm), 3) as reciprocity, round(avg(days_since_last_seen_norm), 3) as inactivity,
-  round(avg(ratio_night_messages), 3) as night_messages,
-  round(avg(case when is_profile_incomplete then 1.0 else 0.0 end), 3) as profile_incomplete,
-  round(avg(sentiment_negativity_index), 3) as negativity, round(avg(num_community_categories_norm), 3) as community
- from user_feature_vector where cluster_label is not null group by cluster_label"""))
+RADAR = {"reciprocity": "reciprocity_ratio_norm", "inactivity": "days_since_last_seen_norm",
+         "night_messages": "ratio_night_messages", "profile_incomplete": "cast(is_profile_incomplete as integer)",
+         "negativity": "sentiment_negativity_index", "community": "num_community_categories_norm"}
+# one row per user and axis, averaged per level
+RADAR_LONG = f"""axis AS (select cluster_label as risk_level, unnest({list(RADAR)}) as k,
+  unnest([{', '.join(RADAR.values())}]::double[]) as v from user_feature_vector where cluster_label is not null)"""
+
+
+@register("radar_by_level", O.q(RADAR_LONG, final="select risk_level, " + ", ".join(
+    f"round(avg(v) filter (where k = '{k}'), 3) as {k}" for k in RADAR) + " from axis group by risk_level"))
 def q_radar_by_level(spark, sf_dir):
     return finish(R.radar_by_level(feature_table(spark, sf_dir)))
 

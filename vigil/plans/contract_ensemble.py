@@ -21,7 +21,7 @@ from ..operators import quality as QL
 from ..operators import reports as R
 from ..operators import stats as ST
 from . import oracle as O
-from .contract import AS_OF, register, sources
+from .contract import AS_OF, register, session_cache, sources
 from .finish import finish
 
 FC = C.FEATURE_COLUMNS
@@ -228,10 +228,10 @@ sab AS (select sp.i, max(case when sp.cj = sp.ci then sp.s / greatest(o.n - 1, 1
 
 
 @register("silhouette_fixed", O.q(*MATRIX_CTES, ASG, _SIL_SQL, final="""select
-  round(avg(case when own <= 1 then 0.0 else (b - a) / greatest(a, b) end), 6) as silhouette from sab"""))
+  round(avg(case when own <= 1 then 0.0 else (b - a) / greatest(a, b) end), 6) as silhouette_sq from sab"""))
 def q_silhouette_fixed(spark, sf_dir):
     _, mean = QL.silhouette_sq(assigned(spark, sf_dir))
-    return finish(spark.range(1).select(F.lit(float(mean)).alias("silhouette")))
+    return finish(spark.range(1).select(F.lit(float(mean)).alias("silhouette_sq")))
 
 
 @register("feature_covariance", O.q(*MATRIX_CTES, final="select * from (" + " union all ".join(
@@ -268,7 +268,7 @@ def q_users_by_level(spark, sf_dir):
 
 
 @register("metrics_summary", O.q(*FIXED_ALL, _CH_SQL, _SIL_SQL, O.LEVELS_CTE, final="""select
-  (select round(avg(case when own <= 1 then 0.0 else (b - a) / greatest(a, b) end), 6) from sab) as silhouette,
+  (select round(avg(case when own <= 1 then 0.0 else (b - a) / greatest(a, b) end), 6) from sab) as silhouette_sq,
   (select round(least(case when k < 2 then 0.0 when ssw = 0 then 1.0 else ssb * (n - k) / (ssw * (k - 1.0)) end / 500.0, 1.0), 6)
      from ch_n cross join ch_ssb cross join ch_ssw) as calinski_scaled,
   l.risk_level, coalesce(c.n, 0) as n_users,
@@ -311,15 +311,12 @@ def q_pca_projection(spark, sf_dir):
     return finish(PJ.pca_project(mat, PJ.fit_pca(mat)).select("user_id_raiz", "pca_x", "pca_y"))
 
 
-_FITS: dict = {}
-
-
 def _ensemble(spark, sf_dir):
     """One seeded fit per session and folder, shared by the queries that read it."""
-    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir)
-    if key not in _FITS:
-        _FITS[key] = EN.fit_predict(ensemble_features(sources(spark, sf_dir)))
-    return _FITS[key]
+    cache = session_cache(spark, "fits")
+    if sf_dir not in cache:
+        cache[sf_dir] = EN.fit_predict(ensemble_features(sources(spark, sf_dir)))
+    return cache[sf_dir]
 
 
 @register("ensemble_results", None)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -36,8 +35,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    A cluster sets ``spark.checkpoint.dir`` to shared storage; we only set a
-    local one when nothing is configured (tests, the bench).
+    A cluster sets ``spark.checkpoint.dir`` to shared storage. Only a local
+    master (tests, the bench) gets a folder of its own when nothing is set.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -45,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="vigil-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -52,10 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def checkpoint(df):
