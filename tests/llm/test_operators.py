@@ -9,7 +9,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from vigil.llm import chat, decontam, fm, graph, langid, linededup, mixing, pii, quality, simhash, terms, urlfilter
+from vigil.llm import chat, decontam, fm, langid, linededup, mixing, pii, quality, simhash, terms, urlfilter
+from vigil.operators import graph
 
 from .conftest import as_set
 

@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import BROADCAST_ROWS, is_small, lookup_join  # noqa: F401  (used through this module)
 from ..session import checkpoint
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD_SEP = r"[\x20\x09-\x0D]+"
 NON_WORD_SEP = r"[^\x20\x09-\x0D]+"
-#: Rows up to which a lookup table is broadcast; above it the join is salted.
-BROADCAST_ROWS = 500_000
-#: Copies of the lookup table in a salted join: a key with a third of all rows
-#: is read by this many tasks.
-SALTS = 16
-
 
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z only; other letters (É, Ü …) keep their case."""
@@ -42,27 +37,6 @@ def row_key(*cols: str) -> Column:
     return F.md5(F.concat_ws("\u001f", *parts))
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a (materialised or cheap) table has at most that many rows."""
-    return rows >= 0 and df.limit(rows + 1).count() <= rows
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str,
-                rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a large table that may have hot keys to a table with unique keys.
-
-    The right side is broadcast when its counted rows allow it. Beyond that it
-    is repeated ``SALTS`` times and every left row picks one copy, so that a hot
-    key is spread over tasks; the result is the same.
-    """
-    if is_small(right, rows):
-        return left.join(F.broadcast(right), on, how)
-    salt = "__salt"
-    copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = left.withColumn(salt, F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int"))
-    return dealt.join(copies, [*on, salt], how).drop(salt)
-
-
 def settled(df: DataFrame) -> DataFrame:
     """The rows written once to the shared checkpoint folder; later plans read
     those files, also after executors are lost."""

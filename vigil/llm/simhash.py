@@ -39,8 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.graph import components
 from .common import is_small, lookup_join, row_key, settled, small_batches
-from .graph import components
 
 LEAF = 64
 OVERLAP = 1.45
