@@ -8,10 +8,12 @@ the six risk features); rows of sparse cells are < min_samples per cell.
 
 Pair work happens only (a) for sparse-cell points against cells their
 ε-ball partly overlaps and (b) for core-cell pairs whose core boxes are
-neither surely within eps nor surely apart. Components of the core-cell
-graph come from iterated min-label joins, checkpointed each round.
+neither surely within eps nor surely apart. Such cells are halved again and
+again, and only the sub-cells that boxes can't settle are looked at further,
+so no dense cell meets another point by point. Components of the core-cell
+graph come from star joins, checkpointed each round.
 
-Labels follow the reference library given user-id order: a cluster is
+Labels follow user-id order: a cluster is
 numbered by the rank of its least core user id; a border point takes the
 least cluster number among its core neighbours; noise is −1.
 """
@@ -20,11 +22,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .graph import components
+from .joins import lookup_join
 
 TOL = 1e-9
 
@@ -125,180 +128,201 @@ def cell_pairs(cells: DataFrame, d: int, eps: float, targets: DataFrame | None =
     return j.filter(_box_box_min2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2))
 
 
-DRIVER_EDGE_LIMIT = 200_000
+#: Pairs of points of two sub-cells up to which they are compared one by one.
+PAIR_WORK = 256
+#: Halvings after which doubles of one cell can't be told apart any further.
+LAST_LEVEL = 50
 
 
-def _components(lab: DataFrame, edges: DataFrame) -> DataFrame:
-    """Min label per connected component of the core-cell graph.
+def _components(cells: DataFrame, edges: DataFrame) -> DataFrame:
+    """(cid, label): the least cell id connected to each cell."""
+    roots = components(edges.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")))
+    return _cut(cells.select("cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+                .select("cid", F.coalesce("root", "cid").alias("label")))
 
-    The graph is bounded by the grid, not the data. When its edge list is
-    within ``DRIVER_EDGE_LIMIT`` rows (checked with a count), union-find on
-    the driver does it in one pass; beyond that, distributed propagation.
+
+def _sub_key(d: int, side: float, level: int):
+    """Key of the sub-cell (cell side halved ``level`` times) a point lies in."""
+    if level == 0:
+        return F.lit(0).cast("long")
+    step = side / 2 ** level
+    return F.xxhash64(*[F.floor(F.col(f"x{i}") / F.lit(step)) for i in range(d)])
+
+
+def _sub_cells(pts: DataFrame, d: int, side: float, level: int) -> DataFrame:
+    """(cid, parent, key, n, lo, hi, one point) of the occupied sub-cells of a level."""
+    return (pts.groupBy("cid", _sub_key(d, side, level - 1).alias("parent"), _sub_key(d, side, level).alias("key"))
+            .agg(F.count(F.lit(1)).alias("n"), *[F.min(f"x{i}").alias(f"lo{i}") for i in range(d)],
+                 *[F.max(f"x{i}").alias(f"hi{i}") for i in range(d)],
+                 F.min(F.struct(*[f"x{i}" for i in range(d)])).alias("one")))
+
+
+def _side_of(sub: DataFrame, d: int, s: str) -> DataFrame:
+    """Sub-cell columns as those of side a or b of a pair."""
+    return sub.select(F.col("cid").alias(f"cid_{s}"), F.col("parent").alias(f"key_{s}"), F.col("key").alias(f"next_{s}"),
+                      F.col("n").alias(f"n_{s}"), *[F.col(f"{v}{i}").alias(f"{s}{v}{i}") for v in ("lo", "hi") for i in range(d)],
+                      *[F.col("one")[f"x{i}"].alias(f"{s}one{i}") for i in range(d)])
+
+
+def _near_cells(open_pairs: DataFrame, pts: DataFrame, d: int, side: float, eps2: float) -> DataFrame:
+    """Of (cid_a, cid_b), the pairs with two points within eps.
+
+    Both cells are halved again and again. A pair of sub-cells is settled by
+    its boxes (all pairs within, or none) or by one point of each; only pairs
+    that stay open are halved further, and compared point by point when few.
+    A cell pair leaves as soon as one near pair is known.
     """
-    if edges.count() > DRIVER_EDGE_LIMIT:
-        return _propagate(lab, edges)
-    nodes = {r["cid"]: r["label"] for r in lab.collect()}
-    parent = {c: c for c in nodes}
-
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for r in edges.collect():
-        ra, rb = find(r["cid_a"]), find(r["cid_b"])
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-    best: dict[int, int] = {}
-    for c, lbl in nodes.items():
-        root = find(c)
-        best[root] = min(best.get(root, lbl), lbl)
-    rows = [(c, best[find(c)]) for c in nodes]
-    return lab.sparkSession.createDataFrame(rows, "cid long, label long")
-
-
-def _propagate(lab: DataFrame, edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
-    """Min-label propagation over the cell graph until stable (checkpointed rounds)."""
-    for rounds in range(1, max_rounds + 1):
-        nb = (edges.join(lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("nl")), "cid_b")
-              .groupBy("cid_a").agg(F.min("nl").alias("nl")))
-        new = _cut(lab.join(nb, lab["cid"] == nb["cid_a"], "left")
-                   .select("cid", F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("label")))
-        changed = (new.join(lab.select("cid", F.col("label").alias("old")), "cid")
-                   .filter(F.col("label") != F.col("old")).limit(1).count())
-        lab = new
-        if changed == 0:
-            _log(f"dbscan: {rounds} label rounds")
-            return lab
-    raise RuntimeError("label propagation did not converge")
+    cids = open_pairs.select(F.explode(F.array("cid_a", "cid_b")).alias("cid")).distinct()
+    pts = _cut(pts.join(cids, "cid", "left_semi").select("cid", *[f"x{i}" for i in range(d)]))
+    zero = F.lit(0).cast("long")
+    todo = _cut(open_pairs.select("cid_a", "cid_b", zero.alias("key_a"), zero.alias("key_b")))
+    found, level = [], 0
+    while not todo.isEmpty():
+        level += 1
+        sub = _sub_cells(pts, d, side, level)
+        j = todo.join(_side_of(sub, d, "a"), ["cid_a", "key_a"]).join(_side_of(sub, d, "b"), ["cid_b", "key_b"])
+        one = _sum(_sq(F.col(f"aone{i}") - F.col(f"bone{i}")) for i in range(d))
+        hit = (_box_box_max2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2)) | (one <= F.lit(eps2))
+        j = _cut(j.filter(_box_box_min2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2))
+                 .select("cid_a", "cid_b", F.col("next_a").alias("key_a"), F.col("next_b").alias("key_b"),
+                         (F.col("n_a") * F.col("n_b")).alias("work"), hit.alias("hit")))
+        hits = _cut(j.filter("hit").select("cid_a", "cid_b").distinct())
+        rest = j.filter("NOT hit").join(hits, ["cid_a", "cid_b"], "left_anti")
+        few = F.col("work") <= F.lit(PAIR_WORK if level < LAST_LEVEL else 2 ** 62)
+        key = _sub_key(d, side, level)
+        pa, pb = (pts.select(F.col("cid").alias(f"cid_{s}"), key.alias(f"key_{s}"),
+                             *[F.col(f"x{i}").alias(f"{v}{i}") for i in range(d)]) for s, v in (("a", "p"), ("b", "q")))
+        exact = (rest.filter(few).join(pa, ["cid_a", "key_a"]).join(pb, ["cid_b", "key_b"])
+                 .filter(_pt_dist2(d, "p", "q") <= F.lit(eps2)).select("cid_a", "cid_b").distinct())
+        found += [hits, _cut(exact)]
+        todo = _cut(rest.filter(~few).join(found[-1], ["cid_a", "cid_b"], "left_anti")
+                    .select("cid_a", "cid_b", "key_a", "key_b"))
+        _log(f"dbscan: open cell pairs, level {level}")
+    out = open_pairs.select("cid_a", "cid_b").limit(0)
+    for f in found:
+        out = out.unionByName(f)
+    return out.distinct()
+
+
+def _near_points(cand: DataFrame, pts: DataFrame, d: int, side: float, eps2: float, enough: int) -> DataFrame:
+    """(pid, cid_b, hits) for candidates (pid, p…, cid_b): the points of the cell
+    within eps, exact below ``enough`` and at least ``enough`` otherwise.
+
+    Sub-cells wholly within eps count without being read; only those that the
+    ball cuts are halved further, and only while the point needs more hits.
+    """
+    P = [f"p{i}" for i in range(d)]
+    cells = cand.select(F.col("cid_b").alias("cid")).distinct()
+    pts = _cut(pts.join(cells, "cid", "left_semi").select("cid", *[f"x{i}" for i in range(d)]))
+    todo = _cut(cand.select("pid", *P, "cid_b", F.lit(0).cast("long").alias("key_b")))
+    done, level = None, 0
+    while not todo.isEmpty():
+        level += 1
+        j = todo.join(_side_of(_sub_cells(pts, d, side, level), d, "b"), ["cid_b", "key_b"])
+        within = _pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)
+        j = _cut(j.filter(_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2))
+                 .select("pid", *P, "cid_b", F.col("next_b").alias("key_b"), "n_b", within.alias("within")))
+        few = ~F.col("within") & (F.col("n_b") <= F.lit(PAIR_WORK if level < LAST_LEVEL else 2 ** 62))
+        q = pts.select(F.col("cid").alias("cid_b"), _sub_key(d, side, level).alias("key_b"),
+                       *[F.col(f"x{i}").alias(f"q{i}") for i in range(d)])
+        exact = j.filter(few).join(q, ["cid_b", "key_b"]).filter(_pt_dist2(d, "p", "q") <= F.lit(eps2))
+        new = j.filter("within").select("pid", "cid_b", F.col("n_b").alias("hits")).unionByName(
+            exact.select("pid", "cid_b", F.lit(1).cast("long").alias("hits")))
+        new = new if done is None else new.unionByName(done)
+        done = _cut(new.groupBy("pid", "cid_b").agg(F.sum("hits").alias("hits")))
+        full = done.filter(F.col("hits") >= enough).select("pid", "cid_b")
+        todo = _cut(j.filter(~F.col("within") & ~few).join(full, ["pid", "cid_b"], "left_anti")
+                    .select("pid", *P, "cid_b", "key_b"))
+        _log(f"dbscan: points against cut cells, level {level}")
+    return done if done is not None else cand.select("pid", "cid_b", F.lit(0).cast("long").alias("hits")).limit(0)
+
+
+def _as_point(df: DataFrame, d: int) -> DataFrame:
+    return df.select("pid", F.col("cid").alias("cid_a"), *[F.col(f"x{i}").alias(f"p{i}") for i in range(d)])
 
 
 def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSCAN_EPS,
            min_samples: int = C.DBSCAN_MIN_SAMPLES, id_col: str = "user_id_raiz",
            labels: bool = True) -> DataFrame:
     """Returns (id, is_core, dbscan_cluster, vote_dbscan); ``labels=False`` skips
-    cluster numbering and returns core/noise only (dbscan_cluster = −1 for noise, 0 otherwise)."""
+    cluster numbering and returns core/noise only (dbscan_cluster = −1 for noise, 0
+    otherwise). Ids of any ordered type."""
     cols = cols or C.FEATURE_COLUMNS
     d = len(cols)
-    eps2 = eps * eps
-    K = [f"k{i}" for i in range(d)]
-    A = [f"a{i}" for i in range(d)]
-    B = [f"b{i}" for i in range(d)]
-
-    # one reliable write of (id, features, cell): every later step reads it
-    pts = _cut(grid_points(matrix, cols, eps, id_col))
-    cells = cell_table(pts, d).persist(StorageLevel.MEMORY_AND_DISK)
-    _log("dbscan: points gridded")
-    pairs = _cut(cell_pairs(cells, d, eps))  # grid-bounded; reused by every pair step
-    _log("dbscan: cell pairs materialized")
-
-    # ---- core flags for points of sparse cells (bounded set)
-    sparse_cells = cells.filter(F.col("n") < min_samples).select(*K)
-    sp = pts.join(sparse_cells, K, "left_semi")
-    sp_a = _ren(sp, {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"x{i}": f"p{i}" for i in range(d)}})
-    cand = sp_a.join(pairs.select(*A, *B, "nb", *[f"blo{i}" for i in range(d)], *[f"bhi{i}" for i in range(d)]), A)
-    full = _pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)
-    near = _pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2)
-    full_counts = cand.filter(full).groupBy("pid").agg(F.sum("nb").alias("c_full"))
-    part = cand.filter(~full & near).select("pid", *[f"p{i}" for i in range(d)], *B)
-    others = _ren(pts, {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"x{i}": f"q{i}" for i in range(d)},
-                        "pid": "qid"})
-    part_counts = (part.join(others, B).filter(_pt_dist2(d, "p", "q") <= F.lit(eps2))
-                   .groupBy("pid").agg(F.count(F.lit(1)).alias("c_part")))
-    sp_core = (sp.select("pid").join(full_counts, "pid", "left").join(part_counts, "pid", "left")
-               .select("pid", ((F.coalesce("c_full", F.lit(0)) + F.coalesce("c_part", F.lit(0)))
-                               >= min_samples).alias("sp_core")))
-    flagged = (pts.join(cells.select(*K, "n"), K)
-               .join(sp_core, "pid", "left")
-               .withColumn("is_core", (F.col("n") >= min_samples) | F.coalesce(F.col("sp_core"), F.lit(False)))
-               .drop("n", "sp_core"))
-    flagged = _cut(flagged)  # read by core, non-core and output branches
-
-    _log("dbscan: grid built")
-    core_pts = flagged.filter("is_core")
-    noncore = flagged.filter(~F.col("is_core"))
-
-    if not labels:
-        # noise = non-core with no core point within eps
-        nc = _ren(noncore, {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"x{i}": f"p{i}" for i in range(d)}})
-        cp = _ren(core_pts, {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"x{i}": f"q{i}" for i in range(d)},
-                             "pid": "qid"}).drop("is_core")
-        reach = (nc.join(pairs.select(*A, *B), A).join(cp, B)
-                 .filter(_pt_dist2(d, "p", "q") <= F.lit(eps2)).select("pid").distinct()
-                 .withColumn("_border", F.lit(True)))
-        out = (flagged.join(reach, "pid", "left")
-               .select(F.col("pid").alias(id_col), "is_core",
-                       F.when(F.col("is_core") | F.coalesce("_border", F.lit(False)), F.lit(0))
-                       .otherwise(F.lit(-1)).alias("dbscan_cluster")))
-        return out.withColumn("vote_dbscan", (F.col("dbscan_cluster") == -1).cast("int"))
-
-    # ---- connected components over cells holding core points
-    core_cells = (core_pts.groupBy(*K)
-                  .agg(F.min("pid").alias("minpid"),
-                       *[F.min(f"x{i}").alias(f"clo{i}") for i in range(d)],
-                       *[F.max(f"x{i}").alias(f"chi{i}") for i in range(d)]))
-    # bounded by the grid; one small ordered window for dense cell ids
-    core_cells = core_cells.withColumn("cid", F.row_number().over(Window.orderBy(*K))).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    ca = _ren(core_cells, {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"clo{i}": f"alo{i}" for i in range(d)},
-                           **{f"chi{i}": f"ahi{i}" for i in range(d)}, "cid": "cid_a", "minpid": "min_a"})
-    cb = _ren(core_cells, {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"clo{i}": f"blo{i}" for i in range(d)},
-                           **{f"chi{i}": f"bhi{i}" for i in range(d)}, "cid": "cid_b", "minpid": "min_b"})
-    cpairs = (pairs.select(*A, *B).join(ca, A).join(cb, B).filter(F.col("cid_a") != F.col("cid_b")))
-    sure = _box_box_max2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2)
-    maybe = _box_box_min2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2)
-    edges_sure = cpairs.filter(sure).select("cid_a", "cid_b")
-    unsure = cpairs.filter(~sure & maybe).filter(F.col("cid_a") < F.col("cid_b"))
-    pa = _ren(core_pts.drop("is_core"), {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"x{i}": f"p{i}" for i in range(d)}})
-    pb = _ren(core_pts.drop("is_core"), {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"x{i}": f"q{i}" for i in range(d)},
-                                         "pid": "qid"})
-    _log("dbscan: core flags materialized")
-    # 1) components over edges that need no pair work
-    edges_sure = _cut(edges_sure)
-    _log("dbscan: sure edges materialized")
-    lab = _components(core_cells.select(F.col("cid").cast("long"), F.col("minpid").cast("long").alias("label")),
-                      edges_sure)
-    _log("dbscan: components over sure edges")
-    # 2) only unsure pairs that still join two different components matter
-    la = lab.select(F.col("cid").alias("cid_a"), F.col("label").alias("la"))
-    lb = lab.select(F.col("cid").alias("cid_b"), F.col("label").alias("lb"))
-    open_pairs = unsure.join(la, "cid_a").join(lb, "cid_b").filter(F.col("la") != F.col("lb")).drop("la", "lb")
-    near_a = (open_pairs.select("cid_a", "cid_b", *A, *B, *[f"blo{i}" for i in range(d)],
-                                *[f"bhi{i}" for i in range(d)])
-              .join(pa, A).filter(_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2)))
-    near_a = _cut(near_a)
-    _log("dbscan: points near open pairs materialized")
-    # a point within eps of the whole core box of b settles the pair without pair work
-    by_box = near_a.filter(_pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)).select("cid_a", "cid_b").distinct()
-    rest = near_a.join(by_box, ["cid_a", "cid_b"], "left_anti").select(
-        "cid_a", "cid_b", *[f"p{i}" for i in range(d)], *B)
-    # existence only: a left-semi join stops at the first core neighbour of each point
-    cond = [rest[f"b{i}"] == pb[f"b{i}"] for i in range(d)] + [
-        _sum(_sq(rest[f"p{i}"] - pb[f"q{i}"]) for i in range(d)) <= F.lit(eps2)]
-    by_pair = rest.join(pb, cond, "left_semi").select("cid_a", "cid_b").distinct()
-    extra = _cut(by_box.unionByName(by_pair).distinct())
-    _log("dbscan: open pairs checked")
-    if extra.limit(1).count() > 0:
-        both = extra.unionByName(extra.select(F.col("cid_b").alias("cid_a"), F.col("cid_a").alias("cid_b")))
-        lab = _components(lab, _cut(edges_sure.unionByName(both).distinct()))
-    # cluster number = rank of the component's least core user id (components ≤ cells)
-    comp = lab.select("label").distinct()
-    comp = comp.withColumn("cluster", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int"))
-    cell_cluster = (core_cells.select(*K, "cid").join(lab, "cid").join(comp, "label").select(*K, "cluster"))
-    core_lab = core_pts.join(cell_cluster, K).select("pid", "cluster")
-
-    # ---- border points: least cluster among core neighbours
-    nc = _ren(noncore.drop("is_core"), {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"x{i}": f"p{i}" for i in range(d)}})
-    cq = _ren(core_pts.drop("is_core").join(core_lab, "pid"),
-              {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"x{i}": f"q{i}" for i in range(d)}, "pid": "qid"})
-    border = (nc.join(pairs.select(*A, *B), A).join(cq, B)
-              .filter(_pt_dist2(d, "p", "q") <= F.lit(eps2))
-              .groupBy("pid").agg(F.min("cluster").alias("bcl")))
-    out = (flagged.select("pid", "is_core").join(core_lab, "pid", "left").join(border, "pid", "left")
-           .select(F.col("pid").alias(id_col), "is_core",
-                   F.coalesce(F.col("cluster"), F.col("bcl"), F.lit(-1)).cast("int").alias("dbscan_cluster")))
-    return out.withColumn("vote_dbscan", (F.col("dbscan_cluster") == -1).cast("int"))
+    eps2, side = eps * eps, eps / math.sqrt(len(cols))
+    K, A, B = ([f"{v}{i}" for i in range(d)] for v in "kab")
+    X = [f"x{i}" for i in range(d)]
+    boxes = [f"{s}{v}{i}" for s in "ab" for v in ("lo", "hi") for i in range(d)]
+
+    grid = grid_points(matrix, cols, eps, id_col)
+    # the occupied cells are bounded by the domain, so is the window that numbers them
+    cells = _cut(cell_table(grid, d).withColumn("cid", F.row_number().over(Window.orderBy(*K)).cast("long")))
+    pts = _cut(lookup_join(grid, cells.select(*K, "cid", "n"), K, "inner").select("pid", "cid", "n", *X))
+    ids = cells.select(*K, "cid")
+    pairs = cell_pairs(cells, d, eps)
+    pairs = _cut(pairs.join(_ren(ids, {**dict(zip(K, A)), "cid": "cid_a"}), A)
+                 .join(_ren(ids, {**dict(zip(K, B)), "cid": "cid_b"}), B)
+                 .select("cid_a", "cid_b", "na", "nb", *boxes))
+    _log("dbscan: points and cell pairs written")
+
+    # ---- core flags: dense cells are all core, points of sparse cells are counted
+    cand = _as_point(pts.filter(F.col("n") < min_samples), d).join(
+        pairs.select("cid_a", "cid_b", "nb", *[c for c in boxes if c[0] == "b"]), "cid_a")
+    within = _pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)
+    cand = _cut(cand.filter(_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2))
+                .select("pid", *[f"p{i}" for i in range(d)], "cid_b", "nb", within.alias("within")))
+    sure = cand.filter("within").groupBy("pid").agg(F.sum("nb").alias("hits"))
+    lacking = cand.filter("NOT within").join(sure.filter(F.col("hits") >= min_samples), "pid", "left_anti")
+    counted = _near_points(lacking, pts, d, side, eps2, min_samples)
+    sparse_core = (sure.unionByName(counted.select("pid", "hits")).groupBy("pid").agg(F.sum("hits").alias("hits"))
+                   .filter(F.col("hits") >= min_samples).select("pid", F.lit(True).alias("sparse_core")))
+    flagged = _cut(lookup_join(pts, sparse_core, ["pid"], "left").select(
+        "pid", "cid", *X, ((F.col("n") >= min_samples) | F.coalesce("sparse_core", F.lit(False))).alias("is_core")))
+    core = flagged.filter("is_core").select("pid", "cid", *X)
+    _log("dbscan: core flags written")
+
+    core_cells = _cut(core.groupBy("cid").agg(
+        F.min("pid").alias("least"), *[F.min(f"x{i}").alias(f"lo{i}") for i in range(d)],
+        *[F.max(f"x{i}").alias(f"hi{i}") for i in range(d)]))
+
+    def end_of(s: str) -> DataFrame:
+        return core_cells.select(F.col("cid").alias(f"cid_{s}"),
+                                 *[F.col(f"{v}{i}").alias(f"{s}{v}{i}") for v in ("lo", "hi") for i in range(d)])
+
+    if labels:
+        # ---- components of the core cells: first over the pairs that boxes settle
+        both = pairs.select("cid_a", "cid_b").filter("cid_a < cid_b").join(end_of("a"), "cid_a").join(end_of("b"), "cid_b")
+        both = _cut(both.filter(_box_box_min2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2)).select(
+            "cid_a", "cid_b", (_box_box_max2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2)).alias("sure")))
+        edges = both.filter("sure").select("cid_a", "cid_b")
+        lab = _components(core_cells, edges)
+        # only open pairs between two components matter
+        open_pairs = both.filter("NOT sure").select("cid_a", "cid_b")
+        for s in "ab":
+            open_pairs = open_pairs.join(lab.select(F.col("cid").alias(f"cid_{s}"), F.col("label").alias(f"l{s}")), f"cid_{s}")
+        open_pairs = _cut(open_pairs.filter("la <> lb").select("cid_a", "cid_b"))
+        if not open_pairs.isEmpty():
+            lab = _components(core_cells, edges.unionByName(_near_cells(open_pairs, core, d, side, eps2)))
+        # cluster number = rank of the component's least core id (components ≤ cells)
+        first = lab.join(core_cells.select("cid", "least"), "cid").groupBy("label").agg(F.min("least").alias("least"))
+        number = first.select("label", (F.dense_rank().over(Window.orderBy("least")) - 1).cast("int").alias("cluster"))
+        cluster = _cut(lab.join(number, "label").select("cid", "cluster"))
+        _log("dbscan: clusters numbered")
+    else:
+        cluster = core_cells.select("cid", F.lit(0).alias("cluster"))
+
+    # ---- border points: least cluster among the cells with a core point within eps
+    reach = _as_point(flagged.filter("NOT is_core"), d).join(pairs.select("cid_a", "cid_b"), "cid_a").join(end_of("b"), "cid_b")
+    reach = _cut(reach.filter(_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2)).select(
+        "pid", *[f"p{i}" for i in range(d)], "cid_b", within.alias("within")))
+    near = reach.filter("within").select("pid", "cid_b").unionByName(
+        _near_points(reach.filter("NOT within"), core, d, side, eps2, 1).filter("hits > 0").select("pid", "cid_b"))
+    border = (near.join(_ren(cluster, {"cid": "cid_b"}), "cid_b").groupBy("pid").agg(F.min("cluster").alias("border")))
+    out = lookup_join(flagged.select("pid", "cid", "is_core"), cluster, ["cid"], "left")
+    out = lookup_join(out, _cut(border), ["pid"], "left")
+    label = F.when(F.col("is_core"), F.col("cluster")).otherwise(F.coalesce("border", F.lit(-1)))
+    return (out.select(F.col("pid").alias(id_col), "is_core", label.cast("int").alias("dbscan_cluster"))
+            .withColumn("vote_dbscan", (F.col("dbscan_cluster") == -1).cast("int")))
 
 
 def assign_to_fit(points: DataFrame, core: DataFrame, cols: list[str] | None = None,

@@ -46,12 +46,12 @@ def fit_pca(df: DataFrame, cols: list[str] | None = None, k: int = C.PCA_COMPONE
     comps = vecs[:, order].T  # k × d
     # sign: largest-magnitude projected value positive
     proj = [projection_column(cols, mean, comps[i]) for i in range(k)]
-    probe = df.agg(*[F.max_by(F.struct(p.alias("p"), (-F.col(id_col)).alias("tie")),
-                              F.struct(F.abs(p), (-F.col(id_col)))).alias(f"e{i}")
+    # least negated magnitude, then least id: the same for numbers and text ids
+    probe = df.agg(*[F.min(F.struct((-F.abs(p)).alias("m"), F.col(id_col).alias("id"), p.alias("p"))).alias(f"e{i}")
                      for i, p in enumerate(proj)]).first()
     for i in range(k):
         e = probe[f"e{i}"]
-        if e is not None and e["p"] < 0:
+        if e is not None and e["p"] is not None and e["p"] < 0:
             comps[i] = -comps[i]
     total = float(np.sum(vals)) if np.sum(vals) > 0 else 1.0
     return {"mean": mean.tolist(), "components": comps.tolist(),
