@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -296,6 +297,80 @@ def windowed_change_counts(parsed_stream: DataFrame, duration: str = "1 hour", d
                     "table", "n_changes"))
 
 
+@dataclass
+class WindowSinks:
+    """Where the windowed counts go: partial counts, late rows, recent ids, a batch log."""
+    spark: SparkSession
+    root: str
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def read(self, name: str, schema: str) -> DataFrame:
+        """A table of this root; empty before its first write."""
+        try:
+            return self.spark.read.schema(schema).parquet(self.path(name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def write(self, df: DataFrame, name: str, batch_id: int, *partitions: str) -> None:
+        """Replace this batch's rows: a replayed batch leaves the table as it was."""
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *partitions).parquet(self.path(name)))
+
+    def counts(self) -> DataFrame:
+        """(window_start, window_end, table, n_changes): counted events per window."""
+        t = self.read("counts", "window_start timestamp, window_end timestamp, table string, n long, batch_id long")
+        return t.groupBy("window_start", "window_end", "table").agg(F.sum("n").alias("n_changes"))
+
+    def late(self) -> DataFrame:
+        """Events that came after their window had closed."""
+        return self.read("late", "event_id long, table string, event_time timestamp, batch_id long")
+
+
+def make_window_fn(sinks: WindowSinks, duration: str = "1 hour", delay: str = "10 minutes"):
+    """T9 as a ``foreachBatch`` body over parsed events.
+
+    The watermark of a batch is the newest event time of the batches before it
+    less ``delay``. Older events go to the late output, all others are counted
+    once per event id: counts + late rows = distinct events. State is bounded:
+    only ids from the watermark's day on are read back.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        log = sinks.read("log", "newest timestamp, batch_id long").filter(F.col("batch_id") < batch_id)
+        mark = log.agg((F.max("newest") - F.expr(f"interval {delay}")).alias("m")).first()["m"]
+        rows = (batch.filter(~F.col("is_malformed") & F.col("event_time").isNotNull())
+                .select("event_id", "table", "event_time", F.to_date("event_time").alias("day"))
+                .dropDuplicates(["event_id"]).persist())
+        is_late = F.lit(False) if mark is None else F.col("event_time") < F.lit(mark)
+        fresh = rows.filter(~is_late)
+        if mark is not None:
+            seen = sinks.read("seen", "event_id long, batch_id long, day date").filter(
+                (F.col("day") >= F.to_date(F.lit(mark))) & (F.col("batch_id") < batch_id))
+            fresh = fresh.join(seen, "event_id", "left_anti")
+        counted = (fresh.groupBy(F.window("event_time", duration).alias("w"), "table").agg(F.count(F.lit(1)).alias("n"))
+                   .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "table", "n"))
+        sinks.write(counted, "counts", batch_id)
+        sinks.write(rows.filter(is_late).drop("day"), "late", batch_id)
+        sinks.write(fresh.select("event_id", "day"), "seen", batch_id, "day")
+        sinks.write(rows.agg(F.max("event_time").alias("newest")), "log", batch_id)
+        rows.unpersist()
+    return run
+
+
+def run_window_counts(spark: SparkSession, input_path: str, root: str, checkpoint: str, max_files: int | None = None,
+                      duration: str = "1 hour", delay: str = "10 minutes") -> WindowSinks:
+    """T9 end to end over a file stream; returns the sinks."""
+    sinks = WindowSinks(spark, root)
+    parsed = CH.parse_changes(CH.change_stream(spark, input_path, max_files=max_files))
+    q = (parsed.writeStream.foreachBatch(make_window_fn(sinks, duration, delay))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sinks
+
+
 # ---------------------------------------------------------------- T10
 
 
