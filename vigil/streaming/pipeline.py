@@ -315,10 +315,10 @@ class WindowSinks:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def write(self, df: DataFrame, name: str, batch_id: int, *partitions: str) -> None:
+    def write(self, df: DataFrame, name: str, batch_id: int) -> None:
         """Replace this batch's rows: a replayed batch leaves the table as it was."""
         (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *partitions).parquet(self.path(name)))
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path(name)))
 
     def counts(self) -> DataFrame:
         """(window_start, window_end, table, n_changes): counted events per window."""
@@ -336,25 +336,26 @@ def make_window_fn(sinks: WindowSinks, duration: str = "1 hour", delay: str = "1
     The watermark of a batch is the newest event time of the batches before it
     less ``delay``. Older events go to the late output, all others are counted
     once per event id: counts + late rows = distinct events. State is bounded:
-    only ids from the watermark's day on are read back.
+    only ids of batches that reached the watermark are read back.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         log = sinks.read("log", "newest timestamp, batch_id long").filter(F.col("batch_id") < batch_id)
         mark = log.agg((F.max("newest") - F.expr(f"interval {delay}")).alias("m")).first()["m"]
         rows = (batch.filter(~F.col("is_malformed") & F.col("event_time").isNotNull())
-                .select("event_id", "table", "event_time", F.to_date("event_time").alias("day"))
+                .select("event_id", "table", "event_time")
                 .dropDuplicates(["event_id"]).persist())
         is_late = F.lit(False) if mark is None else F.col("event_time") < F.lit(mark)
         fresh = rows.filter(~is_late)
         if mark is not None:
-            seen = sinks.read("seen", "event_id long, batch_id long, day date").filter(
-                (F.col("day") >= F.to_date(F.lit(mark))) & (F.col("batch_id") < batch_id))
+            first = log.filter(F.col("newest") >= F.lit(mark)).agg(F.min("batch_id")).first()[0]
+            seen = sinks.read("seen", "event_id long, event_time timestamp, batch_id long").filter(
+                F.col("batch_id").between(first, batch_id - 1) & (F.col("event_time") >= F.lit(mark)))
             fresh = fresh.join(seen, "event_id", "left_anti")
         counted = (fresh.groupBy(F.window("event_time", duration).alias("w"), "table").agg(F.count(F.lit(1)).alias("n"))
                    .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "table", "n"))
         sinks.write(counted, "counts", batch_id)
-        sinks.write(rows.filter(is_late).drop("day"), "late", batch_id)
-        sinks.write(fresh.select("event_id", "day"), "seen", batch_id, "day")
+        sinks.write(rows.filter(is_late), "late", batch_id)
+        sinks.write(fresh.select("event_id", "event_time"), "seen", batch_id)
         sinks.write(rows.agg(F.max("event_time").alias("newest")), "log", batch_id)
         rows.unpersist()
     return run
