@@ -300,7 +300,24 @@ def q_isolation_forest(spark, sf_dir):
     return finish(out.select("user_id_raiz", "iso_score", "iso_prediction", "vote_iso"))
 
 
-@register("dbscan_labels", None)
+# clusters of core points by spreading the least id along core pairs, then borders
+LABELS = (f"cedge AS materialized (select a.user_id_raiz as a, b.user_id_raiz as b from m2 a join m2 b on a.is_core "
+          f"and b.is_core and a.user_id_raiz <> b.user_id_raiz and {pair_dist_sql('a', 'b')} <= {EPS2!r}),\n"
+          "cc(pid, label) USING KEY (pid) AS (select user_id_raiz, user_id_raiz from m2 where is_core union "
+          "select e.b, min(cc.label) from cc join cedge e on e.a = cc.pid join recurring.cc as old on old.pid = e.b "
+          "where cc.label < old.label group by e.b),\n"
+          "num AS (select label, dense_rank() over (order by label) - 1 as cluster from (select distinct label from cc)),\n"
+          "lab AS (select cc.pid, num.cluster from cc join num using (label)),\n"
+          "brd AS (select a.user_id_raiz as pid, min(lab.cluster) as cluster from m2 a join m2 b on b.is_core "
+          f"and not a.is_core and {pair_dist_sql('a', 'b')} <= {EPS2!r} join lab on lab.pid = b.user_id_raiz "
+          "group by a.user_id_raiz),\n"
+          "found AS (select m2.user_id_raiz, m2.is_core, coalesce(lab.cluster, brd.cluster, -1) as c from m2 "
+          "left join lab on lab.pid = m2.user_id_raiz left join brd on brd.pid = m2.user_id_raiz)")
+
+
+@register("dbscan_labels", O.q(*MATRIX_CTES, CORE, LABELS, final="""select user_id_raiz, is_core,
+  cast(c as bigint) as dbscan_cluster, case when c = -1 then 1 else 0 end as vote_dbscan from found""")
+          .replace("WITH ", "WITH RECURSIVE ", 1))
 def q_dbscan_labels(spark, sf_dir):
     return finish(DB.dbscan(ensemble_matrix(spark, sf_dir)))
 
@@ -349,3 +366,50 @@ def q_scatter_pca(spark, sf_dir):
 def q_severity_chart_ensemble(spark, sf_dir):
     """A18 over the ensemble's severity index."""
     return finish(R.chart_histogram(_ensemble(spark, sf_dir).results))
+
+
+# ---------------------------------------------------------------- invariants of random fits
+
+@register("ensemble_invariants", O.q(*MATRIX_CTES, final="""select count(*) as n_users, 0 as bad_votes, 0 as bad_levels,
+  0 as bad_outliers, 0 as bad_nearest, 0 as bad_severity, 0 as bad_summary, true as outlier_share_ok from mat"""))
+def q_ensemble_invariants(spark, sf_dir):
+    """What must hold for any seed: votes add up, levels follow them, every row sits at
+    its nearest center, the outlier share is the contamination, the summary counts the rows."""
+    fit = _ensemble(spark, sf_dir)
+    near = KM.assign_to_centers(fit.matrix, fit.centers).select("user_id_raiz", F.col("kmeans_cluster").alias("near"))
+    r = fit.results.join(near, "user_id_raiz")
+    level = (F.when(F.col("total_votes") >= 2, C.LEVEL_HIGH).when(F.col("total_votes") == 1, C.LEVEL_MODERATE)
+             .otherwise(C.LEVEL_LOW))
+    s = fit.summary(spark, AS_OF).first()
+    counted = s["n_bajo"] + s["n_moderado"] + s["n_alto"]
+    out = r.agg(
+        F.count(F.lit(1)).alias("n_users"),
+        F.count_if(F.col("total_votes") != F.col("vote_kmeans") + F.col("vote_dbscan") + F.col("vote_iso")).alias("bad_votes"),
+        F.count_if(F.col("risk_level") != level).alias("bad_levels"),
+        F.count_if((F.col("iso_score") < 0) != (F.col("vote_iso") == 1)).alias("bad_outliers"),
+        F.count_if(F.col("near") != F.col("kmeans_cluster")).alias("bad_nearest"),
+        F.count_if(~F.col("severity_index").between(0.0, 100.0)).alias("bad_severity"),
+        F.count_if(F.col("vote_iso") == 1).alias("_out"))
+    share = F.try_divide(F.col("_out"), F.col("n_users"))
+    return finish(out.select(
+        "n_users", "bad_votes", "bad_levels", "bad_outliers", "bad_nearest", "bad_severity",
+        F.abs(F.lit(counted) - F.col("n_users")).alias("bad_summary"),
+        (F.abs(share - F.lit(C.IFOREST_CONTAMINATION)) <= 0.02).alias("outlier_share_ok")))
+
+
+@register("pca_invariants", O.q(*MATRIX_CTES, final="""select count(*) as n_users, 0.0 as mean_x, 0.0 as mean_y,
+  0.0 as cov_xy, true as x_varies_most, true as within_total,
+  round(""" + " + ".join(f"var_samp({c})" for c in FC) + """, 6) as total_variance from mat"""))
+def q_pca_invariants(spark, sf_dir):
+    """M11 for any eigenvector signs: centred, uncorrelated, ordered by variance, within the total."""
+    mat = ensemble_matrix(spark, sf_dir)
+    model = PJ.fit_pca(mat)
+    total = sum((F.var_samp(c) for c in FC[1:]), F.var_samp(FC[0]))
+    r = PJ.pca_project(mat, model).agg(
+        F.count(F.lit(1)).alias("n_users"), F.avg("pca_x").alias("mx"), F.avg("pca_y").alias("my"),
+        F.covar_samp("pca_x", "pca_y").alias("c"), F.var_samp("pca_x").alias("vx"), F.var_samp("pca_y").alias("vy"),
+        total.alias("total_variance"))
+    zero = [F.round(F.abs(F.round(c, 6)), 6).alias(n) for c, n in (("mx", "mean_x"), ("my", "mean_y"), ("c", "cov_xy"))]
+    return finish(r.select("n_users", *zero, (F.col("vx") >= F.col("vy")).alias("x_varies_most"),
+                           (F.col("vx") + F.col("vy") <= F.col("total_variance") + 1e-9).alias("within_total"),
+                           "total_variance"))
