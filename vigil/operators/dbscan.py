@@ -173,7 +173,7 @@ def _near_cells(open_pairs: DataFrame, pts: DataFrame, d: int, side: float, eps2
     A cell pair leaves as soon as one near pair is known.
     """
     cids = open_pairs.select(F.explode(F.array("cid_a", "cid_b")).alias("cid")).distinct()
-    pts = _cut(pts.join(cids, "cid", "left_semi").select("cid", *[f"x{i}" for i in range(d)]))
+    pts = pts.join(cids, "cid", "left_semi").select("cid", *[f"x{i}" for i in range(d)])
     zero = F.lit(0).cast("long")
     todo = _cut(open_pairs.select("cid_a", "cid_b", zero.alias("key_a"), zero.alias("key_b")))
     found, level = [], 0
@@ -186,7 +186,7 @@ def _near_cells(open_pairs: DataFrame, pts: DataFrame, d: int, side: float, eps2
         j = _cut(j.filter(_box_box_min2(d, "alo", "ahi", "blo", "bhi") <= F.lit(eps2))
                  .select("cid_a", "cid_b", F.col("next_a").alias("key_a"), F.col("next_b").alias("key_b"),
                          (F.col("n_a") * F.col("n_b")).alias("work"), hit.alias("hit")))
-        hits = _cut(j.filter("hit").select("cid_a", "cid_b").distinct())
+        hits = j.filter("hit").select("cid_a", "cid_b").distinct()
         rest = j.filter("NOT hit").join(hits, ["cid_a", "cid_b"], "left_anti")
         few = F.col("work") <= F.lit(PAIR_WORK if level < LAST_LEVEL else 2 ** 62)
         key = _sub_key(d, side, level)
@@ -195,9 +195,11 @@ def _near_cells(open_pairs: DataFrame, pts: DataFrame, d: int, side: float, eps2
         exact = (rest.filter(few).join(pa, ["cid_a", "key_a"]).join(pb, ["cid_b", "key_b"])
                  .filter(_pt_dist2(d, "p", "q") <= F.lit(eps2)).select("cid_a", "cid_b").distinct())
         found += [hits, _cut(exact)]
+        _log(f"dbscan: open cell pairs, level {level}")
+        if rest.filter(~few).isEmpty():
+            break
         todo = _cut(rest.filter(~few).join(found[-1], ["cid_a", "cid_b"], "left_anti")
                     .select("cid_a", "cid_b", "key_a", "key_b"))
-        _log(f"dbscan: open cell pairs, level {level}")
     out = open_pairs.select("cid_a", "cid_b").limit(0)
     for f in found:
         out = out.unionByName(f)
@@ -212,9 +214,9 @@ def _near_points(cand: DataFrame, pts: DataFrame, d: int, side: float, eps2: flo
     ball cuts are halved further, and only while the point needs more hits.
     """
     P = [f"p{i}" for i in range(d)]
+    todo = cand.select("pid", *P, "cid_b", F.lit(0).cast("long").alias("key_b"))
     cells = cand.select(F.col("cid_b").alias("cid")).distinct()
-    pts = _cut(pts.join(cells, "cid", "left_semi").select("cid", *[f"x{i}" for i in range(d)]))
-    todo = _cut(cand.select("pid", *P, "cid_b", F.lit(0).cast("long").alias("key_b")))
+    pts = pts.join(cells, "cid", "left_semi").select("cid", *[f"x{i}" for i in range(d)])
     done, level = None, 0
     while not todo.isEmpty():
         level += 1
@@ -230,10 +232,12 @@ def _near_points(cand: DataFrame, pts: DataFrame, d: int, side: float, eps2: flo
             exact.select("pid", "cid_b", F.lit(1).cast("long").alias("hits")))
         new = new if done is None else new.unionByName(done)
         done = _cut(new.groupBy("pid", "cid_b").agg(F.sum("hits").alias("hits")))
+        _log(f"dbscan: points against cut cells, level {level}")
+        if j.filter(~F.col("within") & ~few).isEmpty():
+            break
         full = done.filter(F.col("hits") >= enough).select("pid", "cid_b")
         todo = _cut(j.filter(~F.col("within") & ~few).join(full, ["pid", "cid_b"], "left_anti")
                     .select("pid", *P, "cid_b", "key_b"))
-        _log(f"dbscan: points against cut cells, level {level}")
     return done if done is not None else cand.select("pid", "cid_b", F.lit(0).cast("long").alias("hits")).limit(0)
 
 

@@ -12,9 +12,13 @@ from ..session import checkpoint
 from .joins import lookup_join
 
 
+#: Nodes a task holds while it reduces links; beyond that it passes on what it has.
+FOREST_NODES = 500_000
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The links of one partition as stars: every node linked to the least node it
-    is connected to within the partition."""
+    is connected to among at most ``FOREST_NODES`` nodes held at a time."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -22,14 +26,20 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parent[x] = x = parent[parent[x]]
         return x
 
+    def stars() -> Iterator[pa.RecordBatch]:
+        nodes = [x for x in parent if find(x) != x]
+        if nodes:
+            yield pa.RecordBatch.from_pydict({"u": pa.array(nodes, pa.int64()),
+                                              "v": pa.array([parent[x] for x in nodes], pa.int64())})
+        parent.clear()
+
     for b in batches:
         for u, v in zip(b.column("u").to_pylist(), b.column("v").to_pylist()):
             u, v = find(u), find(v)
             parent[max(u, v)] = min(u, v)
-    stars = [(x, find(x)) for x in parent if find(x) != x]
-    for k in range(0, len(stars), 100_000):
-        u, v = zip(*stars[k:k + 100_000])
-        yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+        if len(parent) > FOREST_NODES:
+            yield from stars()
+    yield from stars()
 
 
 def _spokes(edges: DataFrame) -> DataFrame:
