@@ -30,7 +30,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes = [x for x in parent if find(x) != x]
         if nodes:
             yield pa.RecordBatch.from_pydict({"u": pa.array(nodes, pa.int64()),
-                                              "v": pa.array([parent[x] for x in nodes], pa.int64())})
+                                              "v": pa.array([find(x) for x in nodes], pa.int64())})
         parent.clear()
 
     for b in batches:
