@@ -4,13 +4,6 @@ from __future__ import annotations
 
 
 def all_queries():
-    from . import contract  # noqa: F401  (registers on import)
-    from .contract import REGISTRY
+    from . import contract, contract_ensemble, contract_stream  # noqa: F401  (they register on import)
 
-    for mod in ("contract_ensemble", "contract_stream"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if mod not in str(e):
-                raise
-    return dict(REGISTRY)
+    return dict(contract.REGISTRY)
