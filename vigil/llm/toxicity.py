@@ -28,7 +28,7 @@ from .terms import word_terms
 
 TERM_BITS = 22
 PREFIXES = (4, 5, 6)
-PER_LABEL = 2000
+PER_LABEL = 3000
 THRESHOLD = 0.7
 
 
