@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from vigil.llm import fm, toxicity
+import re
+
+from vigil.llm import fm, pii, toxicity
 
 
 def test_training_reads_3000_documents_of_a_label(spark, make_docs, monkeypatch):
@@ -12,3 +14,18 @@ def test_training_reads_3000_documents_of_a_label(spark, make_docs, monkeypatch)
     monkeypatch.setattr(fm, "fit", lambda texts, y: seen.append((len(texts), int(y.sum()))))
     toxicity.train(docs, labels)
     assert seen == [(6000, 3000)]
+
+
+def test_mentions_of_one_entity_share_its_surrogate(make_docs):
+    texts = ["Card 4111 1111 1111 1111 or 4111111111111111 or 4111-1111-1111-1111.", "Call +49 30 1234 5678 or +49-30-1234-5678.",
+             "IBAN DE89 3704 0044 0532 0130 00 or DE89370400440532013000.",
+             "Smith wrote: Anna Smith and John Doe-Hall met. Anna left; Smith's car, Doe-Hall, Smith-like, Smithson, anna, 12."]
+    out = {r.doc_id: r for r in pii.replace(make_docs([(k, t, "en", "a") for k, t in enumerate(texts)])).collect()}
+    for k, n in ((0, 3), (1, 2), (2, 2)):
+        bare = [re.sub("[^A-Z0-9]", "", x) for x in re.sub("^(Card|Call|IBAN) ", "", out[k].text).rstrip(".").split(" or ")]
+        assert len(bare) == n and len(set(bare)) == 1 and bare[0] != re.sub("[^A-Z0-9]", "", texts[k].split(" or ")[1])
+        assert re.sub("[A-Z0-9]", "", out[k].text[5:]) == re.sub("[A-Z0-9]", "", texts[k][5:])
+    given, family, other = re.search(r"wrote: (\w+) (\w+) and \w+ (\w+) met", out[3].text).groups()
+    assert out[3].text.startswith(f"{family} wrote") and given != "Anna"
+    assert out[3].text.endswith(f"met. {given} left; {family}'s car, {other}, {family}-like, Smithson, anna, 12.")
+    assert out[3].n_entities == 7

@@ -13,9 +13,14 @@ none; the others try again with the next attempt, and after ``GROW_AFTER`` attem
 with a longer format. So the same entity has one surrogate everywhere, different
 entities have different ones, and no surrogate is somebody's real value.
 
+Coreference: e-mail addresses are one entity without regard to A-Z case; cards,
+phones, IBANs and SSNs are known by their letters and digits, and each mention keeps
+its own separators; names match with their exact spelling. A given or family name
+that stands alone becomes that part of the surrogate of the document's first full
+name with it.
+
 Edge cases: null and empty texts stay as they are; an entity that fills a text is
-replaced like any other; names match with their exact spelling, e-mail addresses
-without regard to A-Z case; equal rows give equal rows; an empty table gives no
+replaced like any other; equal rows give equal rows; an empty table gives no
 rows; other columns pass through.
 """
 
@@ -71,6 +76,10 @@ def _name_pattern() -> str:
     return _EDGE + rf"(?:{either}) \p{{Lu}}[\p{{Ll}}\p{{M}}]+(?:-\p{{Lu}}[\p{{Ll}}\p{{M}}]+)?(?![\p{{L}}\p{{N}}])"
 
 
+#: Types that are one entity whatever their separators are.
+SEPARATED = ("card", "phone", "iban", "ssn")
+#: Words with their hyphens, and what is between words.
+WORDS = r"[\p{L}\p{M}\p{N}-]++|[^\p{L}\p{M}\p{N}-]++"
 ENTITY = "|".join([*PATTERNS.values(), _name_pattern()])
 #: Every text with an entity has a digit, an @, a secret's label or a name.
 MAYBE = r"[@0-9]|(?:token|secret|passw(?:or)?d|key)[ ]{0,2}[=:]|" + _name_pattern()
@@ -135,11 +144,13 @@ def _byte(stream: Column, k: int) -> Column:
 
 
 def _person(value: Column, stream: Column, grown: Column) -> Column:
-    """A given name of the same gender and script, and a family name of the script."""
+    """Another given name of the same gender and script, and a family name of the script."""
     given = F.substring_index(value, " ", 1)
     out = None
     for (script, _gender), names in GIVEN.items():
-        first = F.element_at(F.array(*[F.lit(n) for n in names]), _byte(stream, 0) % len(names) + 1)
+        listed = F.array(*[F.lit(n) for n in names])
+        pick = _byte(stream, 0) % (len(names) - 1) + 1
+        first = F.element_at(listed, pick + (pick >= F.array_position(listed, given)).cast("int"))
         parts = F.array(*[F.lit(s) for s in SYLLABLES[script]])
         one, two = (F.initcap(F.concat(*[F.element_at(parts, _byte(stream, k) % len(SYLLABLES[script]) + 1) for k in at]))
                     for at in ((1, 2, 3, 4), (5, 6, 7, 8)))
@@ -192,17 +203,56 @@ def assign_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 # ---------------------------------------------------------------------- documents
 
 def _canonical(kind: Column, value: Column) -> Column:
-    return F.when(kind == "email", lower_ascii(value)).otherwise(value)
+    return (F.when(kind == "email", lower_ascii(value))
+            .when(kind.isin(*SEPARATED), F.regexp_replace(value, "[^A-Za-z0-9]", "")).otherwise(value))
+
+
+def _formatted(kind: Column, mention: Column, surrogate: Column) -> Column:
+    """The surrogate of a bare number with the separators of the mention."""
+    bare = r"regexp_replace({}, '[^A-Za-z0-9]', '')"
+    before = f"length({bare.format('substr(mention, 1, i)')})"
+    put = F.expr(f"array_join(transform(split(mention, ''), (c, i) -> CASE WHEN c RLIKE '[A-Za-z0-9]' "
+                 f"THEN substr(surrogate, {before} + 1, 1) ELSE c END), '')")
+    rest = F.expr(f"substr(surrogate, length({bare.format('mention')}) + 1)")
+    return F.when(kind.isin(*SEPARATED), F.concat(put, rest)).otherwise(surrogate)
+
+
+def _names(found: Column) -> Column:
+    """Single names of a document's people with their surrogates, in order."""
+    def parts(x: Column) -> Column:
+        return F.array(*[F.concat(F.substring_index(x["mention"], " ", k), F.lit("\u001f"), F.substring_index(x["surrogate"], " ", k))
+                         for k in (1, -1)])
+
+    people = F.transform(F.filter(found, lambda x: x["kind"] == "person"), parts)
+    return F.array_distinct(F.flatten(people))
+
+
+def _linked(pieces: Column, names: Column) -> Column:
+    """Per piece of text its words and separators, single names replaced, as (old, new)."""
+    words = F.transform(names, lambda x: F.substring_index(x, "\u001f", 1))
+    news = F.transform(names, lambda x: F.substring_index(x, "\u001f", -1))
+
+    def new(word: Column) -> Column:
+        at = F.array_position(words, word).cast("int")
+        return F.when(at > 0, F.element_at(news, F.greatest(at, F.lit(1)))).otherwise(word)
+
+    def both(word: Column) -> Column:
+        split = word.contains("-") & ~F.array_contains(words, word)
+        joined = F.array_join(F.transform(F.split(word, "-"), new), "-")
+        return F.struct(word.alias("old"), F.when(split, joined).otherwise(new(word)).alias("new"))
+
+    return F.transform(pieces, lambda piece: F.transform(F.regexp_extract_all(piece, F.lit(WORDS), F.lit(0)), both))
 
 
 def entities_of(docs: DataFrame) -> DataFrame:
-    """(key, p, kind, value): the entities of every whole text in order; key digests
-    doc_id and text."""
+    """(key, p, kind, value, mention): the entities of every whole text in order, as
+    known and as written; key digests doc_id and text."""
     found = F.regexp_extract_all(F.col("text"), F.lit(ENTITY), F.lit(0))
     d = docs.select("doc_id", "text").filter(F.col("text").rlike(MAYBE))
     d = d.select(row_key("doc_id", "text").alias("key"), F.posexplode(found).alias("p", "value"))
     d = d.select("key", "p", _kind(F.col("value")).alias("kind"), "value")
-    return settled(d.select("key", "p", "kind", _canonical(F.col("kind"), F.col("value")).alias("value")).distinct())
+    known = _canonical(F.col("kind"), F.col("value")).alias("value")
+    return settled(d.select("key", "p", "kind", known, F.col("value").alias("mention")).distinct())
 
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -210,14 +260,19 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     found = entities_of(docs)
     table = assign_surrogates(found, key)
     mapped = lookup_join(found, table, ["kind", "value"], "inner")
-    lists = mapped.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("p", "surrogate"))).alias("found"))
-    lists = settled(lists.select("key", F.transform("found", lambda x: x["surrogate"]).alias("surrogates")))
+    mapped = mapped.withColumn("surrogate", _formatted(F.col("kind"), F.col("mention"), F.col("surrogate")))
+    lists = mapped.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("p", "surrogate", "kind", "mention"))).alias("found"))
+    lists = settled(lists.select("key", F.transform("found", lambda x: x["surrogate"]).alias("surrogates"),
+                                 _names(F.col("found")).alias("names")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     out = lookup_join(docs.select(row, "text", row_key("doc_id", "text").alias("key")), lists, ["key"], "left")
-    pieces = F.split("text", ENTITY)
-    joined = F.array_join(F.flatten(F.zip_with(pieces, "surrogates", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    out = out.withColumn("pieces", F.when(F.col("surrogates").isNotNull(), F.split("text", ENTITY)))
+    out = out.withColumn("linked", F.when(F.size("names") > 0, _linked(F.col("pieces"), F.col("names"))))
+    texts = F.coalesce(F.transform("linked", lambda words: F.array_join(F.transform(words, lambda w: w["new"]), "")), F.col("pieces"))
+    joined = F.array_join(F.flatten(F.zip_with(texts, "surrogates", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     text = F.when(F.col("surrogates").isNull(), F.col("text")).otherwise(joined)
-    n = F.coalesce(F.size("surrogates"), F.lit(0)).cast("long")
+    single = F.size(F.filter(F.flatten("linked"), lambda w: w["old"] != w["new"]))
+    n = (F.coalesce(F.size("surrogates"), F.lit(0)) + F.coalesce(single, F.lit(0))).cast("long")
     out = out.select("row", text.alias("new_text"), n.alias("n"))
     return out.select(*[F.col("new_text").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
                         for c in docs.columns], F.col("n").alias("n_entities"))
