@@ -29,3 +29,17 @@ def test_mentions_of_one_entity_share_its_surrogate(make_docs):
     assert out[3].text.startswith(f"{family} wrote") and given != "Anna"
     assert out[3].text.endswith(f"met. {given} left; {family}'s car, {other}, {family}-like, Smithson, anna, 12.")
     assert out[3].n_entities == 7
+
+
+def test_secrets_are_replaced_whole(make_docs):
+    key = "".join(chr(97 + (7 * k * k + k) % 26) for k in range(1000))
+    jwt = "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl=="
+    texts = [f"token = {key}. End", f"see {'0123456789abcdef' * 60} here", f"token={jwt}, then", "Password: Abcdefgh1234x",
+             "API_KEY=abcdefghijklmn", "abcdefabcdefabcdefabcdefabcdefabcdef"]
+    out = {r.doc_id: r for r in pii.replace(make_docs([(k, t, "en", "a") for k, t in enumerate(texts)])).collect()}
+    assert all(out[k].n_entities == 1 and len(out[k].text) == len(t) for k, t in enumerate(texts))
+    assert out[0].text.endswith(". End") and not any(key[k:k + 8] in out[0].text for k in range(len(key) - 8))
+    assert re.fullmatch("see [0-9a-f]{960} here", out[1].text) and "0123456789abcdef" not in out[1].text
+    assert re.fullmatch(r"token=\w{12}\.\w{12}\.\w{12}==, then", out[2].text)
+    assert not any(part in out[2].text for part in jwt.rstrip("=").split("."))
+    assert "Abcdefgh" not in out[3].text and "abcdefgh" not in out[4].text and "abcdef" * 5 not in out[5].text

@@ -19,6 +19,11 @@ its own separators; names match with their exact spelling. A given or family nam
 that stands alone becomes that part of the surrogate of the document's first full
 name with it.
 
+Limits of the detection: names of people are a given name of ``GIVEN`` (60 names in
+Latin and Cyrillic script) before a capitalised word, other names are not seen;
+secrets are lower-case hex runs from 32 characters, and runs from 12 characters after
+one of seven labels (in any case) with ``=`` or ``:``; neither has an upper bound.
+
 Edge cases: null and empty texts stay as they are; an entity that fills a text is
 replaced like any other; equal rows give equal rows; an empty table gives no
 rows; other columns pass through.
@@ -35,7 +40,7 @@ from .common import lookup_join, lower_ascii, row_key, settled
 
 KEY = "surrogates-1"
 GROW_AFTER = 12
-BLOCKS = 6  # of 64 keyed bytes each: formats up to 384 characters
+BLOCKS = 6  # of 64 keyed bytes each, at least; longer values take more
 
 # Given names by script and gender, and family names by script.
 GIVEN = {
@@ -63,8 +68,8 @@ PATTERNS = {
     "card": r"(?<![\p{L}\p{N}.-])[0-9](?:[ -]?[0-9]){12,18}(?![\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3})[ .-][0-9]{3,4}(?![\p{N}])"
              r"|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![\p{N}])",
-    "secret": r"(?<=(?:token|secret|password|passwd|api_key|apikey|access_key)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9+/_-]{12,256}"
-              + "|" + _EDGE + r"[0-9a-f]{32,256}(?![\p{L}\p{N}])",
+    "secret": r"(?<=(?i:token|secret|password|passwd|api_key|apikey|access_key)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9+/_.=-]{12,}(?<!\.)"
+              + "|" + _EDGE + r"[0-9a-f]{32,}+(?![\p{L}\p{N}])",
 }
 
 
@@ -81,8 +86,8 @@ SEPARATED = ("card", "phone", "iban", "ssn")
 #: Words with their hyphens, and what is between words.
 WORDS = r"[\p{L}\p{M}\p{N}-]++|[^\p{L}\p{M}\p{N}-]++"
 ENTITY = "|".join([*PATTERNS.values(), _name_pattern()])
-#: Every text with an entity has a digit, an @, a secret's label or a name.
-MAYBE = r"[@0-9]|(?:token|secret|passw(?:or)?d|key)[ ]{0,2}[=:]|" + _name_pattern()
+#: Every text with an entity has a digit, an @, a secret's label, a run of hex letters or a name.
+MAYBE = r"[@0-9]|(?i:token|secret|passw(?:or)?d|key)[ ]{0,2}[=:]|[a-f]{32}|" + _name_pattern()
 
 
 def _kind(value: Column) -> Column:
@@ -96,16 +101,18 @@ def _kind(value: Column) -> Column:
 
 # --------------------------------------------------------------------- surrogates
 
-def _stream(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """Hex digits that depend on key, type, value and attempt."""
+def _blocks(kind: Column, value: Column, attempt: Column, key: str) -> Column:
+    """Hex digits that depend on key, type, value and attempt: two for every
+    character of the value, in blocks of 128."""
     seed = F.concat_ws("\u001f", F.lit(key), kind, attempt.cast("string"), value)
-    return F.concat(*[F.sha2(F.concat(F.lit(f"{b}\u001f"), seed), 512) for b in range(BLOCKS)])
+    last = F.greatest(F.lit(BLOCKS), F.ceil(F.char_length(value) / 64).cast("int")) - 1
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.sha2(F.concat(b.cast("string"), F.lit("\u001f"), seed), 512))
 
 
-def _shaped(value: str, stream: str) -> str:
+def _shaped(value: str, blocks: str) -> str:
     """SQL of a text like ``value`` with every letter and digit replaced by a keyed
-    one of the same class; the byte for a position is two hex digits of the stream."""
-    byte = f"cast(conv(substr({stream}, (i % {BLOCKS * 64}) * 2 + 1, 2), 16, 10) as int)"
+    one of the same class; the byte for a position is two hex digits of the blocks."""
+    byte = f"cast(conv(substr(element_at({blocks}, cast(i div 64 as int) + 1), (i % 64) * 2 + 1, 2), 16, 10) as int)"
 
     def one_of(letters: str) -> str:
         return f"substr('{letters}', {byte} % {len(letters)} + 1, 1)"
@@ -162,10 +169,11 @@ def _person(value: Column, stream: Column, grown: Column) -> Column:
 
 def _with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, value, attempt) → with a candidate surrogate."""
-    e = entities.withColumn("stream", _stream(F.col("kind"), F.col("value"), F.col("attempt"), key))
+    e = entities.withColumn("blocks", _blocks(F.col("kind"), F.col("value"), F.col("attempt"), key))
+    e = e.withColumn("stream", F.array_join("blocks", ""))
     domain = F.regexp_extract("value", r"\.(\p{L}+)$", 1)
     e = e.withColumn("body", F.when(F.col("kind") == "email", F.regexp_replace("value", r"\p{L}+$", "")).otherwise(F.col("value")))
-    e = e.withColumn("shaped", F.expr(_shaped("body", "stream")))
+    e = e.withColumn("shaped", F.expr(_shaped("body", "blocks")))
     octets = F.concat_ws(".", *[(_byte(F.col("stream"), k) % 254 + 1).cast("string") for k in range(4)])
     hexed = F.expr("substr(stream, 1, length(value))")
     # too many clashes: the format has fewer values than there are entities
