@@ -141,3 +141,30 @@ SELECT any_value(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS n_lines,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM y GROUP BY r
 """
+
+_TERMS = _LOWER.format("coalesce(text, '')")
+
+RANKED_SEARCH = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_TERMS}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+q AS (
+  SELECT DISTINCT no, item_id, unnest(regexp_extract_all({_TERMS}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS no, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark))),
+s AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(t)) AS BIGINT) AS nt FROM d WHERE len(t) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+part AS (
+  SELECT no, item_id, r, doc_id,
+         w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * CAST(len(t) AS BIGINT) * nd) // nt))) AS impact
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN d USING (r), s),
+total AS (
+  SELECT no, item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM part GROUP BY no, item_id, r, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM total WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, linededup, mixing, oracle, pii, quality, sample, simhash, toxicity, urlfilter
+from . import bpe, chat, decontam, langid, linededup, mixing, oracle, pii, quality, ranked, sample, simhash, toxicity, urlfilter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -24,6 +24,8 @@ URL_RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
+#: File of the public vocabulary, found by the installed package that holds it.
+VOCABULARY = "byte_bpe_50k.json"
 #: Weights of the sources in code point order, repeated.
 SOURCE_WEIGHTS = [3, 1, 2]
 
@@ -104,3 +106,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.group(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op12_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path(VOCABULARY))
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    out = bpe.decode(encoded.select("doc_id", "ids"), vocabulary)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op13_ranked_search", oracle.RANKED_SEARCH)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
