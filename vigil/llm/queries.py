@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, linededup, mixing, oracle, pii, quality, ranked, sample, simhash, toxicity, urlfilter
+from . import bpe, chat, decontam, hardneg, langid, linededup, mixing, oracle, pii, quality, ranked, sample, simhash, toxicity, urlfilter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -108,6 +108,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@register("op11_hard_negatives", oracle.HARD_NEGATIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, wrong = F.col("vec_id"), F.col("embedding")
+    finite = F.forall(wrong, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    vectors = table(spark, sf_dir, "embeddings").filter(finite).select(
+        "vec_id", F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vector"))
+    return hardneg.mine(vectors, vec_id % 100 == 0, n_pos=5, n_neg=10, low=30, high=90)
+
+
 @register("op12_bpe")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
