@@ -23,6 +23,7 @@ one that has the name of the output column is replaced.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import heapify, heappop, heappush
@@ -38,7 +39,7 @@ from .common import small_batches
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Words (of at most ``MEMO_CHARS`` characters) whose ids a worker remembers.
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 1 << 19
 MEMO_CHARS = 64
 
 
@@ -54,9 +55,10 @@ def byte_letters() -> list[str]:
 class Vocabulary:
     """Merges, byte strings and added tokens of a byte-level vocabulary."""
 
-    first: list[int]                            # id of every single byte
-    merges: dict[tuple[int, int], tuple[int, int]]  # pair of ids -> rank, merged id
-    pieces: dict[int, bytes]                    # id -> byte string
+    first: list[int]                    # id of every single byte
+    ranks: dict[tuple[int, int], int]   # pair of ids -> rank of its merge
+    merged: list[int]                   # rank -> id that the pair becomes
+    pieces: dict[int, bytes]            # id -> byte string
     added: dict[str, int] = field(default_factory=dict)
 
     @classmethod
@@ -72,49 +74,64 @@ class Vocabulary:
             raise ValueError(f"{path} isn't a plain byte-level BPE vocabulary")
         ids, letters = model["vocab"], byte_letters()
         byte_of = {c: b for b, c in enumerate(letters)}
-        merges = {}
-        for rank, pair in enumerate(model["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            merges[ids[a], ids[b]] = rank, ids[a + b]
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
+        ranks = {(ids[a], ids[b]): rank for rank, (a, b) in enumerate(pairs)}
         pieces = {i: bytes(byte_of[c] for c in s) for s, i in ids.items()}
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pieces |= {i: s.encode("utf-8") for s, i in added.items()}
-        return cls([ids[c] for c in letters], merges, pieces, added)
+        return cls([ids[c] for c in letters], ranks, [ids[a + b] for a, b in pairs], pieces, added)
 
 
 def merge_word(vocabulary: Vocabulary, word: bytes) -> list[int]:
     """The ids of one word."""
-    merges = vocabulary.merges
-    symbol = [vocabulary.first[b] for b in word]
+    rank_of, merged = vocabulary.ranks.get, vocabulary.merged
+    symbol: list = list(map(vocabulary.first.__getitem__, word))
     n = len(symbol)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    queue = []
-    for at in range(n - 1):
-        found = merges.get((symbol[at], symbol[at + 1]))
-        if found:
-            queue.append((found[0], at, found[1]))
+    # a queued pair is one number, rank * n + place of its left symbol
+    queue = [r * n + at for at, r in enumerate(map(rank_of, zip(symbol, symbol[1:]))) if r is not None]
+    if not queue:
+        return symbol
     heapify(queue)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     while queue:
-        rank, at, merged = heappop(queue)
+        least = heappop(queue)
+        rank, at = least // n, least % n
         right = after[at]
         # stale: the left symbol is gone (None), has no right neighbour, or the pair is another one now
-        if right >= n or merges.get((symbol[at], symbol[right]), (None,))[0] != rank:
+        if right >= n or rank_of((symbol[at], symbol[right])) != rank:
             continue
-        symbol[at], symbol[right] = merged, None
+        new = merged[rank]
+        symbol[at], symbol[right] = new, None
         after[at] = end = after[right]
         if end < n:
             before[end] = at
-            found = merges.get((merged, symbol[end]))
-            if found:
-                heappush(queue, (found[0], at, found[1]))
+            r = rank_of((new, symbol[end]))
+            if r is not None:
+                heappush(queue, r * n + at)
         start = before[at]
         if start >= 0:
-            found = merges.get((symbol[start], merged))
-            if found:
-                heappush(queue, (found[0], start, found[1]))
+            r = rank_of((symbol[start], new))
+            if r is not None:
+                heappush(queue, r * n + start)
     return [s for s in symbol if s is not None]
 
 
+class Memo(dict):
+    """Packed ids (4-byte integers) by word; words that aren't there are encoded."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: str) -> bytes:
+        packed = array("i", merge_word(self.vocabulary, word.encode("utf-8", "replace"))).tobytes()
+        if len(word) <= MEMO_CHARS:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = packed
+        return packed
+
+
 class Encoder:
     """Encodes and decodes texts in one worker; ids are packed as 4-byte integers."""
 
@@ -125,20 +142,14 @@ class Encoder:
         self.words = regex.compile(WORD_PATTERN).findall
         longest_first = sorted(vocabulary.added, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
-        self.memo: dict[str, bytes] = {}
-
-    def word(self, word: str) -> bytes:
-        """Packed ids of a word that isn't remembered."""
-        packed = np.array(merge_word(self.vocabulary, word.encode("utf-8", "replace")), np.int32).tobytes()
-        if len(word) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            self.memo[word] = packed
-        return packed
+        self.memo = Memo(vocabulary)
+        # byte strings by id; the last one stands for all ids that don't exist
+        self.pieces = np.full(max(vocabulary.pieces, default=-1) + 2, b"", dtype=object)
+        for i, piece in vocabulary.pieces.items():
+            self.pieces[i] = piece
 
     def _plain(self, text: str) -> bytes:
-        known, new = self.memo.get, self.word
-        return b"".join([known(w) or new(w) for w in self.words(text)])
+        return b"".join(map(self.memo.__getitem__, self.words(text)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -146,12 +157,12 @@ class Encoder:
         if self.added is None:
             return self._plain(text)
         parts = self.added.split(text)  # texts between the added tokens, and these at the odd places
-        return b"".join([np.int32(self.vocabulary.added[p]).tobytes() if k % 2 else self._plain(p)
+        return b"".join([array("i", [self.vocabulary.added[p]]).tobytes() if k % 2 else self._plain(p)
                          for k, p in enumerate(parts)])
 
-    def decode(self, ids: list[int]) -> str:
-        piece = self.vocabulary.pieces.get
-        return b"".join([piece(i, b"") for i in ids]).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        known = (ids >= 0) & (ids < len(self.pieces))
+        return b"".join(self.pieces[np.where(known, ids, -1)].tolist()).decode("utf-8", "replace")
 
 
 def _encoder(shared) -> Encoder:
@@ -189,6 +200,9 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: s
     def to_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared)
         for lists in batches:
-            yield pa.array([encoder.decode(row.values.to_pylist()) if row.is_valid else "" for row in lists], pa.string())
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes)
+            yield pa.array([encoder.decode(flat[a:b]) for a, b in zip(ends - sizes, ends)], pa.string())
 
     return encoded.withColumn(text, to_text(F.col(f"`{ids}`")))
