@@ -187,7 +187,7 @@ def test_empty_tables(spark):
     fv = FT.run_transformation(empty, AS_OF, skip_nlp=True, materialize_kpis=None)
     assert fv.count() == 0
     from vigil.session import scratch_path
-    t = K.VersionedTable(spark, scratch_path(spark, "empty"))
+    t = K.FeatureTable(spark, scratch_path(spark, "empty"))
     assert K.truncate_reload(t, fv, AS_OF) == 0
     assert not t.exists()
 
@@ -222,7 +222,7 @@ def test_append_rejects_duplicate_user(spark, src):
     from vigil.session import scratch_path
 
     fv = FT.run_transformation(src, AS_OF, skip_nlp=True, materialize_kpis=None)
-    t = K.VersionedTable(spark, scratch_path(spark, "append"))
+    t = K.FeatureTable(spark, scratch_path(spark, "append"))
     K.append_features(t, fv, AS_OF)
     first = t.read().orderBy("user_id_raiz").collect()
     assert [r["id"] for r in first] == [1, 2, 3, 4] and all(r["cluster_label"] is None for r in first)

@@ -44,9 +44,9 @@ def test_ids_are_dense_and_no_row_is_lost(spark, as_text):
 
 
 def test_sinks_keep_every_row(spark):
-    t = K.VersionedTable(spark, scratch_path(spark, "rows"))
+    t = K.FeatureTable(spark, scratch_path(spark, "rows"))
     assert K.truncate_reload(t, features(spark, N), "2024-01-01 00:00:00") == N
-    assert K.append_features(t, features(spark, N, start=1), "2024-01-02 00:00:00") == 1
+    assert K.append_features(t, features(spark, N, start=1), "2024-01-02 00:00:00") == N
     now = t.read()
     assert now.count() == 2 * N and now.agg(F.countDistinct("id"), F.max("id")).first()[:] == (2 * N, 2 * N)
     with pytest.raises(ValueError):
@@ -58,7 +58,7 @@ def test_sinks_keep_every_row(spark):
 
 
 def test_text_ids_through_the_sinks(spark):
-    t = K.VersionedTable(spark, scratch_path(spark, "text"))
+    t = K.FeatureTable(spark, scratch_path(spark, "text"))
     ids = spark.createDataFrame([(str(uuid.UUID(int=i)),) for i in range(5)], "user_id_raiz string")
     K.append_features(t, ids.crossJoin(features(spark, 1).drop("user_id_raiz")), "2024-01-01 00:00:00")
     up = t.read().select("user_id_raiz").unionByName(spark.createDataFrame([("new",)], "user_id_raiz string"))

@@ -78,10 +78,10 @@ select event_id,
         when 'signup' then 'user_profiles' when 'purchase' then 'posts' else 'community_members' end,
     '","operation":"', case when event_id%3=0 then 'INSERT'
         when event_type='error' and event_id%5=0 then 'DELETE' else 'UPDATE' end,
-    '","user_id":', case when event_id%89=0 then 'null' else cast(user_id + case event_type
+    '","user_id":', case when event_id%89=0 then 'null' when event_id%103=0 then '""' else cast(user_id + case event_type
         when 'click' then 2000000 when 'view' then 1000000 when 'error' then 1000000 else 0 end
         as varchar(20)) end,
-    ',"timestamp":"', cast(ts as varchar(40)), '"}') end as payload
+    ',"timestamp":"', case when event_id%101=0 then 'not a time' else cast(ts as varchar(40)) end, '"}') end as payload
 from events""",
 }
 

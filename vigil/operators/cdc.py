@@ -47,3 +47,14 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, compare: list[str],
                         {"ignoreNullFields": "false"})
     return out.select(F.lit(table).alias("table"), "operation", "user_id", id_field, "field_changed",
                       payload.alias("payload"))
+
+
+def row_images(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(seq, before, after) of the rows that two snapshots of a table hold differently:
+    images as structs of the columns, null where a snapshot lacks the row."""
+    def image(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(key).alias("_key"), F.struct(*columns).alias(name))
+
+    both = image(old, "before").join(image(new, "after"), "_key", "full_outer")
+    changed = both.filter(~F.col("before").eqNullSafe(F.col("after")))
+    return changed.select(F.col("_key").cast("string").alias("row_key"), F.lit(0).cast("long").alias("seq"), "before", "after")

@@ -21,11 +21,13 @@ least cluster number among its core neighbours; noise is −1.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .bucket_table import BucketTable
 from .graph import components
 from .joins import lookup_join
 
@@ -329,39 +331,81 @@ def dbscan(matrix: DataFrame, cols: list[str] | None = None, eps: float = C.DBSC
             .withColumn("vote_dbscan", (F.col("dbscan_cluster") == -1).cast("int")))
 
 
-def assign_to_fit(points: DataFrame, core: DataFrame, cols: list[str] | None = None,
+class CorePoints:
+    """The core points of a fit by grid cell, to label further rows against.
+
+    ``cells`` has a row for each cell with core points (key, number, box, cluster: core
+    points of one cell share it); ``points_of`` gives the points of some cells."""
+
+    def __init__(self, cells: DataFrame, points_of: Callable[[DataFrame], DataFrame], d: int, eps: float):
+        self.cells, self.points_of, self.d, self.eps = cells, points_of, d, eps
+
+    @staticmethod
+    def _gridded(core: DataFrame, cols: list[str], eps: float, id_col: str) -> tuple[DataFrame, DataFrame]:
+        d = len(cols)
+        K = [f"k{i}" for i in range(d)]
+        pts = grid_points(core.withColumn("_id", F.struct(F.col(id_col), "dbscan_cluster")), cols, eps, "_id")
+        pts = pts.withColumn("cell", F.concat_ws(",", *[F.col(k).cast("string") for k in K]))
+        cells = pts.groupBy("cell", *K).agg(
+            F.count(F.lit(1)).alias("n"), F.min("pid.dbscan_cluster").alias("cl"),
+            *[F.min(f"x{i}").alias(f"lo{i}") for i in range(d)], *[F.max(f"x{i}").alias(f"hi{i}") for i in range(d)])
+        return cells, pts.select("cell", *[f"x{i}" for i in range(d)])
+
+    @classmethod
+    def of(cls, core: DataFrame, cols: list[str], eps: float = C.DBSCAN_EPS, id_col: str = "user_id_raiz") -> CorePoints:
+        """From the core rows of a fit (features + dbscan_cluster)."""
+        cells, points = cls._gridded(core, cols, eps, id_col)
+        return cls(cells, lambda wanted: points.join(wanted, "cell", "left_semi"), len(cols), eps)
+
+    @staticmethod
+    def write(core: DataFrame, root: str, cols: list[str], eps: float = C.DBSCAN_EPS, id_col: str = "user_id_raiz") -> None:
+        """Store core rows for ``read``: gridded once, points in buckets of cells."""
+        cells, points = CorePoints._gridded(core, cols, eps, id_col)
+        cells.write.parquet(f"{root}/cells")
+        BucketTable(core.sparkSession, f"{root}/points", "cell").reload(points)
+
+    @classmethod
+    def read(cls, spark: SparkSession, root: str, d: int, eps: float = C.DBSCAN_EPS) -> CorePoints:
+        """Stored core points; of the points only buckets of the cells asked for are read."""
+        table = BucketTable(spark, f"{root}/points", "cell")
+        empty = "cell string, " + ", ".join(f"x{i} double" for i in range(d))
+
+        def points_of(wanted: DataFrame) -> DataFrame:
+            rows = table.read_keys(wanted, "cell")
+            return spark.createDataFrame([], empty) if rows is None else rows.select("cell", *[f"x{i}" for i in range(d)])
+
+        return cls(spark.read.parquet(f"{root}/cells"), points_of, d, eps)
+
+
+def assign_to_fit(points: DataFrame, core: DataFrame | CorePoints, cols: list[str] | None = None,
                   eps: float = C.DBSCAN_EPS, id_col: str = "user_id_raiz") -> DataFrame:
     """Label new rows against a fitted model's core points.
 
-    ``core`` has the fitted core rows (features + dbscan_cluster). A new row
-    takes the least cluster among fitted core points within eps (a border
-    point of that cluster), else −1. All core points of one cell share a
-    cluster, so a cell box entirely within eps settles it without pair work.
+    ``core`` has the fitted core rows (features + dbscan_cluster), or holds them by cell.
+    A new row takes the least cluster among fitted core points within eps (a border
+    point of that cluster), else −1. Cells whose box is entirely within eps settle it;
+    of cells that the ball cuts the points are read and met in halved sub-cells.
     """
     cols = cols or C.FEATURE_COLUMNS
-    d = len(cols)
-    eps2 = eps * eps
-    A = [f"a{i}" for i in range(d)]
-    B = [f"b{i}" for i in range(d)]
+    core = core if isinstance(core, CorePoints) else CorePoints.of(core, cols, eps, id_col)
+    d, eps2, side = len(cols), eps * eps, eps / math.sqrt(len(cols))
+    K, A, B = ([f"{v}{i}" for i in range(d)] for v in "kab")
     new = grid_points(points, cols, eps, id_col)
-    cp = grid_points(core, cols, eps, id_col).join(
-        core.select(F.col(id_col).alias("pid"), "dbscan_cluster"), "pid")
-    ccells = cp.groupBy(*[f"k{i}" for i in range(d)]).agg(
-        F.count(F.lit(1)).alias("n"), F.min("dbscan_cluster").alias("cl"),
-        *[F.min(f"x{i}").alias(f"lo{i}") for i in range(d)], *[F.max(f"x{i}").alias(f"hi{i}") for i in range(d)])
-    ncells = cell_table(new, d)
-    pairs = cell_pairs(ncells, d, eps, targets=ccells).join(
-        _ren(ccells.select(*[f"k{i}" for i in range(d)], "cl"), {f"k{i}": f"b{i}" for i in range(d)}), B)
-    np_ = _ren(new, {**{f"k{i}": f"a{i}" for i in range(d)}, **{f"x{i}": f"p{i}" for i in range(d)}})
-    cand = np_.join(pairs.select(*A, *B, "cl", *[f"blo{i}" for i in range(d)], *[f"bhi{i}" for i in range(d)]), A)
-    sure = cand.filter(_pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)).select("pid", "cl")
-    maybe = cand.filter((_pt_box_max2(d, "p", "blo", "bhi") > F.lit(eps2))
-                        & (_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2)))
-    q = _ren(cp.drop("dbscan_cluster"), {**{f"k{i}": f"b{i}" for i in range(d)}, **{f"x{i}": f"q{i}" for i in range(d)},
-                                         "pid": "qid"})
-    cond = [maybe[f"b{i}"] == q[f"b{i}"] for i in range(d)] + [
-        _sum(_sq(maybe[f"p{i}"] - q[f"q{i}"]) for i in range(d)) <= F.lit(eps2)]
-    checked = maybe.join(q, cond, "left_semi").select("pid", "cl")
+    pairs = cell_pairs(cell_table(new, d), d, eps, targets=core.cells)
+    pairs = pairs.join(_ren(core.cells.select(*K, "cell", "cl"), dict(zip(K, B))), B)
+    np_ = _ren(new, {**dict(zip(K, A)), **{f"x{i}": f"p{i}" for i in range(d)}})
+    cand = np_.join(pairs.select(*A, "cell", "cl", *[f"b{v}{i}" for v in ("lo", "hi") for i in range(d)]), A)
+    cand = _cut(cand.filter(_pt_box_min2(d, "p", "blo", "bhi") <= F.lit(eps2)).select(
+        "pid", *[f"p{i}" for i in range(d)], F.col("cell").alias("cid_b"), "cl",
+        (_pt_box_max2(d, "p", "blo", "bhi") <= F.lit(eps2)).alias("within")))
+    sure = cand.filter("within").groupBy("pid").agg(F.min("cl").alias("cl"))
+    # a cut cell matters only if its cluster would be less than that of the sure ones
+    cut = cand.filter("NOT within").join(sure.withColumnRenamed("cl", "known"), "pid", "left")
+    cut = cut.filter(F.col("known").isNull() | (F.col("cl") < F.col("known"))).drop("known", "within")
+    cut = _cut(cut)
+    held = core.points_of(cut.select(F.col("cid_b").alias("cell")).distinct()).withColumnRenamed("cell", "cid")
+    near = _near_points(cut.drop("cl"), held, d, side, eps2, 1).filter("hits > 0")
+    checked = near.join(cut.select("pid", "cid_b", "cl"), ["pid", "cid_b"]).select("pid", "cl")
     best = sure.unionByName(checked).groupBy("pid").agg(F.min("cl").alias("cl"))
     return (new.select("pid").join(best, "pid", "left")
             .select(F.col("pid").alias(id_col), F.coalesce("cl", F.lit(-1)).cast("int").alias("dbscan_cluster"))

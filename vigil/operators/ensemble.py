@@ -8,10 +8,10 @@ min/max rows, the forest nodes, the 6×6 PCA basis.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -23,6 +23,7 @@ from . import kmeans as KM
 from . import projection as PJ
 from . import quality as QL
 from . import reports as R
+from . import silhouette as SI
 
 
 def combine_votes(df: DataFrame) -> DataFrame:
@@ -65,20 +66,31 @@ def severity_bounds(df: DataFrame) -> dict:
 
 
 @dataclass
-class EnsembleResult:
-    results: DataFrame
-    matrix: DataFrame
-    centers: list[list[float]]
-    risk_cluster_id: int | None
-    metrics: dict = field(default_factory=dict)
-    pca: dict | None = None
-    matrix_bounds: dict | None = None
-    forest: dict | None = None
-    iso_offset: float | None = None
-    severity_bounds: dict | None = None
-    core: DataFrame | None = None
+class EnsembleModel:
+    """What scoring new rows needs of a fit (X3); all but the core points is small."""
 
-    def score_batch(self, features: DataFrame, id_col: str = "user_id_raiz") -> DataFrame:
+    centers: list[list[float]]
+    risk_cluster_id: int
+    matrix_bounds: dict
+    forest: dict
+    iso_offset: float
+    severity_bounds: dict
+    core: DB.CorePoints
+
+    def save(self, spark: SparkSession, root: str, core: DataFrame) -> None:
+        """Write the model to a folder; ``core`` are the fit's core rows."""
+        small = {f.name: getattr(self, f.name) for f in fields(self) if f.name != "core"}
+        DB.CorePoints.write(core, f"{root}/core", C.FEATURE_COLUMNS)
+        # written last: a folder without it is no model
+        spark.createDataFrame([(json.dumps(small),)], "value string").coalesce(1).write.text(f"{root}/model")
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str) -> EnsembleModel:
+        small = json.loads(spark.read.text(f"{root}/model").first()["value"])
+        small["forest"]["nodes"] = [tuple(n) for n in small["forest"]["nodes"]]
+        return cls(**small, core=DB.CorePoints.read(spark, f"{root}/core", len(C.FEATURE_COLUMNS)))
+
+    def score(self, features: DataFrame, id_col: str = "user_id_raiz") -> DataFrame:
         """Score new rows with the fitted models (no refit).
 
         Fit's MinMax bounds → nearest fitted center (k-means vote), forest
@@ -96,9 +108,36 @@ class EnsembleResult:
         res = combine_votes(x.join(db, id_col))
         return severity_index(res, self.centers[self.risk_cluster_id], cols, bounds=self.severity_bounds)
 
+
+@dataclass
+class EnsembleResult:
+    results: DataFrame
+    matrix: DataFrame
+    centers: list[list[float]]
+    risk_cluster_id: int | None
+    metrics: dict = field(default_factory=dict)
+    pca: dict | None = None
+    matrix_bounds: dict | None = None
+    forest: dict | None = None
+    iso_offset: float | None = None
+    severity_bounds: dict | None = None
+    core: DataFrame | None = None
+
+    def model(self) -> EnsembleModel:
+        return EnsembleModel(self.centers, self.risk_cluster_id, self.matrix_bounds, self.forest, self.iso_offset,
+                             self.severity_bounds, DB.CorePoints.of(self.core, C.FEATURE_COLUMNS))
+
+    def save(self, root: str) -> None:
+        """Write the fitted model; ``EnsembleModel.load`` reads it, in any session."""
+        self.model().save(self.results.sparkSession, root, self.core)
+
+    def score_batch(self, features: DataFrame, id_col: str = "user_id_raiz") -> DataFrame:
+        """Score new rows with the fitted models (no refit)."""
+        return self.model().score(features, id_col)
+
     def as_scorer(self):
         """T3 ``scorer``: features → risk_level + severity_index."""
-        return lambda feats: self.score_batch(feats)
+        return self.model().score
 
     def summary(self, spark, execution_date: str) -> DataFrame:
         """One row — date, metrics, counts per level, centers, risk cluster."""
@@ -106,6 +145,7 @@ class EnsembleResult:
         counts = {r["risk_level"]: r["n_users"] for r in dist}
         row = {
             "execution_date": execution_date,
+            "silhouette": float(self.metrics.get("silhouette", 0.0)),
             "silhouette_sq": float(self.metrics.get("silhouette_sq", 0.0)),
             "calinski_harabasz": float(self.metrics.get("calinski_harabasz", 0.0)),
             "total_users": int(self.metrics.get("total_users", 0)),
@@ -117,7 +157,7 @@ class EnsembleResult:
             "cluster_centers": [[float(v) for v in c] for c in self.centers],
         }
         return spark.createDataFrame([row], schema=(
-            "execution_date string, silhouette_sq double, calinski_harabasz double, total_users long, "
+            "execution_date string, silhouette double, silhouette_sq double, calinski_harabasz double, total_users long, "
             "high_risk_percentage double, n_bajo long, n_moderado long, n_alto long, risk_cluster_id int, "
             "cluster_centers array<array<double>>"))
 
@@ -132,8 +172,10 @@ class EnsembleResult:
 
 def fit_predict(features: DataFrame, n_clusters: int = C.KMEANS_K,
                 contamination: float = C.IFOREST_CONTAMINATION, id_col: str = "user_id_raiz",
-                restarts: int = C.KMEANS_RESTARTS, with_pca: bool = True) -> EnsembleResult:
-    """The full ensemble over a feature table."""
+                restarts: int = C.KMEANS_RESTARTS, with_pca: bool = True,
+                silhouette_error: float = 5e-3) -> EnsembleResult:
+    """The full ensemble over a feature table. The Euclidean silhouette among the
+    metrics is within ``silhouette_error``."""
     if not (C.N_CLUSTERS_MIN <= n_clusters <= C.N_CLUSTERS_MAX):
         raise ValueError(f"n_clusters must be in {C.N_CLUSTERS_MIN}..{C.N_CLUSTERS_MAX}")
     cols = C.FEATURE_COLUMNS
@@ -154,16 +196,17 @@ def fit_predict(features: DataFrame, n_clusters: int = C.KMEANS_K,
     res = combine_votes(scored.join(db.select(id_col, "dbscan_cluster", "vote_dbscan"), id_col))
     res = res.withColumn("risk_distance", X.distance(cols, centers[risk_idx]))
     sbounds = severity_bounds(res)
-    res = severity_index(res.drop("risk_distance"), centers[risk_idx], cols,
-                         bounds=sbounds).persist(StorageLevel.MEMORY_AND_DISK)
+    # written once: metrics, projection and callers read it, and nothing is left in memory
+    res = checkpoint(severity_index(res.drop("risk_distance"), centers[risk_idx], cols, bounds=sbounds))
 
     n_labels = res.select("kmeans_cluster").distinct().limit(2).count()
     metrics = {}
     if n_labels > 1:
         metrics["silhouette_sq"] = QL.silhouette_sq(res, cols, "kmeans_cluster", id_col)[1]
+        _, metrics["silhouette"], metrics["silhouette_error"] = SI.silhouette(res, cols, "kmeans_cluster", id_col, silhouette_error)
         metrics["calinski_harabasz"] = QL.calinski_harabasz(res, cols, "kmeans_cluster")
     else:
-        metrics["silhouette_sq"] = 0.0
+        metrics["silhouette_sq"] = metrics["silhouette"] = metrics["silhouette_error"] = 0.0
         metrics["calinski_harabasz"] = 0.0
     tot = R.risk_totals(res).first()
     metrics["total_users"] = tot["total_users"]

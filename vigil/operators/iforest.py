@@ -1,10 +1,11 @@
 """Isolation forest on Spark.
 
-* Sampling: tree t takes the ψ = min(256, n) rows with the smallest
-  ``xxhash64(seed, t, id)``. Rows are first thinned by a hash threshold
-  sized to ~4ψ per tree (one Generate + Filter in codegen), then ranked per
-  tree; if a tree ever falls short the threshold is lifted (exact).
-* Growing: ``groupBy(tree).applyInPandas`` — one group = ψ rows × d features.
+* Sampling: tree t takes the ψ = min(256, n) rows with the smallest hashes of
+  (seed, t, id). One pass over the rows: a task hashes each row for all trees at
+  once in numpy and hands on only rows below a hash that some 4ψ rows of all are
+  below, and of these at most the ψ smallest per tree. If a tree still falls short
+  the pass runs again without that bound (exact).
+* Growing: ``groupBy(tree).applyInPandas`` — one group = the tree's few rows, cut to ψ.
 * Scoring: the forest (≤ 100 × 511 nodes, a proven bound) is shipped to an
   Arrow-batched pandas UDF that walks all trees level by level in numpy.
 * Threshold: offset = exact percentile (numpy linear rule) of training
@@ -17,10 +18,12 @@ the reference; properties (share of −1 ≈ contamination) are tested.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,8 +51,9 @@ NODE_SCHEMA = T.StructType([
 ])
 
 
-def _grow(pdf: pd.DataFrame, cols: list[str], seed: int, max_depth: int) -> pd.DataFrame:
+def _grow(pdf: pd.DataFrame, cols: list[str], seed: int, max_depth: int, psi: int) -> pd.DataFrame:
     tree = int(pdf["tree"].iloc[0])
+    pdf = pdf.nsmallest(psi, ["hash", "row"])
     rng = np.random.default_rng([seed, tree])
     X = pdf[cols].to_numpy(dtype="float64")
     rows = []
@@ -58,12 +62,9 @@ def _grow(pdf: pd.DataFrame, cols: list[str], seed: int, max_depth: int) -> pd.D
     while stack:
         node, idx, depth = stack.pop()
         sub = X[idx]
-        if depth >= max_depth or len(idx) <= 1:
-            rows.append((tree, node, -1, 0.0, -1, -1, len(idx), depth))
-            continue
         lo, hi = sub.min(axis=0), sub.max(axis=0)
         splittable = np.flatnonzero(hi > lo)
-        if len(splittable) == 0:
+        if depth >= max_depth or len(idx) <= 1 or len(splittable) == 0:
             rows.append((tree, node, -1, 0.0, -1, -1, len(idx), depth))
             continue
         f = int(rng.choice(splittable))
@@ -77,35 +78,56 @@ def _grow(pdf: pd.DataFrame, cols: list[str], seed: int, max_depth: int) -> pd.D
     return pd.DataFrame(rows, columns=[f.name for f in NODE_SCHEMA.fields])
 
 
-def sample_per_tree(matrix: DataFrame, id_col: str, n: int, trees: int, psi: int, seed: int) -> DataFrame:
-    over = 4.0
-    frac = 1.0 if n <= psi else min(1.0, over * psi / n)
-    while True:
-        h = F.xxhash64(F.lit(seed), F.col("tree"), F.col(id_col))
-        u = (F.abs(h % F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30)))
-        cand = (matrix.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-                .withColumn("_h", h).withColumn("_u", u).filter(F.col("_u") < F.lit(frac) + F.lit(1e-12)))
-        ranked = cand.withColumn("_r", F.row_number().over(Window.partitionBy("tree").orderBy("_u", "_h", id_col)))
-        sample = ranked.filter(F.col("_r") <= psi).drop("_h", "_u", "_r")
-        if frac >= 1.0:
-            return sample
-        short = (cand.groupBy("tree").count().filter(F.col("count") >= psi).count())
-        if short == trees:
-            return sample
-        frac = min(1.0, frac * 2)
+def _mix(h: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit numbers."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def sample_per_tree(matrix: DataFrame, cols: list[str], id_col: str, trees: int, psi: int, seed: int,
+                    bound: float) -> DataFrame:
+    """(tree, hash, row, *cols): a superset of every tree's ψ rows with the smallest
+    hashes, as far as these are below ``bound`` (a share of all hashes). ``row`` is a hash
+    of the id that orders rows with equal tree hashes."""
+    salts = _mix(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    below = np.uint64(min(int(bound * 2**64), 2**64 - 1))
+    schema = T.StructType([T.StructField("tree", T.IntegerType()), T.StructField("hash", T.LongType()),
+                           T.StructField("row", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in cols]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pd.DataFrame(columns=[f.name for f in schema.fields])
+        for b in batches:
+            row = b.column("row").to_numpy(zero_copy_only=False)
+            h = _mix(row.view(np.uint64)[:, None] ^ salts)
+            at, tree = np.nonzero(h <= below)
+            new = pd.DataFrame({"tree": tree, "hash": (h[at, tree] >> np.uint64(1)).astype(np.int64), "row": row[at]}
+                               | {c: b.column(c).to_numpy(zero_copy_only=False)[at] for c in cols})
+            new = new if held.empty else pd.concat([held, new])
+            held = new.sort_values(["tree", "hash", "row"]).groupby("tree").head(psi) if len(new) > trees * psi else new
+        out = held.sort_values(["tree", "hash", "row"]).groupby("tree").head(psi) if len(held) else held
+        yield pa.RecordBatch.from_pandas(out.astype({"tree": "int32", "hash": "int64", "row": "int64"} | {c: "float64" for c in cols}),
+                                         preserve_index=False)
+
+    rows = matrix.select(F.xxhash64(F.col(id_col).cast("string")).alias("row"), *[F.col(c).cast("double").alias(c) for c in cols])
+    return rows.mapInArrow(run, schema)
 
 
 def fit(matrix: DataFrame, cols: list[str] | None = None, id_col: str = "user_id_raiz",
         trees: int = C.IFOREST_TREES, max_samples: int = C.IFOREST_MAX_SAMPLES,
-        seed: int = C.IFOREST_SEED) -> dict:
+        seed: int = C.IFOREST_SEED, spare: float = 4.0) -> dict:
+    """``spare``: how many times ψ rows of a tree are expected below the hash bound."""
     cols = cols or C.FEATURE_COLUMNS
     n = matrix.count()
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    sample = sample_per_tree(matrix.select(id_col, *cols), id_col, n, trees, psi, seed)
-    nodes = (sample.groupBy("tree")
-             .applyInPandas(lambda pdf: _grow(pdf, cols, seed, max_depth), NODE_SCHEMA)
-             .collect())  # ≤ trees × (2ψ − 1) rows
+    for bound in (spare * psi / n, 1.0) if n > spare * psi else (1.0,):
+        sample = sample_per_tree(matrix, cols, id_col, trees, psi, seed, bound)
+        nodes = (sample.groupBy("tree")
+                 .applyInPandas(lambda pdf: _grow(pdf, cols, seed, max_depth, psi), NODE_SCHEMA)
+                 .collect())  # ≤ trees × (2ψ − 1) rows
+        if sum(r["node"] == 0 and r["size"] == psi for r in nodes) == trees:
+            break  # every tree has its ψ rows
     return {"cols": cols, "psi": psi, "trees": trees, "nodes": [tuple(r) for r in nodes]}
 
 

@@ -1,11 +1,9 @@
 """Clustering quality from per-cluster sums: O(n·k), no pairs.
 
 * Calinski–Harabasz is exact from cluster counts, sums and squared norms.
-* Silhouette uses squared Euclidean distance, which decomposes exactly:
-  Σ_j |x−y_j|² = N|x|² − 2x·S + Q per cluster. The reference's Euclidean
-  silhouette needs every pair (O(n²)); at 100 TB that is not a job we
-  run, so this is the documented deviation (same metric as Spark ML's
-  ClusteringEvaluator).
+* ``silhouette_sq`` uses squared Euclidean distance, which decomposes exactly:
+  Σ_j |x−y_j|² = N|x|² − 2x·S + Q per cluster (the metric of Spark ML's
+  ClusteringEvaluator). The Euclidean silhouette is in ``silhouette``.
 """
 
 from __future__ import annotations

@@ -1,21 +1,21 @@
-"""Feature-table sinks: K1–K6, W5 and a versioned parquet table.
-
-Plain parquet has no MERGE, so a table is a folder of immutable versions
-(``v=<n>``) plus a small append-only commit log (``_log``: version, batch id).
-Readers take the newest committed version; a writer computes the next
-version from the current one and never overwrites the path it reads. A
-batch id already in the log is skipped, so a replayed micro-batch is a
-no-op (exactly-once effect over at-least-once delivery).
+"""Feature-table sinks: K1–K6, W5.
+
+Plain parquet has no MERGE, so the feature table is a ``BucketTable``: a load
+writes a part of its own, an upsert rewrites the buckets of its users, and every
+commit names its writer and, for a stream, the micro-batch. Loads and streams
+share a table; a replayed micro-batch is a no-op (exactly-once effect over
+at-least-once delivery).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
+from ..session import checkpoint
+from .bucket_table import BucketTable, State
 
 FEATURE_TABLE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -36,76 +36,41 @@ FEATURE_TABLE_COLUMNS = [f.name for f in FEATURE_TABLE_SCHEMA.fields]
 UPSERT_COLUMNS = ["extraction_date", "reciprocity_ratio_norm", "days_since_last_seen_norm",
                   "ratio_night_messages", "is_profile_incomplete", "sentiment_negativity_index",
                   "num_community_categories_norm", "cluster_label"]
-LOG_SCHEMA = "version long, batch_id long"
 
 
-def conform(df: DataFrame) -> DataFrame:
+def conform(df: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Cast to the 12-column feature schema (missing columns → null); the user id
-    keeps its own type, a number or a UUID as text."""
+    keeps its own type, a number or a UUID as text. ``carry``: further columns to keep."""
     types = {f.name: f.dataType for f in FEATURE_TABLE_SCHEMA.fields}
     if "user_id_raiz" in df.columns:
         types["user_id_raiz"] = df.schema["user_id_raiz"].dataType
     return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c)
-                       for c in FEATURE_TABLE_COLUMNS])
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    @property
-    def log_path(self) -> str:
-        return f"{self.root}/_log"
-
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":  # no commit yet
-                return None
-            raise
-
-    def state(self) -> tuple[int, int]:
-        """(current version, last batch id); (0, -1) before the first commit."""
-        log = self._log()
-        if log is None:
-            return 0, -1
-        r = log.agg(F.max("version").alias("v"), F.max("batch_id").alias("b")).first()
-        return (r["v"] or 0), (r["b"] if r["b"] is not None else -1)
-
-    def exists(self) -> bool:
-        return self.state()[0] > 0
-
-    def read(self, state: tuple[int, int] | None = None) -> DataFrame:
-        v, _ = state if state is not None else self.state()
-        if v == 0:
-            return self.spark.createDataFrame([], FEATURE_TABLE_SCHEMA)
-        return self.spark.read.parquet(f"{self.root}/v={v}")
-
-    def commit(self, df: DataFrame, batch_id: int | None = None, partition_by: list[str] | None = None,
-               state: tuple[int, int] | None = None) -> int:
-        """Write ``df`` as the next version; returns the version (or the current one when skipped).
-        ``state`` may pass the (version, batch) the single writer already read."""
-        v, last = state if state is not None else self.state()
-        if batch_id is not None and 0 <= batch_id <= last:
-            return v  # replayed micro-batch: already applied
-        nv = v + 1
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.root}/v={nv}")
-        bid = batch_id if batch_id is not None else last + 1
-        self.spark.createDataFrame([(nv, bid)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
-        return nv
-
-
-    def append(self, df: DataFrame, state: tuple[int, int] | None = None) -> int:
-        """Add rows to the current version in place; earlier files are not read or rewritten."""
-        v, last = state if state is not None else self.state()
-        df.write.mode("append").parquet(f"{self.root}/v={v}")
-        self.spark.createDataFrame([(v, last + 1)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
-        return v
+                       for c in FEATURE_TABLE_COLUMNS], *(carry or []))
+
+
+class FeatureTable(BucketTable):
+    """The stored feature vectors, by user id."""
+
+    def __init__(self, spark: SparkSession, root: str, **kw):
+        super().__init__(spark, root, "user_id_raiz", **kw)
+
+    def read(self) -> DataFrame:
+        rows = super().read()
+        return self.spark.createDataFrame([], FEATURE_TABLE_SCHEMA) if rows is None else rows
+
+    def of_users(self, users: DataFrame, key: str) -> DataFrame:
+        """The stored vectors of the users in a column; reads their buckets only."""
+        rows = self.read_keys(users, key)
+        return self.spark.createDataFrame([], FEATURE_TABLE_SCHEMA) if rows is None else rows
+
+    def upsert(self, updates: DataFrame, writer: str = "upsert", batch_id: int | None = None) -> bool:
+        """K3 in place: only buckets that hold updated users are rewritten."""
+        def combine(current: DataFrame | None, changes: DataFrame, st: State) -> DataFrame:
+            if current is None:
+                current = self.spark.createDataFrame([], FEATURE_TABLE_SCHEMA).withColumn("part", F.lit(None).cast("string"))
+            return upsert(current, changes, start=st.next_id, carry=["part"])
+
+        return self.merge(updates, combine, writer, batch_id, id_col="id")
 
 
 # ---------------------------------------------------------------- W5, K1, K2
@@ -118,7 +83,6 @@ def assign_ids(df: DataFrame, order_col: str = "user_id_raiz", start: int = 1, i
     partitioned rows are written once together with their partition number;
     ranks and offsets both read that copy.
     """
-    from ..session import checkpoint
     ranged = checkpoint(df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)))
     sizes = local.groupBy("_pid").agg(F.max("_rn").alias("_n"))  # one row per partition
@@ -144,47 +108,50 @@ def assert_feature_table(df: DataFrame) -> DataFrame:
             .filter(F.col("user_id_raiz").isNull() | (F.col("n_rows") > 1)))
 
 
-def append_features(table: VersionedTable, features: DataFrame, as_of: str, check: bool = True) -> int:
+def append_features(table: FeatureTable, features: DataFrame, as_of: str, check: bool = True) -> int:
     """K1 + D2: append with a load timestamp; duplicates of existing user ids raise.
     Only the new rows are written, and checked among themselves and by a semi
-    join against the ids that are there."""
-    state = table.state()
-    cur = table.read(state)
-    start = (cur.agg(F.max("id")).first()[0] or 0) + 1 if state[0] else 1
-    new = conform(assign_ids(with_load_columns(features, as_of), start=start))
+    join against the ids that are there. Returns the number of rows added."""
+    start = table.state().next_id
+    new = checkpoint(conform(assign_ids(with_load_columns(features, as_of), start=start)))
     if check:
-        clash = assert_feature_table(new).select("user_id_raiz")
-        if state[0]:
-            clash = clash.unionByName(new.join(cur.select("user_id_raiz"), "user_id_raiz", "left_semi").select("user_id_raiz"))
+        cur = table.read().select("user_id_raiz")
+        clash = assert_feature_table(new).select("user_id_raiz").unionByName(
+            new.join(cur, "user_id_raiz", "left_semi").select("user_id_raiz"))
         if not clash.isEmpty():
             raise ValueError("append would duplicate user_id_raiz (unique key)")
-    return table.append(new, state) if state[0] else table.commit(new)
+    n = new.count()
+    table.append(new, next_id=start + n)
+    return n
 
 
-def truncate_reload(table: VersionedTable, features: DataFrame, as_of: str) -> int:
+def truncate_reload(table: FeatureTable, features: DataFrame, as_of: str) -> int:
     """K2: empty input does nothing and returns 0; else replace the table, ids from 1."""
-    if features.isEmpty():
-        return 0
-    table.commit(conform(assign_ids(with_load_columns(features, as_of), start=1)))
-    return table.read().count()
+    new = checkpoint(conform(assign_ids(with_load_columns(features, as_of), start=1)))
+    n = new.count()
+    if n:
+        table.reload(new, next_id=n + 1)
+    return n
 
 
 # ---------------------------------------------------------------- K3, K4
 
 def upsert(target: DataFrame, updates: DataFrame, key: str = "user_id_raiz",
-           columns: list[str] | None = None) -> DataFrame:
+           columns: list[str] | None = None, start: int | None = None, carry: list[str] | None = None) -> DataFrame:
     """K3: replace ``columns`` for matching keys; insert the rest with next ids.
 
     Updated rows keep id and one-hots; inserted rows get null one-hots and ids
-    after the current maximum. One full outer join on the key.
+    from ``start`` (unless given, after the current maximum). ``carry`` names further
+    columns of the target to keep (null on inserted rows). One full outer join on the key.
     """
+    carry = carry or []
     columns = columns or UPSERT_COLUMNS
-    t = conform(target).withColumn(key, F.col(key).cast(updates.schema[key].dataType)).withColumn("_t", F.lit(True))
+    t = conform(target, carry).withColumn(key, F.col(key).cast(updates.schema[key].dataType)).withColumn("_t", F.lit(True))
     u = updates.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_u_{c}") for c in columns if c in updates.columns])
     j = t.join(u, t[key] == u["_k"], "full_outer")
     matched = F.col("_k").isNotNull()
     sel = []
-    for c in FEATURE_TABLE_COLUMNS:
+    for c in [*FEATURE_TABLE_COLUMNS, *carry]:
         if c == key:
             sel.append(F.coalesce(F.col(key), F.col("_k")).alias(key))
         elif c in columns and f"_u_{c}" in u.columns:
@@ -194,9 +161,10 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "user_id_raiz",
     merged = j.select(*sel, F.col("_t").isNull().alias("_insert"))
     kept = merged.filter(~F.col("_insert")).drop("_insert")
     ins = merged.filter(F.col("_insert")).drop("_insert")
-    top = t.agg(F.max("id").alias("m")).first()["m"] or 0
-    ins = assign_ids(ins.drop("id"), start=top + 1)
-    return conform(kept).unionByName(conform(ins))
+    if start is None:
+        start = (t.agg(F.max("id").alias("m")).first()["m"] or 0) + 1
+    ins = assign_ids(ins.drop("id"), start=start)
+    return conform(kept, carry).unionByName(conform(ins, carry))
 
 
 def merge_into(spark: SparkSession, table: str, updates: DataFrame, key: str = "user_id_raiz",

@@ -19,7 +19,9 @@ from ..operators import kmeans as KM
 from ..operators import projection as PJ
 from ..operators import quality as QL
 from ..operators import reports as R
+from ..operators import silhouette as SI
 from ..operators import stats as ST
+from ..session import checkpoint, scratch_path
 from . import oracle as O
 from .contract import AS_OF, register, session_cache, sources
 from .finish import finish
@@ -413,3 +415,80 @@ def q_pca_invariants(spark, sf_dir):
     return finish(r.select("n_users", *zero, (F.col("vx") >= F.col("vy")).alias("x_varies_most"),
                            (F.col("vx") + F.col("vy") <= F.col("total_variance") + 1e-9).alias("within_total"),
                            "total_variance"))
+
+
+# ---------------------------------------------------------------- a literal forest and model
+
+# Two small trees: (tree, node, feature, threshold, left, right, size, depth), feature -1 is a leaf.
+FOREST = {"cols": FC, "psi": 8, "trees": 2, "nodes": [
+    (0, 0, 1, 0.4, 1, 2, 8, 0), (0, 1, -1, 0.0, -1, -1, 3, 1), (0, 2, 5, 0.5, 3, 4, 5, 1),
+    (0, 3, -1, 0.0, -1, -1, 4, 2), (0, 4, -1, 0.0, -1, -1, 1, 2),
+    (1, 0, 3, 0.5, 1, 2, 8, 0), (1, 1, 0, 0.3, 3, 4, 5, 1), (1, 2, -1, 0.0, -1, -1, 3, 1),
+    (1, 3, -1, 0.0, -1, -1, 2, 2), (1, 4, -1, 0.0, -1, -1, 3, 2)]}
+
+
+def _path_sql(n: int) -> str:
+    """Average path length in a tree of n rows (Euler's constant as in the forest)."""
+    return "0.0" if n < 2 else "1.0" if n == 2 else f"(2.0 * (ln({n - 1}.0) + 0.5772156649015329) - 2.0 * {n - 1}.0 / {n}.0)"
+
+
+def _tree_sql(nodes: dict, node: int = 0) -> str:
+    _, _, f, cut, left, right, size, depth = nodes[node]
+    if f < 0:
+        return f"({depth} + {_path_sql(size)})"
+    return f"case when {FC[f]} < {cut!r} then {_tree_sql(nodes, left)} else {_tree_sql(nodes, right)} end"
+
+
+_TREES = [_tree_sql({n[1]: n for n in FOREST["nodes"] if n[0] == t}) for t in range(FOREST["trees"])]
+RAW_SQL = f"-pow(2.0, -(({' + '.join(_TREES)}) / {FOREST['trees']}.0) / {_path_sql(FOREST['psi'])})"
+
+
+@register("isolation_scores_fixed", O.q(*MATRIX_CTES, f"iraw AS (select user_id_raiz, {RAW_SQL} as raw from mat)",
+                                        f"ioff AS (select quantile_cont(raw, {C.IFOREST_CONTAMINATION!r}) as off from iraw)",
+                                        final="""select user_id_raiz, round(raw - off, 6) as iso_score,
+  case when raw - off < 0 then -1 else 1 end as iso_prediction, case when raw - off < 0 then 1 else 0 end as vote_iso
+  from iraw cross join ioff"""))
+def q_isolation_scores_fixed(spark, sf_dir):
+    """M7's scores, offset and votes of a literal forest."""
+    out, _ = IF.predict(ensemble_matrix(spark, sf_dir), FOREST)
+    return finish(out.select("user_id_raiz", "iso_score", "iso_prediction", "vote_iso"))
+
+
+MODEL_OFFSET = -0.55
+MODEL_BOUNDS = {"ilo": -0.2, "ihi": 0.2, "dlo": 0.0, "dhi": 2.0}
+RISK_CENTER = 1
+_shifted = ", ".join(f"least(1.0, {c} * 0.8 + 0.1 * (user_id_raiz % 3)) as {c}" for c in FC)
+_near = " + ".join(f"(n.{c} - m.{c}) * (n.{c} - m.{c})" for c in FC)
+MODEL_CTES = [*MATRIX_CTES, CORE, LABELS, f"nw AS (select user_id_raiz, {_shifted} from mat)",
+              f"n0 AS (select *, {_dists}, sqrt({sq_dist_sql('', CENTERS[RISK_CENTER])}) as dist, {RAW_SQL} - ({MODEL_OFFSET!r}) as iso from nw)",
+              f"n1 AS (select *, {_label.replace('best', 'least(' + ', '.join(f'd{i}' for i in range(len(CENTERS))) + ')')} as k from n0)",
+              "core AS (select m2.*, found.c from m2 join found using (user_id_raiz) where m2.is_core)",
+              f"db AS (select n.user_id_raiz, min(m.c) as c from nw n join core m on {_near} <= {EPS2!r} group by n.user_id_raiz)",
+              f"""v AS (select n1.user_id_raiz, k, coalesce(db.c, -1) as c, iso, dist, case when k = {RISK_CENTER} then 1 else 0 end as vk,
+   case when db.c is null then 1 else 0 end as vd, case when iso < 0 then 1 else 0 end as vi from n1 left join db using (user_id_raiz))"""]
+
+
+@register("stored_model_scores", O.q(*MODEL_CTES, final=f"""select user_id_raiz, k as kmeans_cluster, c as dbscan_cluster,
+  round(iso, 6) as iso_score, vk + vd + vi as total_votes,
+  case when vk + vd + vi >= 2 then 'ALTO_RIESGO' when vk + vd + vi = 1 then 'RIESGO_MODERADO' else 'BAJO_RIESGO' end as risk_level,
+  round(greatest(least((0.5 * (1.0 - (iso + 0.2) / (0.4 + 1e-10)) + 0.3 * vd + 0.2 * (1.0 - dist / (2.0 + 1e-10))) * 100.0, 100.0), 0.0), 6)
+    as severity_index from v""").replace("WITH ", "WITH RECURSIVE ", 1))
+def q_stored_model_scores(spark, sf_dir):
+    """A model of literal centers and forest and the DBSCAN core points of the matrix is
+    written, loaded, and scores the rows moved by a rule."""
+    mat = checkpoint(ensemble_matrix(spark, sf_dir))
+    core = mat.join(DB.dbscan(mat).filter("is_core").select("user_id_raiz", "dbscan_cluster"), "user_id_raiz")
+    path = scratch_path(spark, "model")
+    model = EN.EnsembleModel(CENTERS, RISK_CENTER, {c: (0.0, 1.0) for c in FC}, FOREST, MODEL_OFFSET, MODEL_BOUNDS, None)
+    model.save(spark, path, core)
+    moved = mat.select("user_id_raiz", *[F.least(F.lit(1.0), F.col(c) * 0.8 + (F.col("user_id_raiz") % 3) * 0.1).alias(c) for c in FC])
+    out = EN.EnsembleModel.load(spark, path).score(moved)
+    return finish(out.select("user_id_raiz", "kmeans_cluster", "dbscan_cluster", "iso_score", "total_votes", "risk_level",
+                             "severity_index"))
+
+
+@register("silhouette_euclidean", None)
+def q_silhouette_euclidean(spark, sf_dir):
+    """M9 with Euclidean distances: the mean and its error. SQL would need all pairs of rows."""
+    _, mean, error = SI.silhouette(assigned(spark, sf_dir))
+    return spark.createDataFrame([(mean, error)], "silhouette double, silhouette_error double")

@@ -14,21 +14,26 @@ from .. import constants as C
 from ..operators import cdc
 from ..operators import reports as R
 from ..operators import sinks as K
-from ..session import scratch_path
+from ..session import checkpoint, scratch_path
 from ..sources import extract as E
+from ..sources.tables import SourceTables
 from ..streaming import changes as CH
 from ..streaming import pipeline as PL
+from ..streaming.maintained import COUNTED, KEYED, MESSAGE_COLUMNS, MaintainedMetrics
 from . import oracle as O
 from .contract import AS_OF, register, sources
 from .finish import finish
 
 # ---------------------------------------------------------------- SQL fragments
 
-PC = """pc AS (select event_id, source, channel, received_at, payload, json_valid(payload) as ok from change_events),
+PC = """pc AS (select event_id, source, channel, received_at, payload, reason is null as ok, reason from (
+   select *, case when not json_valid(payload) then 'malformed_json'
+     when payload->>'timestamp' is not null and try_cast(payload->>'timestamp' as timestamp) is null
+     then 'unreadable_timestamp' end as reason from change_events)),
 pv AS (select event_id, source, channel, received_at, payload->>'table' as tbl, payload->>'operation' as operation,
    payload->>'user_id' as user_id, try_cast(payload->>'timestamp' as timestamp) as event_time
    from pc where ok),
-pu AS (select * from pv where user_id is not null),
+pu AS (select * from pv where user_id <> ''),
 lk AS (select distinct * from (select 'root' as space, root_id as id, root_id from id_map
    union all select 'profile', profile_id, root_id from id_map
    union all select 'messaging', messaging_id, root_id from id_map where messaging_id is not null)),
@@ -147,7 +152,7 @@ def q_parsed_changes(spark, sf_dir):
                            "event_time"))
 
 
-@register("rejected_changes", O.q(PC, final="""select event_id, source, payload, 'malformed_json' as reason
+@register("rejected_changes", O.q(PC, final="""select event_id, source, payload, reason
   from pc where not ok"""))
 def q_rejected_changes(spark, sf_dir):
     p = CH.parse_changes(sources(spark, sf_dir).frames["change_events"])
@@ -297,6 +302,15 @@ def q_stream_pipeline(spark, sf_dir, chunks: int = 3):
     """T3 end to end: time slices of the change events, each taken by a restarted stream."""
     src = sources(spark, sf_dir)
     base = scratch_path(spark, "stream")
+    for _ in change_slices(spark, src, f"{base}/in", chunks):
+        # each slice arrives, then the stream resumes from its checkpoint and takes it
+        sinks = PL.run_stream(spark, src, f"{base}/in", f"{base}/out", f"{base}/ckpt",
+                              initial=src.frames["user_feature_vector"], max_files=None)
+    return finish(sinks.features.read())
+
+
+def change_slices(spark, src, path: str, chunks: int):
+    """Write the change events to a folder in time slices; yields after each."""
     ev = src.frames["change_events"].select("event_id", "source", "channel",
                                             F.col("received_at").cast("timestamp").alias("received_at"), "payload")
     bounds = ev.agg(F.min("received_at").alias("lo"), F.max("received_at").alias("hi")).first()
@@ -307,11 +321,78 @@ def q_stream_pipeline(spark, sf_dir, chunks: int = 3):
         part = ev.filter(F.col("received_at") >= F.lit(a))
         if i < chunks - 1:
             part = part.filter(F.col("received_at") < F.lit(a + step))
-        # each slice arrives, then the stream resumes from its checkpoint and takes it
-        part.write.mode("append").parquet(f"{base}/in")
-        sinks = PL.run_stream(spark, src, f"{base}/in", f"{base}/out", f"{base}/ckpt",
-                              initial=src.frames["user_feature_vector"], max_files=None)
-    return finish(sinks.features.read())
+        part.write.mode("append").parquet(path)
+        yield i
+
+
+LOADED = """loaded AS (select row_number() over (order by user_id_raiz % 3 = 0, user_id_raiz) as id, user_id_raiz,
+   timestamp '{as_of}' as extraction_date, reciprocity_ratio_norm, days_since_last_seen_norm, ratio_night_messages,
+   is_profile_incomplete, sentiment_negativity_index, num_community_categories_norm, int_gaming_one_hot,
+   comm_voluntariado_one_hot, cast(null as varchar) as cluster_label from fv)"""
+FT_NO_ID = FT_SELECT.replace("select id, ", "select ", 1)
+
+
+@register("stream_after_loads", O.q(
+    *O.feature_vector_ctes(nlp=False), LOADED.format(as_of=AS_OF), PC, AFF, INC, SCORE.replace("user_feature_vector", "loaded"),
+    final_table_sql().replace("user_feature_vector", "loaded"), final=FT_NO_ID))
+def q_stream_after_loads(spark, sf_dir, chunks: int = 3):
+    """K2 and K1 into a new table, then the stream into the same table: no batch and no load is lost."""
+    from ..operators import features as FT
+    src = sources(spark, sf_dir)
+    base = scratch_path(spark, "loads")
+    fv = FT.run_transformation(src, AS_OF, skip_nlp=True)
+    table = PL.StreamSinks(spark, f"{base}/out").features
+    K.truncate_reload(table, fv.filter(F.col("user_id_raiz") % 3 != 0), AS_OF)
+    K.append_features(table, fv.filter(F.col("user_id_raiz") % 3 == 0), AS_OF)
+    for _ in change_slices(spark, src, f"{base}/in", chunks):
+        sinks = PL.run_stream(spark, src, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files=None)
+    return finish(sinks.features.read().drop("id"))
+
+
+def earlier(src):
+    """An earlier state of the source tables: rows that are there now were not yet, or
+    were others, and some were there that are gone."""
+    def gone(df, key, every):
+        """Copies under other keys; the current tables lack them."""
+        return df.unionByName(df.filter(F.col(key) % every == 0).withColumn(key, F.col(key) + 10**12))
+
+    t = src.frames
+    sender, deleted = F.col("sender_profile_id"), F.col("is_deleted")
+    messages = (t["messages"].filter("id % 7 <> 0").withColumn("sender_profile_id", F.when(F.col("id") % 11 == 0, sender + 1).otherwise(sender))
+                .withColumn("is_deleted", F.when(F.col("id") % 5 == 0, ~deleted).otherwise(deleted)))
+    members = t["community_members"].filter("(user_id + community_id) % 5 <> 0")
+    profiles = t["user_profiles"].withColumn("following_count", F.col("following_count") + F.col("id") % 3)
+    return SourceTables({
+        "messages": gone(messages, "id", 13),
+        "community_members": members.unionByName(members.filter("community_id % 3 = 0").withColumn("community_id", F.col("community_id") + 1)
+                                                 .join(t["community_members"], ["user_id", "community_id"], "left_anti")),
+        "complete_profiles": gone(t["complete_profiles"].filter("user_id % 4 <> 0"), "user_id", 6),
+        "user_profiles": gone(profiles.filter("user_id % 9 <> 0"), "user_id", 10),
+        "users": t["users"].withColumn("last_seen_at", F.when(F.col("id") % 2 == 0, F.col("last_seen_at"))),
+        "communities": t["communities"].withColumn("category", F.when(F.col("id") % 4 == 0, F.lit("Voluntariado")).otherwise(F.col("category")))})
+
+
+@register("maintained_metrics", O.q(O.SOCIAL, O.MESSAGING, final=f"""select user_id_raiz, profile_id_social,
+  followers_count, following_count, profile_bio_missing, complete_profile_missing, num_community_categories,
+  {O.ts('last_seen_at')} as last_seen_at, total_messages, night_messages
+  from social s left join messaging m on m.profile_id = s.profile_id_social"""))
+def q_maintained_metrics(spark, sf_dir, batches: int = 2):
+    """J7 from maintained tables: an earlier state, then batches of row changes with updates and deletes
+    (one delivered again); the metrics of all users equal those of the current tables."""
+    src = sources(spark, sf_dir)
+    before, store = earlier(src), MaintainedMetrics(spark, scratch_path(spark, "maintained"), buckets=8)
+    store.bootstrap(before)
+    keys = {"messages": "id", "user_profiles": "user_id", "users": "id", "communities": "id", "complete_profiles": "user_id"}
+    images = {}
+    for t in (*COUNTED, *KEYED):
+        columns = sum(KEYED[t], []) if t in KEYED else MESSAGE_COLUMNS if t == "messages" else COUNTED[t][1]
+        old, new, key = before[t], src[t], keys.get(t, "member")
+        if t == "community_members":
+            old, new = (d.withColumn("member", F.concat_ws(":", "user_id", "community_id")) for d in (old, new))
+        images[t] = checkpoint(cdc.row_images(old, new, key, columns))
+    for b in [*range(batches), 1]:
+        store.apply({t: d.filter(F.pmod(F.xxhash64("row_key"), F.lit(batches)) == b) for t, d in images.items()}, b)
+    return finish(store.of_users(src["user_profiles"].select(F.col("user_id").alias("root_id"))))
 
 
 LABEL_CTES = O.feature_vector_ctes(nlp=False) + [
@@ -353,7 +434,7 @@ LOAD_SQL = O.q(*O.feature_vector_ctes(nlp=False), final=f"""select row_number()
 @register("truncate_reload", LOAD_SQL)
 def q_truncate_reload(spark, sf_dir):
     from ..operators import features as FT
-    table = K.VersionedTable(spark, scratch_path(spark, "features"))
+    table = K.FeatureTable(spark, scratch_path(spark, "features"))
     n = K.truncate_reload(table, FT.run_transformation(sources(spark, sf_dir), AS_OF, skip_nlp=True), AS_OF)
     assert n >= 0
     return finish(table.read())
@@ -362,7 +443,7 @@ def q_truncate_reload(spark, sf_dir):
 @register("append_features", LOAD_SQL)
 def q_append_features(spark, sf_dir):
     from ..operators import features as FT
-    table = K.VersionedTable(spark, scratch_path(spark, "features"))
+    table = K.FeatureTable(spark, scratch_path(spark, "features"))
     K.append_features(table, FT.run_transformation(sources(spark, sf_dir), AS_OF, skip_nlp=True), AS_OF)
     return finish(table.read())
 
@@ -370,11 +451,9 @@ def q_append_features(spark, sf_dir):
 @register("feature_scan", LOAD_SQL)
 def q_feature_scan(spark, sf_dir):
     from ..operators import features as FT
-    path = scratch_path(spark, "features")
-    table = K.VersionedTable(spark, path)
+    table = K.FeatureTable(spark, scratch_path(spark, "features"))
     K.truncate_reload(table, FT.run_transformation(sources(spark, sf_dir), AS_OF, skip_nlp=True), AS_OF)
-    v, _ = table.state()
-    return finish(E.feature_scan(spark, f"{path}/v={v}"))
+    return finish(E.feature_scan(table))
 
 
 SNAP = """snap_old AS (select * from user_profiles where user_id % 23 <> 0),
@@ -426,9 +505,9 @@ def q_changes_per_window_stream(spark, sf_dir, chunks: int = 4):
         "event_id", "source", "channel", F.col("received_at").cast("timestamp").alias("received_at"), "payload")
     for i in range(chunks):
         ev.filter(F.pmod("event_id", F.lit(chunks)) == i).write.mode("append").parquet(f"{base}/in")
-        sinks = PL.run_window_counts(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
-    late = CH.changes_per_window(sinks.late())
-    both = sinks.counts().unionByName(late.withColumn("n_changes", F.col("n_changes").cast("long")))
+        out = PL.run_window_counts(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
+    late = CH.changes_per_window(out.late())
+    both = out.counts().unionByName(late.withColumn("n_changes", F.col("n_changes").cast("long")))
     return finish(both.groupBy("window_start", "window_end", "table").agg(F.sum("n_changes").alias("n_changes")))
 
 

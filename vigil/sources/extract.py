@@ -60,10 +60,11 @@ def message_stats(messages: DataFrame) -> DataFrame:
                  F.count_if(X.night_flag("created_at")).alias("night_messages")))
 
 
-def messaging_metrics(src: SourceTables, with_messaging_id: bool = False) -> DataFrame:
-    """One row per active messaging user."""
+def messaging_metrics(src: SourceTables, with_messaging_id: bool = False, stats: DataFrame | None = None) -> DataFrame:
+    """One row per active messaging user (J4). ``stats``: message counts by sender
+    that are there already."""
     u = src["users"].filter(F.col("is_active") == F.lit(True))
-    ms = message_stats(src["messages"])
+    ms = message_stats(src["messages"]) if stats is None else stats
     j = u.join(ms, u["id"] == ms["sender_profile_id"], "left")
     cols = [
         F.col("profile_id"),
@@ -132,6 +133,6 @@ def extraction_row_counts(bundle: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def feature_scan(spark, path: str) -> DataFrame:
+def feature_scan(table) -> DataFrame:
     """Full scan of the feature table."""
-    return spark.read.parquet(path)
+    return table.read()

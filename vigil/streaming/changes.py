@@ -6,7 +6,7 @@ whose payload is the JSON object the row-change capture emits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,8 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("payload", T.StringType()),
 ])
 
+REJECT_JSON, REJECT_TIMESTAMP, REJECT_USER = "malformed_json", "unreadable_timestamp", "unknown_user"
+
 # Which id space each captured table's user_id is in.
 TABLE_ID_SPACE = {
     "messages": "messaging",
@@ -66,35 +68,46 @@ def kafka_change_stream(spark: SparkSession, servers: str, topic: str, source: s
 
 
 def parse_changes(events: DataFrame) -> DataFrame:
-    """T1 + F14: decode the payload; malformed rows keep ``_corrupt`` set."""
+    """T1 + F14: decode the payload. What can't be read never raises: ``reject_reason``
+    says why a row goes to the rejects (T2), ``is_malformed`` that it does."""
     p = F.from_json(F.col("payload"), PAYLOAD_SCHEMA,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    out = events.withColumn("_p", p)
-    bad = F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
+    out = events.withColumn("_p", p).withColumn("_at", F.try_to_timestamp(F.col("_p.timestamp")))
+    reason = (F.when(F.col("_p").isNull() | F.col("_p._corrupt").isNotNull(), F.lit(REJECT_JSON))
+              .when(F.col("_p.timestamp").isNotNull() & F.col("_at").isNull(), F.lit(REJECT_TIMESTAMP)))
     return out.select(
         "event_id", "source", "channel", F.col("received_at").cast("timestamp").alias("received_at"), "payload",
         F.col("_p.table").alias("table"), F.col("_p.operation").alias("operation"),
         F.col("_p.user_id").alias("user_id"),
-        F.to_timestamp(F.col("_p.timestamp")).alias("event_time"),
+        F.col("_at").alias("event_time"),
         F.col("_p.field_changed").alias("field_changed"),
         *[F.col(f"_p.{c}").alias(c) for c in PAYLOAD_ID_COLUMNS],
-        bad.alias("is_malformed"))
+        reason.isNotNull().alias("is_malformed"), reason.alias("reject_reason"))
 
 
 def valid_changes(parsed: DataFrame) -> DataFrame:
     return parsed.filter(~F.col("is_malformed"))
 
 
+def _rejects(changes: DataFrame, reason: Column) -> DataFrame:
+    return changes.select("event_id", "source", "channel", "received_at", "payload", reason.alias("reason"))
+
+
 def rejected_changes(parsed: DataFrame) -> DataFrame:
-    """T2 reject output (the reference printed and dropped these)."""
-    return (parsed.filter(F.col("is_malformed"))
-            .select("event_id", "source", "channel", "received_at", "payload",
-                    F.lit("malformed_json").alias("reason")))
+    """T2 reject output: unreadable payloads and timestamps (the reference printed and
+    dropped these)."""
+    return _rejects(parsed.filter(F.col("is_malformed")), F.col("reject_reason"))
 
 
 def with_user(parsed: DataFrame) -> DataFrame:
-    """Drop events without a user id."""
-    return parsed.filter(F.col("user_id").isNotNull())
+    """Drop events without a user id, null or empty."""
+    return parsed.filter(F.col("user_id") != "")
+
+
+def unknown_users(changes: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Rejects of the events whose user id no id space knows."""
+    known = resolved.select("event_id").distinct()
+    return _rejects(changes.join(known, "event_id", "left_anti"), F.lit(REJECT_USER))
 
 
 def id_lookup(id_map: DataFrame, wanted: DataFrame | None = None) -> DataFrame:

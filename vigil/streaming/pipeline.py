@@ -8,7 +8,9 @@ of the micro-batch; the affected ids are semi-joined into the source tables
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -20,6 +22,7 @@ from .. import constants as C
 from ..functions import expressions as X
 from ..operators import reports as R
 from ..operators import sinks as K
+from ..operators.bucket_table import BucketTable
 from ..sources import extract as E
 from ..sources.tables import SourceTables
 from . import changes as CH
@@ -29,8 +32,9 @@ from . import changes as CH
 
 def restrict_sources(src: SourceTables, roots: DataFrame) -> SourceTables:
     """Source tables cut down to the affected users (semi joins below aggregates)."""
-    up = src["user_profiles"].join(roots.select(F.col("root_id").alias("user_id")).distinct(), "user_id",
-                                   "left_semi")
+    up, wanted = src["user_profiles"], roots.select(F.col("root_id").cast("string").alias("_root")).distinct()
+    # ids compare as text: an event may carry an id that isn't a number
+    up = up.join(wanted, up["user_id"].cast("string") == wanted["_root"], "left_semi")
     prof = up.select(F.col("id").alias("_pid"))
     users = src["users"].join(prof, src["users"]["profile_id"] == prof["_pid"], "left_semi")
     msg_ids = users.select(F.col("id").alias("_mid"))
@@ -88,7 +92,7 @@ def incremental_features(metrics: DataFrame, as_of, negativity: DataFrame | None
 def previous_levels(updates: DataFrame, table: DataFrame, key: str = "user_id_raiz") -> DataFrame:
     """The label stored before this batch writes."""
     prev = table.select(F.col(key).alias("_pk"), F.col("cluster_label").alias("previous_risk"))
-    return updates.join(prev, updates[key] == prev["_pk"], "left").drop("_pk")
+    return updates.join(prev, updates[key].cast("string") == prev["_pk"].cast("string"), "left").drop("_pk")
 
 
 def risk_update_messages(scored: DataFrame) -> DataFrame:
@@ -189,31 +193,35 @@ def risk_transitions(history: DataFrame, key: str = "root_id", partitions: int |
 
 # ---------------------------------------------------------------- batch body
 
-def score_changes(src: SourceTables, events: DataFrame, table: DataFrame, resolve_ids: bool = True,
-                  scorer=None) -> dict:
+def score_changes(src: SourceTables, events: DataFrame, table: DataFrame | K.FeatureTable, resolve_ids: bool = True,
+                  scorer=None, metrics: Callable[[DataFrame], DataFrame] | None = None) -> dict:
     """T3 over one batch of envelopes. Returns the DataFrames the sinks write.
 
-    ``scorer`` (X3) maps the batch features to risk_level + severity_index,
-    e.g. ``EnsembleResult.as_scorer()``; default is the T5 heuristic (Q18).
+    ``table`` holds the stored labels; of a ``FeatureTable`` only the buckets of the
+    batch's users are read. ``scorer`` (X3) maps the batch features to risk_level +
+    severity_index, e.g. ``EnsembleResult.as_scorer()``; default is the T5 heuristic
+    (Q18). ``metrics`` gives the metrics of users (root_id) in place of the source
+    tables, e.g. ``MaintainedMetrics.of_users``.
     """
     parsed = CH.parse_changes(events)
-    rejects = CH.rejected_changes(parsed)
     valid = CH.with_user(CH.valid_changes(parsed))
     resolved = CH.resolve_users(valid, E.id_map(src) if resolve_ids else None, resolve_ids)
+    rejects = CH.rejected_changes(parsed).unionByName(CH.unknown_users(valid, resolved))
     # the batch's users (bounded by the trigger size) feed every semi join below:
     # materialize them once instead of re-deriving parse → resolve → latest per use
     from ..session import checkpoint
     latest = checkpoint(CH.latest_per_user(resolved).select("root_id", "table", "event_id",
                                                             F.col("received_at").alias("as_of")))
-    metrics = affected_user_metrics(src, latest.select("root_id"))
-    m = metrics.join(latest, metrics["user_id_raiz"] == latest["root_id"], "inner").drop("root_id")
+    found = (metrics or partial(affected_user_metrics, src))(latest.select("root_id"))
+    m = found.join(latest, found["user_id_raiz"].cast("string") == latest["root_id"].cast("string"), "inner").drop("root_id")
     feats = incremental_features(m, F.col("as_of"))
     if scorer is None:
         scored = R.heuristic_risk(feats)
     else:
         s = scorer(feats).select("user_id_raiz", "risk_level", "severity_index")
         scored = feats.join(s, "user_id_raiz")
-    scored = previous_levels(scored, table)
+    stored = table.of_users(latest, "root_id") if isinstance(table, K.FeatureTable) else table
+    scored = previous_levels(scored, stored)
     updates = scored.select(
         "user_id_raiz", F.col("as_of").alias("extraction_date"), "reciprocity_ratio_norm",
         "days_since_last_seen_norm", "ratio_night_messages",
@@ -229,13 +237,13 @@ def score_changes(src: SourceTables, events: DataFrame, table: DataFrame, resolv
 
 @dataclass
 class StreamSinks:
-    """Where the stream writes: versioned feature table, message log, rejects."""
+    """Where the stream writes: feature table, messages, rejects."""
     spark: SparkSession
     root: str
-    features: K.VersionedTable = field(init=False)
+    features: K.FeatureTable = field(init=False)
 
     def __post_init__(self):
-        self.features = K.VersionedTable(self.spark, f"{self.root}/features")
+        self.features = K.FeatureTable(self.spark, f"{self.root}/features")
 
     @property
     def messages_path(self) -> str:
@@ -246,15 +254,18 @@ class StreamSinks:
         return f"{self.root}/rejects"
 
 
-def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = True, scorer=None):
-    """foreachBatch body with replay safety: a batch id already committed is skipped."""
+#: Name of the stream's commits in the feature table; loads have other names.
+STREAM = "stream"
+
+
+def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = True, scorer=None, metrics=None):
+    """foreachBatch body with replay safety: a batch of this stream that the feature table
+    holds is skipped. Loads into the same table don't count as batches."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        st = sinks.features.state()  # read once: this body is the table's only writer
-        if batch_id <= st[1]:
+        if batch_id <= sinks.features.last_batch(STREAM):
             return
-        table = sinks.features.read(st)
         batch = batch.persist()
-        out = score_changes(src, batch, table, resolve_ids, scorer)
+        out = score_changes(src, batch, sinks.features, resolve_ids, scorer, metrics)
         # three writes below share the scored users (cache lookup matches the subplan)
         out["scored"].persist()
         # messages and rejects first (overwrite their batch partition: idempotent), table commit last
@@ -263,7 +274,7 @@ def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = Tru
          .parquet(sinks.messages_path))
         (out["rejects"].withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sinks.rejects_path))
-        sinks.features.commit(K.upsert(table, out["updates"]), batch_id, state=st)
+        sinks.features.upsert(out["updates"], STREAM, batch_id)
         out["scored"].unpersist()
         batch.unpersist()
     return run
@@ -271,13 +282,14 @@ def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = Tru
 
 def run_stream(spark: SparkSession, src: SourceTables, input_path: str, root: str, checkpoint: str,
                initial: DataFrame | None = None, fmt: str = "parquet", max_files: int | None = 1,
-               resolve_ids: bool = True, scorer=None) -> StreamSinks:
+               resolve_ids: bool = True, scorer=None, metrics=None) -> StreamSinks:
     """S6 → foreachBatch(T3) with an availableNow trigger; returns the sinks."""
     sinks = StreamSinks(spark, root)
     if initial is not None and not sinks.features.exists():
-        sinks.features.commit(K.conform(initial), batch_id=-1)
+        rows = K.conform(initial)
+        sinks.features.reload(rows, next_id=(rows.agg(F.max("id")).first()[0] or 0) + 1)
     stream = CH.change_stream(spark, input_path, fmt, max_files)
-    q = (stream.writeStream.foreachBatch(make_batch_fn(src, sinks, resolve_ids, scorer))
+    q = (stream.writeStream.foreachBatch(make_batch_fn(src, sinks, resolve_ids, scorer, metrics))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return sinks
@@ -285,91 +297,109 @@ def run_stream(spark: SparkSession, src: SourceTables, input_path: str, root: st
 
 # ---------------------------------------------------------------- T9 streaming form
 
-def windowed_change_counts(parsed_stream: DataFrame, duration: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Event-time dedupe within the watermark, then tumbling-window counts."""
-    s = (parsed_stream.filter(~F.col("is_malformed"))
-         .withColumn("event_time", F.col("event_time").cast("timestamp"))
-         .withWatermark("event_time", delay)
-         .dropDuplicatesWithinWatermark(["event_id"]))
-    return (s.groupBy(F.window("event_time", duration).alias("w"), "table")
+def distinct_changes(parsed: DataFrame, delay: str) -> DataFrame:
+    """Readable events, each id once; events behind the watermark are dropped. Spark
+    keeps the ids in its state store until the watermark has passed them."""
+    return (parsed.filter(~F.col("is_malformed") & F.col("event_time").isNotNull())
+            .select("event_id", "table", "event_time")
+            .withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"]))
+
+
+def windowed_change_counts(parsed: DataFrame, duration: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """Tumbling-window counts of distinct changes, in Spark's state store. In update
+    mode a trigger gives the new totals of the windows it changed."""
+    return (distinct_changes(parsed, delay).groupBy(F.window("event_time", duration).alias("w"), "table")
             .agg(F.count(F.lit(1)).alias("n_changes"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "table", "n_changes"))
 
 
 @dataclass
-class WindowSinks:
-    """Where the windowed counts go: partial counts, late rows, recent ids, a batch log."""
+class WindowOutputs:
+    """What the window stream writes: totals per window, counted ids, late events."""
     spark: SparkSession
     root: str
+    totals: BucketTable = field(init=False)
+
+    def __post_init__(self):
+        self.totals = BucketTable(self.spark, f"{self.root}/totals", "window_key", buckets=8)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str, schema: str) -> DataFrame:
-        """A table of this root; empty before its first write."""
+    def counts(self) -> DataFrame:
+        """(window_start, window_end, table, n_changes): distinct events per window."""
+        rows = self.totals.read()
+        if rows is None:
+            return self.spark.createDataFrame([], "window_start timestamp, window_end timestamp, table string, n_changes long")
+        return rows.drop("window_key")
+
+    def events(self, name: str) -> DataFrame:
+        """``counted`` or ``late`` events (event_id, table, event_time, day, batch_id)."""
+        schema = "event_id long, table string, event_time timestamp, day date, batch_id long"
         try:
             return self.spark.read.schema(schema).parquet(self.path(name))
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() != "PATH_NOT_FOUND":  # nothing written yet
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        """Replace this batch's rows: a replayed batch leaves the table as it was."""
-        (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path(name)))
+    def late(self) -> DataFrame:
+        return self.events("late")
 
-    def counts(self) -> DataFrame:
-        """(window_start, window_end, table, n_changes): counted events per window."""
-        t = self.read("counts", "window_start timestamp, window_end timestamp, table string, n long, batch_id long")
-        return t.groupBy("window_start", "window_end", "table").agg(F.sum("n").alias("n_changes"))
+    def write(self, events: DataFrame, name: str, batch_id: int) -> None:
+        """Replace this batch's rows: a replayed batch leaves the output as it was."""
+        rows = events.select("event_id", "table", "event_time", F.to_date("event_time").alias("day"),
+                             F.lit(batch_id).cast("long").alias("batch_id"))
+        (rows.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "batch_id").parquet(self.path(name)))
 
-    def late(self) -> DataFrame:
-        """Events that came after their window had closed."""
-        return self.read("late", "event_id long, table string, event_time timestamp, batch_id long")
 
+def _replace_totals(current: DataFrame | None, changed: DataFrame, _) -> DataFrame:
+    new = changed.withColumn("part", F.lit(None).cast("string"))
+    if current is None:
+        return new
+    return current.join(changed.select("window_key"), "window_key", "left_anti").unionByName(new)
 
-def make_window_fn(sinks: WindowSinks, duration: str = "1 hour", delay: str = "10 minutes"):
-    """T9 as a ``foreachBatch`` body over parsed events.
 
-    The watermark of a batch is the newest event time of the batches before it
-    less ``delay``. Older events go to the late output, all others are counted
-    once per event id: counts + late rows = distinct events. State is bounded:
-    only ids of batches that reached the watermark are read back.
-    """
+def window_batch(out: WindowOutputs):
+    """foreachBatch body of ``run_window_counts``: a micro-batch holds every event as it
+    came (kind raw), the distinct ones that were counted, and the totals they changed."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        log = sinks.read("log", "newest timestamp, batch_id long").filter(F.col("batch_id") < batch_id)
-        mark = log.agg((F.max("newest") - F.expr(f"interval {delay}")).alias("m")).first()["m"]
-        rows = (batch.filter(~F.col("is_malformed") & F.col("event_time").isNotNull())
-                .select("event_id", "table", "event_time")
-                .dropDuplicates(["event_id"]).persist())
-        is_late = F.lit(False) if mark is None else F.col("event_time") < F.lit(mark)
-        fresh = rows.filter(~is_late)
-        if mark is not None:
-            first = log.filter(F.col("newest") >= F.lit(mark)).agg(F.min("batch_id")).first()[0]
-            seen = sinks.read("seen", "event_id long, event_time timestamp, batch_id long").filter(
-                F.col("batch_id").between(first, batch_id - 1) & (F.col("event_time") >= F.lit(mark)))
-            fresh = fresh.join(seen, "event_id", "left_anti")
-        counted = (fresh.groupBy(F.window("event_time", duration).alias("w"), "table").agg(F.count(F.lit(1)).alias("n"))
-                   .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "table", "n"))
-        sinks.write(counted, "counts", batch_id)
-        sinks.write(rows.filter(is_late), "late", batch_id)
-        sinks.write(fresh.select("event_id", "event_time"), "seen", batch_id)
-        sinks.write(rows.agg(F.max("event_time").alias("newest")), "log", batch_id)
-        rows.unpersist()
+        batch = batch.persist()
+        kind = {k: batch.filter(F.col("kind") == k) for k in ("raw", "counted", "total")}
+        totals = kind["total"].select(F.concat_ws("|", F.col("window_start").cast("string"), F.col("table")).alias("window_key"),
+                                      "window_start", "window_end", "table", "n_changes")
+        out.totals.merge(totals, _replace_totals, "windows", batch_id)
+        out.write(kind["counted"], "counted", batch_id)
+        # what wasn't counted now is late, unless it was counted (or late) in an earlier batch
+        rest = kind["raw"].dropDuplicates(["event_id"]).join(kind["counted"].select("event_id"), "event_id", "left_anti")
+        days = [r[0] for r in rest.select(F.to_date("event_time")).distinct().collect()]  # a few, whatever the batch
+        for name in ("counted", "late"):
+            known = out.events(name).filter(F.col("day").isin(*days) & (F.col("batch_id") < batch_id))
+            rest = rest.join(known.select("event_id"), "event_id", "left_anti")
+        out.write(rest, "late", batch_id)
+        batch.unpersist()
     return run
 
 
 def run_window_counts(spark: SparkSession, input_path: str, root: str, checkpoint: str, max_files: int | None = None,
-                      duration: str = "1 hour", delay: str = "10 minutes") -> WindowSinks:
-    """T9 end to end over a file stream; returns the sinks."""
-    sinks = WindowSinks(spark, root)
+                      duration: str = "1 hour", delay: str = "10 minutes") -> WindowOutputs:
+    """T9 end to end over a file stream, in one query: counts + late events = distinct
+    events. Watermark, seen ids and window totals are Spark's state; the side output
+    is checked against the counted ids of the late events' days."""
+    out = WindowOutputs(spark, root)
     parsed = CH.parse_changes(CH.change_stream(spark, input_path, max_files=max_files))
-    q = (parsed.writeStream.foreachBatch(make_window_fn(sinks, duration, delay))
+    raw = parsed.filter(~F.col("is_malformed") & F.col("event_time").isNotNull()).select("event_id", "table", "event_time")
+    parts = {"raw": raw, "counted": distinct_changes(parsed, delay), "total": windowed_change_counts(parsed, duration, delay)}
+    both = None
+    for kind, rows in parts.items():
+        rows = rows.withColumn("kind", F.lit(kind))
+        both = rows if both is None else both.unionByName(rows, allowMissingColumns=True)
+    q = (both.writeStream.outputMode("update").foreachBatch(window_batch(out))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return sinks
+    return out
 
 
 # ---------------------------------------------------------------- T10
