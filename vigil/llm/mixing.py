@@ -10,11 +10,16 @@ the level for all that follow.
 Repetitions: every document is taken ``floor(target / source_size)`` times, and
 the rest of the target is filled with further single copies in the order of a
 seeded hash. The cut in that order is found from sums over hash buckets, and by
-sorting the one bucket per source that holds the cut; no source is sorted whole.
+prefix sums over the distinct order values of the one bucket per source that holds
+the cut, range by range; no source is sorted whole. Rows that agree in id, size and
+text share an order value: if the cut lies among them, only as many are taken as
+come up to the target, found from counts by partition.
 
 Edge cases: a null text has size 0; a null source is a source of its own, ordered
 last; a null doc_id is a value like any other; equal rows tie on everything and
-are interchangeable; an empty table gives no rows; other columns pass through.
+are interchangeable, their number doesn't matter; a text of any length is one
+document, so a source ends within half its last document of the target; an empty
+table gives no rows; other columns pass through.
 """
 
 from __future__ import annotations
@@ -81,8 +86,8 @@ def water_fill(sizes: DataFrame, weights: list[int], share: float, max_epochs: f
 
 
 def mix_plan(rows: DataFrame, weights: list[int], share: float, max_epochs: float) -> DataFrame:
-    """Per source: size, target, whole copies, and the last place in the order
-    that still gets one more copy (null: none does)."""
+    """Per source: size, target, whole copies, the last place in the order that still
+    gets one more copy (null: none does), and how many of the rows there get it."""
     bucket = F.shiftright(F.col("at.u"), HASH_BITS - BUCKET_BITS)
     sums = settled(rows.groupBy("skey", "source", bucket.alias("bucket")).agg(F.sum("size").alias("words")))
     sizes = sums.groupBy("skey", "source").agg(F.sum("words").alias("source_size"))
@@ -98,19 +103,48 @@ def mix_plan(rows: DataFrame, weights: list[int], share: float, max_epochs: floa
                    .groupBy("skey", "need").agg(F.min("bucket").alias("edge"), F.min("start").alias("start")))
     inside = lookup_join(rows.select("skey", "size", "at", bucket.alias("bucket")), edge, ["skey"], "inner")
     inside = inside.filter(F.col("bucket") == F.col("edge"))
-    prior = W.partitionBy("skey").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
-    inside = inside.withColumn("prior", F.col("start") + F.coalesce(F.sum("size").over(prior), F.lit(0)))
-    taken = inside.filter(F.col("prior") + F.col("size") / 2 <= F.col("need"))
-    cuts = taken.groupBy("skey").agg(F.max("at").alias("cut"))
+    ties = inside.groupBy("skey", "need", "start", "at").agg(F.count("*").alias("n"))
+    # prefix sums over ranges of the order: sums of the ranges before, and within the range
+    ties = settled(ties.repartitionByRange("skey", "at").withColumn("range", F.spark_partition_id()))
+    words = F.col("n") * F.col("at.size")
+    before = W.partitionBy("skey").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ties.groupBy("skey", "range").agg(F.sum(words).alias("words"))
+    ranges = ranges.select("skey", "range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("earlier"))
+    within = W.partitionBy("skey", "range").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
+    ties = ties.withColumn("inner", F.coalesce(F.sum(words).over(within), F.lit(0)))
+    ties = lookup_join(ties, settled(ranges), ["skey", "range"], "inner")
+    # the j-th of the tied rows (from 0) is taken if its middle is within the need
+    room = F.col("need") - F.col("start") - F.col("earlier") - F.col("inner") - F.col("at.size") / 2
+    fit = F.when(F.col("at.size") > 0, F.floor(F.try_divide(room, F.col("at.size"))) + 1).otherwise(F.when(room >= 0, F.col("n")))
+    take = F.least(F.greatest(F.coalesce(fit, F.lit(0)), F.lit(0)), F.col("n")).cast("long")
+    cuts = ties.withColumn("take", take).filter("take > 0").groupBy("skey").agg(
+        F.max_by(F.struct("at", "take", "n"), "at").alias("last"))
+    cuts = cuts.select("skey", F.col("last.at").alias("cut"), "last.take", F.col("last.n").alias("tied"))
     plan = plan.drop("need").join(edge.select("skey", "edge"), "skey", "left").join(cuts, "skey", "left")
     return settled(plan)
 
 
-def copies() -> Column:
-    """Copies of a document: the whole ones, and one more before the source's cut."""
+def _with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows (skey, at, …) with their source's plan and ``copies``: the whole ones, and one
+    more up to the source's cut."""
     bucket = F.shiftright(F.col("at.u"), HASH_BITS - BUCKET_BITS)
     more = (bucket < F.col("edge")) | ((bucket == F.col("edge")) & F.col("cut").isNotNull() & (F.col("at") <= F.col("cut")))
-    return F.col("whole") + F.coalesce(more, F.lit(False)).cast("long")
+    out = lookup_join(rows, plan, ["skey"], "inner")
+    out = out.withColumn("copies", F.col("whole") + F.coalesce(more, F.lit(False)).cast("long"))
+    if plan.filter("take < tied").isEmpty():
+        return out
+    # the cut lies among tied rows of some source: these are written out and the first ones taken
+    split = F.coalesce((F.col("take") < F.col("tied")) & (F.col("at") == F.col("cut")), F.lit(False))
+    tied = settled(out.filter(split).withColumn("place", F.monotonically_increasing_id()))
+    part = F.shiftright("place", 33)  # partition of the written rows
+    before = W.partitionBy("skey").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = tied.groupBy("skey", part.alias("part")).count()
+    parts = settled(parts.select("skey", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("earlier")))
+    tied = lookup_join(tied.withColumn("part", part), parts, ["skey", "part"], "inner")
+    # all of a partition's rows, none, or (one partition of each source) the first few
+    inner = F.row_number().over(W.partitionBy("skey", "part").orderBy("place"))
+    tied = tied.withColumn("copies", F.col("whole") + (F.col("earlier") + inner <= F.col("take")).cast("long"))
+    return out.filter(~split).unionByName(tied.drop("place", "part", "earlier"))
 
 
 def mix_report(docs: DataFrame, weights: list[int], share: float = 1.5, max_epochs: float = 2.0,
@@ -118,8 +152,8 @@ def mix_report(docs: DataFrame, weights: list[int], share: float = 1.5, max_epoc
     """Per document: size, its source's size and target, and the words the mix takes."""
     rows = ledger(docs, seed)
     plan = mix_plan(rows, weights, share, max_epochs)
-    out = lookup_join(rows, plan, ["skey"], "inner")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies()).alias("taken"))
+    out = _with_copies(rows, plan)
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: list[int], share: float = 1.5, max_epochs: float = 2.0,
@@ -130,6 +164,5 @@ def mix(docs: DataFrame, weights: list[int], share: float = 1.5, max_epochs: flo
     rows = docs.select(cols, "doc_id", "text", F.col("source").cast("string").alias("source"),
                        count_words(F.col("text")).alias("size"))
     rows = rows.select("row", _source_key(F.col("source")).alias("skey"), _order(seed).alias("at"))
-    out = lookup_join(rows, plan, ["skey"], "inner")
-    return out.withColumn("n", copies()).filter("n > 0").select(
-        F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"), "row").select("row.*")
+    out = _with_copies(rows, plan).filter("copies > 0")
+    return out.select(F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"), "row").select("row.*")
