@@ -3,8 +3,9 @@ r"""Chat formatting into budgeted windows.
 A conversation becomes one or more windows of whole turns. A running prefix sum of
 turn tokens closes a window where the next turn would exceed the budget. Every
 later window starts with the conversation's system turn (a first turn whose role is
-``system``) and the last turns before it, as far as the history limits and the
-budget allow. Context turns are repeated without loss; the loss mask covers the text
+``system``), whatever its length, and the last turns before it, as far as the history
+limits and the budget allow. The system turn counts towards the budget; a window that
+it and one new turn alone take above the budget is marked. Context turns are repeated without loss; the loss mask covers the text
 of each assistant turn where it is new, so every target counts once.
 
 Template: ``<turn ROLE>\nTEXT</turn>\n``. Inside ROLE and TEXT a backslash, ``<`` and
@@ -95,7 +96,7 @@ class Conversation:
         done = None
         if self.fresh and self.used + turn.tokens > self.limits.budget:
             done = self.close()
-            self._open(self.limits.budget - turn.tokens)
+            self._open(turn)
         if self.seen == 0 and turn.role == "system":
             self.system = turn
         else:
@@ -107,10 +108,11 @@ class Conversation:
         self.used += turn.tokens
         return done
 
-    def _open(self, room: int) -> None:
-        """Start a window whose context fits into ``room``, the system turn first."""
-        self.context = [self.system] if self.system and self.system.tokens <= room else []
-        room = min(room - sum(t.tokens for t in self.context), self.limits.history_tokens)
+    def _open(self, turn: Turn) -> None:
+        """Start a window for a turn: always with the system turn, and as much history as
+        the budget leaves beside the two. Where they alone exceed it the window is marked."""
+        self.context = [self.system] if self.system else []
+        room = min(self.limits.budget - turn.tokens - sum(t.tokens for t in self.context), self.limits.history_tokens)
         history: deque[Turn] = deque()
         for t in reversed(self.recent):
             if t.tokens > room:
@@ -223,9 +225,12 @@ def _read(rows: Iterable[tuple]) -> Iterator[dict]:
         yield done()
 
 
-def read_back(windows: DataFrame) -> DataFrame:
-    """Per conversation what its windows hold: turns, targets and sizes. Needs the
-    rows as ``format_windows`` leaves them; nothing is shuffled."""
+def read_back(windows: DataFrame, in_order: bool = False) -> DataFrame:
+    """Per conversation what its windows hold: turns, targets and sizes. ``in_order``
+    says that the rows come straight from ``format_windows``, conversation by
+    conversation; otherwise they are dealt and sorted first."""
+    if not in_order:
+        windows = windows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
     id_type = windows.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

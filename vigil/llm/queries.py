@@ -65,7 +65,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
     probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
-    return chat.read_back(chat.format_windows(turns.unionByName(probe)))
+    return chat.read_back(chat.format_windows(turns.unionByName(probe)), in_order=True)
 
 
 @register("op5_quality_rules", oracle.QUALITY)
