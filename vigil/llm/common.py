@@ -32,8 +32,8 @@ def count_words(c: Column) -> Column:
 def row_key(*cols: str) -> Column:
     """Digest of the given columns. Rows that agree in all of them share the
     key (nulls count as a value), whatever partition or attempt they are read in."""
-    parts = [F.when(F.col(c).isNull(), F.lit("n")).otherwise(
-        F.concat(F.lit("v"), F.col(c).cast("string"))) for c in cols]
+    parts = [F.when(F.col(f"`{c}`").isNull(), F.lit("n")).otherwise(
+        F.concat(F.lit("v"), F.col(f"`{c}`").cast("string"))) for c in cols]
     return F.md5(F.concat_ws("\u001f", *parts))
 
 
