@@ -12,6 +12,10 @@ from dataclasses import dataclass
 import numpy as np
 
 
+#: Term pairs that are counted at once.
+PAIR_CELLS = 1 << 21
+
+
 @dataclass
 class FactorizationMachine:
     """Terms that the fit doesn't keep weigh nothing."""
@@ -46,11 +50,56 @@ def associated(ids: np.ndarray, n: np.ndarray, n_pos: np.ndarray, pos: int, neg:
     return ids[2 * g >= least]
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, min_docs: int = 3, association: float = 10.0,
+def _distinct(flat: np.ndarray, rows: np.ndarray, ids: np.ndarray, docs: int) -> np.ndarray:
+    """One of the terms that occur in exactly the same texts (a word and its prefixes, say)."""
+    weight = np.random.default_rng(5).random(docs)
+    sums = np.bincount(flat, weight[rows])[ids]  # equal texts add up in the same order
+    return np.sort(ids[np.unique(sums, return_index=True)[1]])
+
+
+def paired(flat: np.ndarray, rows: np.ndarray, y: np.ndarray, ids: np.ndarray, least: float) -> np.ndarray:
+    """Terms of pairs that depend on the label together: among the texts with one of the
+    two, the label depends on the other by at least ``least`` standard deviations, and
+    the other way round. Whether a term alone tells anything doesn't matter. ``ids`` are
+    sorted and in at least least² texts: fewer can't deviate that far. Counts come from
+    products of a texts x terms matrix of 0 and 1, a block of terms at a time."""
+    if not len(ids):
+        return ids
+    ids = _distinct(flat, rows, ids, len(y))
+    at = np.searchsorted(ids, flat)
+    known = ids[np.minimum(at, len(ids) - 1)] == flat
+    place = np.empty(len(y), dtype=np.int64)
+    place[np.argsort(-y, kind="stable")] = np.arange(len(y))  # positive texts first
+    x = np.zeros((len(y), len(ids)), np.float32)
+    x[place[rows[known]], at[known]] = 1
+    pos = int((y > 0).sum())
+    n, n_pos = x.sum(axis=0), x[:pos].sum(axis=0)
+    share = n_pos / n
+    found = np.zeros(len(ids), dtype=bool)
+    block = max(1, PAIR_CELLS // len(ids))
+
+    def deviates(both: np.ndarray, both_pos: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Texts with both, against the share of positives among the n with one."""
+        spread = both * (share * (1 - share)) * (1 - both / n)
+        return (both_pos - both * share) ** 2 >= least**2 * np.maximum(spread, 1e-6)
+
+    for start in range(0, len(ids), block):
+        part = slice(start, start + block)
+        both_pos = x[:pos].T @ x[:pos, part]
+        both = both_pos + x[pos:].T @ x[pos:, part]
+        hit = (both >= least**2) & deviates(both, both_pos, n[:, None], share[:, None])
+        hit &= deviates(both, both_pos, n[part], share[part])
+        found |= hit.any(axis=1)
+        found[part] |= hit.any(axis=0)
+    return ids[found]
+
+
+def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, min_docs: int = 3, association: float = 10.0, pair_deviation: float = 7.0,
         rounds: int = 60, rate: float = 0.05, l2: float = 3e-5, seed: int = 7) -> FactorizationMachine:
     """Fit on the distinct terms (small non-negative numbers) of bounded many texts. With one label or none the score is
-    constant. Terms in fewer than ``min_docs`` texts, or without an association with
-    the label, are left out: they would only teach the factors the sample by heart."""
+    constant. Terms in fewer than ``min_docs`` texts are left out, and those that depend
+    on the label neither alone (``association``) nor together with another term
+    (``pair_deviation``): they would only teach the factors the sample by heart."""
     y = np.asarray(labels, dtype=np.float64)
     nothing = FactorizationMachine(np.empty(0, np.int64), np.empty(0), np.empty((0, factors)), 0.0)
     if len(y) == 0 or y.min() == y.max():
@@ -61,7 +110,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, min_docs:
     n = np.bincount(flat) if len(flat) else np.zeros(1, np.int64)
     n_pos = np.bincount(flat[y[rows] > 0], minlength=len(n))
     ids = np.flatnonzero(n >= min_docs)
-    ids = associated(ids, n[ids].astype(float), n_pos[ids].astype(float), int(y.sum()), int(len(y) - y.sum()), association)
+    alone = associated(ids, n[ids].astype(float), n_pos[ids].astype(float), int(y.sum()), int(len(y) - y.sum()), association)
+    together = paired(flat, rows, y, np.flatnonzero(n >= max(min_docs, pair_deviation**2)), pair_deviation)
+    ids = np.union1d(alone, together)
     column = np.zeros(len(n), np.int32)
     column[ids] = np.arange(1, len(ids) + 1)
     known = column[flat] > 0
