@@ -12,8 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 
 
-#: Term pairs that are counted at once.
-PAIR_CELLS = 1 << 21
+#: Terms that are held against as many others at once.
+PAIR_BLOCK = 1024
 
 
 @dataclass
@@ -62,7 +62,7 @@ def paired(flat: np.ndarray, rows: np.ndarray, y: np.ndarray, ids: np.ndarray, l
     two, the label depends on the other by at least ``least`` standard deviations, and
     the other way round. Whether a term alone tells anything doesn't matter. ``ids`` are
     sorted and in at least least² texts: fewer can't deviate that far. Counts come from
-    products of a texts x terms matrix of 0 and 1, a block of terms at a time."""
+    products of a matrix of 0 and 1, block by block; it holds a byte for each text and term."""
     if not len(ids):
         return ids
     ids = _distinct(flat, rows, ids, len(y))
@@ -70,31 +70,34 @@ def paired(flat: np.ndarray, rows: np.ndarray, y: np.ndarray, ids: np.ndarray, l
     known = ids[np.minimum(at, len(ids) - 1)] == flat
     place = np.empty(len(y), dtype=np.int64)
     place[np.argsort(-y, kind="stable")] = np.arange(len(y))  # positive texts first
-    x = np.zeros((len(y), len(ids)), np.float32)
-    x[place[rows[known]], at[known]] = 1
+    x = np.zeros((len(ids), len(y)), np.uint8)  # a byte for each text and term
+    x[at[known], place[rows[known]]] = 1
     pos = int((y > 0).sum())
-    n, n_pos = x.sum(axis=0), x[:pos].sum(axis=0)
+    n, n_pos = x.sum(axis=1, dtype=np.float32), x[:, :pos].sum(axis=1, dtype=np.float32)
     share = n_pos / n
     found = np.zeros(len(ids), dtype=bool)
-    block = max(1, PAIR_CELLS // len(ids))
 
     def deviates(both: np.ndarray, both_pos: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
         """Texts with both, against the share of positives among the n with one."""
         spread = both * (share * (1 - share)) * (1 - both / n)
-        return (both_pos - both * share) ** 2 >= least**2 * np.maximum(spread, 1e-6)
-
-    for start in range(0, len(ids), block):
-        part = slice(start, start + block)
-        both_pos = x[:pos].T @ x[:pos, part]
-        both = both_pos + x[pos:].T @ x[pos:, part]
-        hit = (both >= least**2) & deviates(both, both_pos, n[:, None], share[:, None])
-        hit &= deviates(both, both_pos, n[part], share[part])
-        found |= hit.any(axis=1)
-        found[part] |= hit.any(axis=0)
+        return (both_pos - both * share) ** 2 >= least**2 * np.maximum(spread, np.float32(1e-6))
+
+    for i in range(0, len(ids), PAIR_BLOCK):
+        one = slice(i, i + PAIR_BLOCK)
+        a = x[one].astype(np.float32)
+        for j in range(i, len(ids), PAIR_BLOCK):
+            other = slice(j, j + PAIR_BLOCK)
+            b = x[other].astype(np.float32).T
+            both_pos = a[:, :pos] @ b[:pos]
+            both = both_pos + a[:, pos:] @ b[pos:]
+            hit = (both >= least**2) & deviates(both, both_pos, n[one, None], share[one, None])
+            hit &= deviates(both, both_pos, n[other], share[other])
+            found[one] |= hit.any(axis=1)
+            found[other] |= hit.any(axis=0)
     return ids[found]
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, min_docs: int = 3, association: float = 10.0, pair_deviation: float = 7.0,
+def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, min_docs: int = 3, association: float = 10.0, pair_deviation: float = 8.0,
         rounds: int = 60, rate: float = 0.05, l2: float = 3e-5, seed: int = 7) -> FactorizationMachine:
     """Fit on the distinct terms (small non-negative numbers) of bounded many texts. With one label or none the score is
     constant. Terms in fewer than ``min_docs`` texts are left out, and those that depend
