@@ -20,7 +20,7 @@ def test_mentions_of_one_entity_share_its_surrogate(make_docs):
     texts = ["Card 4111 1111 1111 1111 or 4111111111111111 or 4111-1111-1111-1111.", "Call +49 30 1234 5678 or +49-30-1234-5678.",
              "IBAN DE89 3704 0044 0532 0130 00 or DE89370400440532013000.",
              "Smith wrote: Anna Smith and John Doe-Hall met. Anna left; Smith's car, Doe-Hall, Smith-like, Smithson, anna, 12."]
-    out = {r.doc_id: r for r in pii.replace(make_docs([(k, t, "en", "a") for k, t in enumerate(texts)])).collect()}
+    out = {r.doc_id: r for r in pii.replace(make_docs([(k, t, "en", "a") for k, t in enumerate(texts)]), "k").collect()}
     for k, n in ((0, 3), (1, 2), (2, 2)):
         bare = [re.sub("[^A-Z0-9]", "", x) for x in re.sub("^(Card|Call|IBAN) ", "", out[k].text).rstrip(".").split(" or ")]
         assert len(bare) == n and len(set(bare)) == 1 and bare[0] != re.sub("[^A-Z0-9]", "", texts[k].split(" or ")[1])
@@ -36,7 +36,7 @@ def test_secrets_are_replaced_whole(make_docs):
     jwt = "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl=="
     texts = [f"token = {key}. End", f"see {'0123456789abcdef' * 60} here", f"token={jwt}, then", "Password: Abcdefgh1234x",
              "API_KEY=abcdefghijklmn", "abcdefabcdefabcdefabcdefabcdefabcdef"]
-    out = {r.doc_id: r for r in pii.replace(make_docs([(k, t, "en", "a") for k, t in enumerate(texts)])).collect()}
+    out = {r.doc_id: r for r in pii.replace(make_docs([(k, t, "en", "a") for k, t in enumerate(texts)]), "k").collect()}
     assert all(out[k].n_entities == 1 and len(out[k].text) == len(t) for k, t in enumerate(texts))
     assert out[0].text.endswith(". End") and not any(key[k:k + 8] in out[0].text for k in range(len(key) - 8))
     assert re.fullmatch("see [0-9a-f]{960} here", out[1].text) and "0123456789abcdef" not in out[1].text

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from vigil.llm import chat, decontam, fm, mixing, simhash
+from vigil.llm import chat, decontam, fm, mixing, pii, simhash
 
 from .conftest import as_set
 
@@ -89,3 +92,83 @@ def test_dotted_and_map_columns(spark):
     assert as_set(simhash.deduplicate(docs), "doc_id") == [(1,), (3,)]
     items = spark.createDataFrame([(1, "quite another one")], "item_id long, text string")
     assert as_set(decontam.decontaminate(docs, items), "doc_id") == [(1,), (2,)]
+
+
+# ------------------------------------------------------------------------------- PII
+
+def replaced(make_docs, *texts):
+    out = {r.doc_id: r for r in pii.replace(make_docs([(k, t, "en", "a") for k, t in enumerate(texts)]), "k").collect()}
+    return [(out[k].text, out[k].n_entities) for k in range(len(texts))]
+
+
+SECRETS = ["password=4111111111111111xyzSECRETtail", "token: 12345678901234abcdefabcdefabcdefabcdef", '{"api_key": "abcdefghijkl12"}',
+           '{"password":"hunter2hunter2"}', "'secret' : 'AbCdEfGhIjKlMn'", "see 12345678901234abcdefabcdefabcdefabcdef there"]
+
+
+def test_labelled_secrets_go_whole(make_docs):
+    for old, (new, n) in zip(SECRETS, replaced(make_docs, *SECRETS)):
+        assert n == 1 and len(new) == len(old), new
+        value = max(re.findall(r"[A-Za-z0-9]+", old), key=len)
+        assert not any(value[k:k + 6] in new for k in range(len(value) - 5)), new
+        assert re.sub("[A-Za-z0-9]", "", new) == re.sub("[A-Za-z0-9]", "", old)
+
+
+def test_names_of_all_forms(make_docs):
+    names = ["Anna Maria Smith", "John McDonald", "Peter O'Brien", "ANNA SMITH", "Maria von Trapp", "Carlos de la Vega", "Anna Maria",
+             "JOHN O'BRIEN-HALL", "Hans Meyer-Schmidt", "Анна Иванова"]
+    out = replaced(make_docs, *[f"Then {n} came, {n} left." for n in names])
+    for name, (new, n) in zip(names, out):
+        assert n == 2 and new.startswith("Then ") and new.endswith(" left.")
+        first = new[5:new.index(" came")]
+        assert new == f"Then {first} came, {first} left."  # one entity, one surrogate
+        assert len(first.split()) == len(name.split()) and (first == first.upper()) == (name == name.upper())
+        old = [w for w in name.split() if w not in pii.PARTICLES]
+        assert not set(old) & set(first.split()) and [w for w in first.split() if w in pii.PARTICLES] == [w for w in name.split() if w in pii.PARTICLES]
+    both = replaced(make_docs, "ANNA SMITH is Anna Smith. O'Brien? Peter O'Brien!")[0][0]
+    upper, mixed = re.match(r"([A-Z]+ [A-Z]+) is (\w+ \w+)\.", both).groups()
+    assert upper == mixed.upper() and "Brien" not in both
+
+
+def test_no_false_alarms_of_numbers(make_docs):
+    texts = ["version 10.1.2.3", "v10.1.2.3 and Version: none", "ISBN 978-3-16-148410-0", "ISBN-13: 9783161484100", "pages 10-12, 1999-2003", "3.14159 2.71828",
+             "password: short", "token = two words only", "Anna went home", "MARIA!"]
+    assert replaced(make_docs, *texts) == [(t, 0) for t in texts]
+
+
+def test_long_parts_of_mail_addresses(make_docs):
+    mails = ["a" * 71 + "@mail.example.org", "x@" + ".".join(["sub"] * 20) + ".org", "y@" + "d" * 80 + ".com", "password=john.smithsonian_x@mail.com"]
+    for old, (new, n) in zip(mails, replaced(make_docs, *mails)):
+        assert n == 1 and len(new) == len(old) and new.count("@") == 1 and new.split(".")[-1] == old.split(".")[-1]
+        assert not any(w in new.split("=")[-1] for w in ("aaaa", "sub.sub", "dddd", "smith"))
+
+
+def test_clashing_output_name_and_key(spark):
+    docs = spark.createDataFrame([(1, "x", "mail a.b@c.org")], "doc_id long, N_Entities string, text string")
+    one, other = (pii.replace(docs, k).select("doc_id", "n_entities", "text").first() for k in ("k", "other"))
+    assert one.n_entities == 1 and one.text != other.text != "mail a.b@c.org"
+
+
+def test_detection_and_surrogates_against_brute_force(spark, make_docs):
+    """Entities found by a scan in Python; one surrogate for each, distinct, of its form, nobody's value."""
+    rng = np.random.default_rng(4)
+    parts = [*SECRETS, "Anna Smith", "JOHN DOE", "Peter van der Berg", "mail a.b@c.org", "A.B@C.org", "10.1.2.3", "+49 30 1234 5678", "4111-1111 1111 1111",
+             "DE89 3704 0044 0532 0130 00", "123-45-6789", "plain words", "ISBN 978-3-16-148410-0", "Юрий Петров"]
+    texts = [". ".join(rng.choice(parts, 6)) for _ in range(150)]
+    docs = make_docs([(k, t, "en", "a") for k, t in enumerate(texts)])
+    found = pii.entities_of(docs).collect()
+    expected = [(t, m.group()) for t in set(texts) for m in regex.finditer(pii.ENTITY, t)]
+    assert sorted(r.mention for r in found) == sorted(m for _, m in expected)
+    table = {(r.kind, r.value): r.surrogate for r in pii.assign_surrogates(pii.entities_of(docs), "k").collect()}
+    assert table.keys() == {(r.kind, r.value) for r in found}
+    assert len({(k, s) for (k, _), s in table.items()}) == len(table)
+    assert not {(k, s) for (k, _), s in table.items()} & table.keys()
+    shape = [("[0-9]", "0"), ("[a-z]", "a"), ("[A-Z]", "A"), ("[а-я]", "ж"), ("[А-Я]", "Ж")]
+    for (kind, value), new in table.items():
+        if kind in ("secret", "card", "phone", "iban", "ssn"):
+            for pattern, by in shape:
+                value, new = re.sub(pattern, by, value), re.sub(pattern, by, new)
+            assert value == new
+    out = {r.doc_id: r for r in pii.replace(docs, "k").collect()}
+    for k, t in enumerate(texts):
+        assert out[k].n_entities >= len(list(regex.finditer(pii.ENTITY, t)))
+        assert not any(m.group() in out[k].text for m in regex.finditer(pii.ENTITY, t))

@@ -95,7 +95,7 @@ def test_surrogates(make_docs):
             "Card 4111 1111 1111 1111, token = \"0123456789abcdef0123456789abcdef\". Анна Иванова. GPL version 3, CC 4.0.")
     docs = make_docs([(1, text, "en", "a"), (2, "Write ANNA.smith@mail.example.org now", "en", "a"), (3, "no data", "en", "a"),
                       (4, "anna.smith@mail.example.org", "en", "a"), (5, None, None, None), (6, "", "en", "a")])
-    out = {r.doc_id: r for r in pii.replace(docs).collect()}
+    out = {r.doc_id: r for r in pii.replace(docs, "k").collect()}
     new = out[1].text
     for private in ("Anna Smith", "anna.smith@mail.example.org", "John Doe", "555-7713", "10.1.2.3", "4111 1111", "0123456789abcdef", "Иванова"):
         assert private not in new
@@ -113,7 +113,7 @@ def test_surrogates(make_docs):
 def test_surrogates_stay_distinct_when_the_format_is_too_small(spark):
     many = spark.range(3000).select(F.lit("secret").alias("kind"), F.lpad(F.col("id").cast("string"), 3, "0").alias("value"))
     few = many.filter("length(value) <= 3").distinct()
-    out = pii.assign_surrogates(few).collect()
+    out = pii.assign_surrogates(few, "k").collect()
     assert len(out) == few.count() == len({r.surrogate for r in out})
     assert not {r.surrogate for r in out} & {r.value for r in few.collect()}
 

@@ -13,20 +13,23 @@ none; the others try again with the next attempt, and after ``GROW_AFTER`` attem
 with a longer format. So the same entity has one surrogate everywhere, different
 entities have different ones, and no surrogate is somebody's real value.
 
-Coreference: e-mail addresses are one entity without regard to A-Z case; cards,
-phones, IBANs and SSNs are known by their letters and digits, and each mention keeps
-its own separators; names match with their exact spelling. A given or family name
-that stands alone becomes that part of the surrogate of the document's first full
-name with it.
-
-Limits of the detection: names of people are a given name of ``GIVEN`` (60 names in
-Latin and Cyrillic script) before a capitalised word, other names are not seen;
-secrets are lower-case hex runs from 32 characters, and runs from 12 characters after
-one of seven labels (in any case) with ``=`` or ``:``; neither has an upper bound.
-
-Edge cases: null and empty texts stay as they are; an entity that fills a text is
-replaced like any other; equal rows give equal rows; an empty table gives no
-rows; other columns pass through.
+Coreference: e-mail addresses and names are one entity without regard to case;
+cards, phones, IBANs and SSNs are known by their letters and digits, and each mention
+keeps its own separators. A given or family name that stands alone becomes that part
+of the surrogate of the document's first full name with it.
+
+Limits of the detection: names of people are given names of ``GIVEN`` (60 names in
+Latin and Cyrillic script), with particles, before a family name that starts with a
+capital or is in capitals; other names are not seen. Secrets are lower-case hex runs
+from 32 characters, and runs from 12 characters after one of seven labels (in any
+case, quoted or not) with ``=`` or ``:``. No run has an upper bound, and a labelled
+secret is tried before any number that it might begin with. Four numbers after
+``version`` or ``v`` are no address, digits after ``ISBN`` no card.
+
+Edge cases: null and empty texts stay as they are; texts of any length are searched
+whole; an entity that fills a text is replaced like any other; equal rows give equal
+rows; an empty table gives no rows; other columns pass through, an ``n_entities`` of
+the input is replaced.
 """
 
 from __future__ import annotations
@@ -38,7 +41,6 @@ from pyspark.sql import functions as F
 
 from .common import lookup_join, lower_ascii, row_key, settled
 
-KEY = "surrogates-1"
 GROW_AFTER = 12
 BLOCKS = 6  # of 64 keyed bytes each, at least; longer values take more
 
@@ -59,35 +61,47 @@ SYLLABLES = {
 
 _EDGE = r"(?<![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_LABEL = r"(?i:token|secret|password|passwd|api_key|apikey|access_key)"
 #: Types in the order they are tried at a position.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]{0,61}[\p{L}\p{N}])?\.){1,8}\p{L}{2,24}",
-    "ip": rf"(?<![\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{N}}]|\.[0-9])",
+    "secret": rf"(?<={_LABEL}[\"']?[ ]{{0,2}}[=:][ ]{{0,2}}[\"']?)[A-Za-z0-9+/_.=-]{{12,}}(?<!\.)(?!\.*+[\p{{L}}\p{{N}}+/_=@-])"
+              + "|" + _EDGE + r"[0-9a-f]{32,}+(?![\p{L}\p{N}])",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?\.){1,126}\p{L}{2,24}",
+    "ip": rf"(?<![\p{{N}}.])(?<!(?i:version|ver|v)[. ]{{0,2}}){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{N}}]|\.[0-9])",
     "iban": _EDGE + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
-    "card": r"(?<![\p{L}\p{N}.-])[0-9](?:[ -]?[0-9]){12,18}(?![\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3})[ .-][0-9]{3,4}(?![\p{N}])"
-             r"|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![\p{N}])",
-    "secret": r"(?<=(?i:token|secret|password|passwd|api_key|apikey|access_key)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9+/_.=-]{12,}(?<!\.)"
-              + "|" + _EDGE + r"[0-9a-f]{32,}+(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}.-])(?<!(?i:isbn)(?:-1[03])?[: ]{0,2})[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3})[ .-][0-9]{3,4}(?![\p{L}\p{N}])"
+             r"|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![\p{L}\p{N}])",
 }
+# Words between given and family names.
+PARTICLES = ["da", "de", "del", "den", "der", "di", "do", "dos", "du", "la", "le", "van", "von", "zu"]
 
 
 def _name_pattern() -> str:
-    """A known given name followed by a capitalised word."""
+    """One or more known given names, particles, and a family name: capitalised, with an
+    inner capital or an apostrophe, double, or all in capitals after given names that are."""
     names = sorted({n for group in GIVEN.values() for n in group})
-    by_first = {c: [n[1:] for n in names if n[0] == c] for c in sorted({n[0] for n in names})}
-    either = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_first.items())
-    return _EDGE + rf"(?:{either}) \p{{Lu}}[\p{{Ll}}\p{{M}}]+(?:-\p{{Lu}}[\p{{Ll}}\p{{M}}]+)?(?![\p{{L}}\p{{N}}])"
+
+    def either(names: list[str]) -> str:
+        by_first = {c: [n[1:] for n in names if n[0] == c] for c in sorted({n[0] for n in names})}
+        return "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_first.items()) + ")"
+
+    end = r"(?![\p{L}\p{N}])"
+    family = r"(?:\p{Lu}['’])?\p{Lu}[\p{Ll}\p{M}]+(?:\p{Lu}[\p{Ll}\p{M}]+)?"
+    given, capitals = either(names), either([n.upper() for n in names])
+    mixed = rf"{given}(?: {given}(?= )){{0,8}}(?: (?:{'|'.join(PARTICLES)})){{0,4}} {family}(?:-{family})?{end}"
+    upper = rf"{capitals}(?: {capitals}(?= )){{0,8}} (?:\p{{Lu}}['’])?[\p{{Lu}}\p{{M}}]{{2,}}+(?:-[\p{{Lu}}\p{{M}}]{{2,}}+)?{end}"
+    return _EDGE + f"(?:{mixed}|{upper})"
 
 
 #: Types that are one entity whatever their separators are.
 SEPARATED = ("card", "phone", "iban", "ssn")
 #: Words with their hyphens, and what is between words.
-WORDS = r"[\p{L}\p{M}\p{N}-]++|[^\p{L}\p{M}\p{N}-]++"
+WORDS = r"(?:\p{Lu}['’](?=\p{Lu}))?[\p{L}\p{M}\p{N}-]++|[^\p{L}\p{M}\p{N}-]++"
 ENTITY = "|".join([*PATTERNS.values(), _name_pattern()])
 #: Every text with an entity has a digit, an @, a secret's label, a run of hex letters or a name.
-MAYBE = r"[@0-9]|(?i:token|secret|passw(?:or)?d|key)[ ]{0,2}[=:]|[a-f]{32}|" + _name_pattern()
+MAYBE = r"[@0-9]|(?i:token|secret|passw(?:or)?d|key)[\"']?[ ]{0,2}[=:]|[a-f]{32}|" + _name_pattern()
 
 
 def _kind(value: Column) -> Column:
@@ -151,8 +165,11 @@ def _byte(stream: Column, k: int) -> Column:
 
 
 def _person(value: Column, stream: Column, grown: Column) -> Column:
-    """Another given name of the same gender and script, and a family name of the script."""
-    given = F.substring_index(value, " ", 1)
+    """Other given names of the same gender and script, the particles, and a family name
+    of the script."""
+    words = F.split(value, " ")
+    given = F.element_at(words, 1)
+    middle = F.slice(words, F.lit(2), F.size(words) - 2)
     out = None
     for (script, _gender), names in GIVEN.items():
         listed = F.array(*[F.lit(n) for n in names])
@@ -161,7 +178,9 @@ def _person(value: Column, stream: Column, grown: Column) -> Column:
         parts = F.array(*[F.lit(s) for s in SYLLABLES[script]])
         one, two = (F.initcap(F.concat(*[F.element_at(parts, _byte(stream, k) % len(SYLLABLES[script]) + 1) for k in at]))
                     for at in ((1, 2, 3, 4), (5, 6, 7, 8)))
-        name = F.concat(first, F.lit(" "), one, F.when(grown, F.concat(F.lit("-"), two)).otherwise(F.lit("")))
+        between = F.array_join(F.transform(middle, lambda w, i: F.concat(F.lit(" "), F.when(
+            F.lower(w).isin(PARTICLES), F.lower(w)).otherwise(F.element_at(listed, (_byte(stream, 9) + i) % len(names) + 1)))), "")
+        name = F.concat(first, between, F.lit(" "), one, F.when(grown, F.concat(F.lit("-"), two)).otherwise(F.lit("")))
         fits = given.isin(names)
         out = F.when(fits, name) if out is None else out.when(fits, name)
     return out
@@ -189,7 +208,7 @@ def _with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     return e.select("kind", "value", "attempt", made.alias("surrogate"))
 
 
-def assign_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
+def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """Distinct (kind, value) → surrogate, distinct per kind and never one of the values."""
     todo = settled(entities.select("kind", "value").distinct())
     real = todo.withColumnRenamed("value", "surrogate")
@@ -212,17 +231,20 @@ def assign_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 def _canonical(kind: Column, value: Column) -> Column:
     return (F.when(kind == "email", lower_ascii(value))
+            .when(kind == "person", F.initcap(F.lower(value)))
             .when(kind.isin(*SEPARATED), F.regexp_replace(value, "[^A-Za-z0-9]", "")).otherwise(value))
 
 
 def _formatted(kind: Column, mention: Column, surrogate: Column) -> Column:
-    """The surrogate of a bare number with the separators of the mention."""
+    """The surrogate of a bare number with the separators of the mention, of a name in
+    its case."""
     bare = r"regexp_replace({}, '[^A-Za-z0-9]', '')"
     before = f"length({bare.format('substr(mention, 1, i)')})"
     put = F.expr(f"array_join(transform(split(mention, ''), (c, i) -> CASE WHEN c RLIKE '[A-Za-z0-9]' "
                  f"THEN substr(surrogate, {before} + 1, 1) ELSE c END), '')")
     rest = F.expr(f"substr(surrogate, length({bare.format('mention')}) + 1)")
-    return F.when(kind.isin(*SEPARATED), F.concat(put, rest)).otherwise(surrogate)
+    capitals = (kind == "person") & (mention == F.upper(mention))
+    return (F.when(kind.isin(*SEPARATED), F.concat(put, rest)).when(capitals, F.upper(surrogate)).otherwise(surrogate))
 
 
 def _names(found: Column) -> Column:
@@ -263,8 +285,9 @@ def entities_of(docs: DataFrame) -> DataFrame:
     return settled(d.select("key", "p", "kind", known, F.col("value").alias("mention")).distinct())
 
 
-def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with surrogates in ``text``, and n_entities, the entities replaced."""
+def replace(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with surrogates in ``text``, and n_entities, the entities replaced.
+    ``key`` is the secret that surrogates depend on."""
     found = entities_of(docs)
     table = assign_surrogates(found, key)
     mapped = lookup_join(found, table, ["kind", "value"], "inner")
@@ -283,4 +306,4 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     n = (F.coalesce(F.size("surrogates"), F.lit(0)) + F.coalesce(single, F.lit(0))).cast("long")
     out = out.select("row", text.alias("new_text"), n.alias("n"))
     return out.select(*[F.col("new_text").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
-                        for c in docs.columns], F.col("n").alias("n_entities"))
+                        for c in docs.columns if c.lower() != "n_entities"], F.col("n").alias("n_entities"))

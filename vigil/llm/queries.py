@@ -57,7 +57,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op3_pii_surrogates")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace(table(spark, sf_dir, "documents")).select("doc_id", "n_entities", "text")
+    key = spark.conf.get("spark.vigil.surrogates.key", "surrogates-1")  # a job sets its own
+    return pii.replace(table(spark, sf_dir, "documents"), key).select("doc_id", "n_entities", "text")
 
 
 @register("op4_chat_format")
