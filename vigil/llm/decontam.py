@@ -1,17 +1,18 @@
 """Benchmark decontamination by normalised word n-grams.
 
 Every benchmark item gives its windows of ``n`` consecutive words (an item with
-fewer words is one window). The distinct windows, keyed by a 64-bit hash, are the
-broadcast side when their counted number allows it; otherwise they are shuffled
-on that hash. Every position of every document hashes the window that starts
-there; a hash that is found is verified by comparing the words. Only verified
-hits and one narrow row per document are shuffled.
+fewer words is one window). Every position of every document hashes the window that
+starts there to 64 bits and looks it up in a broadcast set of the benchmark's hashes;
+a hash that is found is verified by comparing the words. A set that is too large is
+broadcast in blocks of hashes, each block against all documents. Only hits and one
+narrow row per document are shuffled, at any size of the benchmark.
 
 Edge cases: a null text has no words; items without words give no window; a null
 item_id contaminates but is not listed; windows shared by items list all of them;
 equal documents are all returned, each with the same result; documents are told
 apart by doc_id and text, so a repeated doc_id with another text is judged by
-itself; empty tables give no rows or no hits; other columns pass through.
+itself; texts and items of any length are read whole; empty tables give no rows or no
+hits; other columns pass through.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, is_small, lookup_join, lower_ascii, row_key, settled, words_of
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Hashes of windows that are broadcast at once when windows with their words are too many.
+BLOCK_HASHES = 4_000_000
 PIECES = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -63,15 +66,18 @@ def _events(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFram
         d = d.select("doc_id", "key", "n_words", "words", "p", "a.len", "a.hash")
     marker = F.col("p").isNull() | ((F.col("p") == 0) & (F.col("len") == lengths[0]))
     text = F.coalesce(*[F.when(F.col("len") == k, _window(k)[1]) for k in lengths])
-    if is_small(windows, BROADCAST_ROWS):
+    if is_small(windows.select("gram", "len", "hash"), BROADCAST_ROWS):
         w = F.broadcast(windows.select(F.col("hash").alias("bhash"), F.col("len").alias("blen"), "gram"))
         same = (F.col("hash") == F.col("bhash")) & (F.col("len") == F.col("blen")) & (F.col("gram") == text)
         found = d.join(w, same, "left").filter(F.col("gram").isNotNull() | marker)
-    else:  # window texts travel with their hashes, the words of the document do not
-        d = d.withColumn("gram", text).drop("words")
-        found = lookup_join(d, windows.select("len", "hash", "gram"), ["len", "hash", "gram"], "inner")
-        marks = d.filter(marker).withColumn("gram", F.lit(None).cast("string"))
-        found = found.unionByName(marks)
+    else:  # the hashes alone are broadcast, block by block; window texts travel for hits only
+        blocks = -(-windows.count() // BLOCK_HASHES)
+        found = d.filter(marker).withColumn("gram", F.lit(None).cast("string")).drop("words")
+        for block in range(blocks):
+            some = windows.filter(F.pmod("hash", F.lit(blocks)) == block)
+            hashes = F.broadcast(some.select("hash").distinct())  # 8 bytes for each of about BLOCK_HASHES
+            hits = settled(d.join(hashes, "hash", "left_semi").withColumn("gram", text).drop("words"))
+            found = found.unionByName(lookup_join(hits, some.select("len", "hash", "gram"), ["len", "hash", "gram"], "inner"))
     return found.groupBy("doc_id", "key", "n_words", "p", "len", "gram").agg(F.count("*").alias("copies"))
 
 
