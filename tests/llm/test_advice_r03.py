@@ -172,3 +172,45 @@ def test_detection_and_surrogates_against_brute_force(spark, make_docs):
     for k, t in enumerate(texts):
         assert out[k].n_entities >= len(list(regex.finditer(pii.ENTITY, t)))
         assert not any(m.group() in out[k].text for m in regex.finditer(pii.ENTITY, t))
+
+
+# ------------------------------------------------------------------- dense fingerprints
+
+@pytest.mark.parametrize("shard_rows", [200_000, 300])
+def test_dense_fingerprints_keep_all_links(spark, shard_rows):
+    """Thousands of fingerprints around a few centers: dense shards are dealt out anew."""
+    from vigil.operators import graph
+
+    rng = np.random.default_rng(11)
+    x = []
+    for center in rng.integers(0, 1 << 64, 3, dtype=np.uint64):
+        for _ in range(700):
+            flips = rng.choice(64, rng.integers(0, 8), replace=False)
+            x.append(int(center) ^ sum(1 << int(f) for f in flips))
+    x = np.unique(np.array(x + rng.integers(0, 1 << 64, 300, dtype=np.uint64).tolist(), dtype=np.uint64))
+    near = np.bitwise_count(x[:, None] ^ x[None]) <= 3
+    root = np.arange(len(x))
+    while True:
+        new = np.where(near, root[None], len(x)).min(axis=1)
+        if (new == root).all():
+            break
+        root = new
+    nodes = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long")
+    links = simhash.links(nodes, 3, 4, shard_rows).collect()
+    place = {int(v): k for k, v in enumerate(x.view(np.int64))}
+    assert all(near[place[r.a], place[r.b]] for r in links)
+    found = graph.components(spark.createDataFrame([(place[r.a], place[r.b]) for r in links], "a long, b long"))
+    got = np.arange(len(x))
+    for r in found.collect():
+        got[r.node] = r.root
+    assert (got == root).all()
+
+
+def test_benchmark_in_blocks_of_hashes(spark, make_docs, monkeypatch):
+    items = spark.createDataFrame([(k, f"alpha{k} beta gamma{k % 3} delta") for k in range(40)] + [(99, "two words")], "item_id long, text string")
+    docs = make_docs([(k, f"x alpha{k} beta gamma{k % 3} delta {'two words' if k % 5 == 0 else ''}", "en", "a") for k in range(60)] + [(70, None, None, None)])
+    expected = as_set(decontam.scan(docs, items), "doc_id", "n_words", "n_hit", "items")
+    assert sum(r[2] > 0 for r in expected) >= 44
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(decontam, "BLOCK_HASHES", 7)
+    assert as_set(decontam.scan(docs, items), "doc_id", "n_words", "n_hit", "items") == expected

@@ -17,8 +17,10 @@ task goes on the same way in memory down to leaves that are compared pair by pai
 Every shard returns links within itself; no link is lost, and no group of equal or
 close fingerprints is spelled out as all its pairs.
 
-At more fingerprints, more blocks keep the shards small (``blocks`` > distance + 1
-uses the trees of all combinations of blocks that may stay unchanged).
+A dense shard (near copies of one text), whose halves would overlap too much, is dealt
+out anew by trees of more blocks: with b blocks any b - distance of them may be the
+unchanged ones, so its fingerprints go to more shards that agree in more bits. Shards
+that stay dense at ``MOST_BLOCKS`` agree in 40 of 64 bits.
 
 Edge cases: null and empty texts have fingerprint zero, which links like any other;
 a text with fewer words than a shingle is one shingle; equal rows share group and
@@ -45,6 +47,8 @@ from .common import is_small, lookup_join, row_key, settled, small_batches
 LEAF = 64
 OVERLAP = 1.45
 VANTAGE_POINTS = 10
+#: Blocks up to which dense shards are dealt out anew.
+MOST_BLOCKS = 8
 CHUNK = 1 << 16
 
 
@@ -109,18 +113,17 @@ def shards(nodes: DataFrame, distance: int, blocks: int) -> DataFrame:
     return nodes.select(F.explode(F.array(*trees)).alias("shard"), "fp")
 
 
-def split_large(members: DataFrame, distance: int, shard_rows: int) -> DataFrame:
+def split_large(members: DataFrame, distance: int, shard_rows: int, blocks: int) -> DataFrame:
     """Split shards above ``shard_rows`` by a vantage point and the median distance
-    to it, with the overlap at the boundary. A shard whose halves would hold more
-    than ``OVERLAP`` times its rows (a dense cluster) is left as it is: the
-    in-memory search shrinks it as it links."""
-    finished, todo, level = [], members, 0
+    to it, with the overlap at the boundary. Shards whose halves would hold more than
+    ``OVERLAP`` times their rows (dense clusters) are dealt out by trees of more blocks."""
+    finished, dense, todo, level = [], [], members, 0
     while True:
         level += 1
         sizes = todo.groupBy("shard").agg(F.count("*").alias("n"), F.min_by("fp", F.xxhash64("fp", F.lit(level))).alias("point"))
         large = settled(sizes.filter(F.col("n") > shard_rows))
         if large.isEmpty():
-            return _union([*finished, todo])
+            break
         far = F.bit_count(F.col("fp").bitwiseXOR(F.col("point")))
         big = settled(lookup_join(todo, large, ["shard"], "inner").select("shard", "n", "fp", far.alias("d")))
         cut = settled(big.groupBy("shard").agg(F.percentile_approx("d", 0.5).alias("m")))
@@ -129,10 +132,21 @@ def split_large(members: DataFrame, distance: int, shard_rows: int) -> DataFrame
         halves = big.groupBy("shard", "n").agg(F.count_if("near").alias("near"), F.count_if("far").alias("far"))
         split = settled(halves.filter((F.col("near") + F.col("far") <= OVERLAP * F.col("n"))
                                       & (F.greatest("near", "far") < F.col("n"))).select("shard"))
-        finished.append(lookup_join(todo, split, ["shard"], "left_anti"))
+        whole = settled(lookup_join(large.select("shard"), split, ["shard"], "left_anti"))
+        if blocks < MOST_BLOCKS:
+            dense.append(lookup_join(todo, whole, ["shard"], "left_semi").select("fp"))
+            finished.append(lookup_join(todo, settled(large.select("shard")), ["shard"], "left_anti"))
+        else:
+            finished.append(lookup_join(todo, split, ["shard"], "left_anti"))
         sides = F.array_compact(F.array(F.when(F.col("near"), F.lit(0)), F.when(F.col("far"), F.lit(1))))
         dealt = lookup_join(big, split, ["shard"], "left_semi").select("shard", "fp", F.explode(sides).alias("side"))
         todo = settled(dealt.select(F.xxhash64("shard", "side").alias("shard"), "fp"))
+    finished.append(todo)
+    close = settled(_union(dense).distinct()) if dense else None
+    if close is not None and not close.isEmpty():
+        more = min(blocks + 2, MOST_BLOCKS)
+        finished.append(split_large(settled(shards(close, distance, more)), distance, shard_rows, more))
+    return _union(finished)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -241,7 +255,7 @@ def _links_of_sorted(batches: Iterator[pa.RecordBatch], distance: int) -> Iterat
 
 def links(nodes: DataFrame, distance: int = 3, blocks: int = 4, shard_rows: int = 200_000) -> DataFrame:
     """(a, b) links between distinct fingerprints that connect all near pairs."""
-    members = split_large(settled(shards(nodes.select("fp"), distance, blocks)), distance, shard_rows)
+    members = split_large(settled(shards(nodes.select("fp"), distance, blocks)), distance, shard_rows, blocks)
     dealt = members.repartition("shard").sortWithinPartitions("shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
