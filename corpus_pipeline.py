@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigil.llm import decontam, linededup, mixing, simhash, toxicity
 from vigil.llm.queries import SOURCE_WEIGHTS
-from vigil.session import scratch_path
+from vigil.session import remove, scratch_path
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the whole of ``documents``. A stage's copy is removed once the
+    next stage is written; the last one is what is returned."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
