@@ -156,3 +156,24 @@ def test_percentile_equals_numpy_at_any_size(spark):
         df = spark.createDataFrame([(float(x),) for x in v], "v double")
         for q in (0.0, 0.1, 0.5, 0.999, 1.0):
             assert ST.exact_percentile(df, "v", q) == pytest.approx(float(np.percentile(v, 100 * q)), abs=1e-12)
+
+
+def test_lookup_join_above_the_limit_with_any_columns(spark):
+    """Map columns, dotted names and null keys; broadcast and salted joins give the same."""
+    from vigil.operators import joins
+
+    left = spark.createDataFrame([(k % 5 if k % 7 else None, {"a": k}, [{"b": k}], "t" * (k % 3)) for k in range(200)],
+                                 "k long, `m.x` map<string, int>, l array<map<string, int>>, t string")
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(3)], "k long, v string")
+    for how in ("inner", "left", "left_anti", "left_semi"):
+        few, many = (sorted(map(repr, joins.lookup_join(left, right, ["k"], how, rows).collect())) for rows in (100, -1))
+        assert few == many and few
+
+
+def test_broadcasts_are_bounded_in_bytes(spark):
+    from vigil.operators import joins
+
+    wide = spark.createDataFrame([(k, "x" * 1000, [1] * 50) for k in range(100)], "k long, t string, a array<int>")
+    assert joins.is_small(wide) and not joins.is_small(wide, 99) and not joins.is_small(wide, size=100_000)
+    assert joins.is_small(wide.select("k"), size=800) and not joins.is_small(wide.select("k"), size=799)
+    assert joins.is_small(wide.limit(0), 0)

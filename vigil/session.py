@@ -61,3 +61,9 @@ def checkpoint(df):
     """Reliable checkpoint (lineage cut) into spark.checkpoint.dir; never local."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that was written for a job's own use, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import expressions as X
-from ..operators.joins import SALTS
+from ..operators.joins import salts
 from .tables import SourceTables
 
 
@@ -106,10 +106,11 @@ def text_corpus(src: SourceTables, resolve_ids: bool = True) -> DataFrame:
     parts = text_sources(src)
     messages = parts["message"]
     if resolve_ids:
-        # texts of one sender are spread over SALTS tasks; the narrow id map is repeated
+        # texts of one sender are spread over tasks; the narrow id map is repeated
+        n = salts(messages.sparkSession)
         m = (id_map(src).filter(F.col("messaging_id").isNotNull())
-             .select("messaging_id", "root_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_part")))
-        dealt = messages.withColumn("_salt", F.pmod(F.xxhash64("content"), F.lit(SALTS)).cast("int"))
+             .select("messaging_id", "root_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_part")))
+        dealt = messages.withColumn("_salt", F.pmod(F.xxhash64("content"), F.lit(n)).cast("int"))
         messages = (dealt.join(m, (dealt["user_id"] == m["messaging_id"]) & (dealt["_salt"] == m["_part"]), "left")
                     .select(F.col("root_id").alias("user_id"), "content", "source"))
     return parts["post"].unionByName(parts["comment"]).unionByName(messages)
