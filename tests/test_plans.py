@@ -40,3 +40,8 @@ def test_aggregate_before_join(spark, sf_dir):
 
     plan = physical(E.messaging_metrics(sources(spark, sf_dir)))
     assert plan.count("HashAggregate") >= 2  # partial + final
+
+
+def test_trends_read_only_recent_days(spark, sf_dir):
+    plan = physical(REG["kpi_trends_by_day"][0](spark, sf_dir))
+    assert "PartitionFilters: [isnotnull(extraction_day" in plan and "extraction_day#" in plan

@@ -139,6 +139,79 @@ def test_events_delivered_again_behind_the_watermark(spark):
     assert [r.event_id for r in out.late().collect()] == [4]
     # a micro-batch that is delivered again changes nothing
     counts, late = _rows(out.counts()), _rows(out.late())
-    kinds = "kind string, event_id long, table string, event_time timestamp, window_start timestamp, window_end timestamp, n_changes long"
+    kinds = "kind string, source string, event_id long, table string, event_time timestamp, window_start timestamp, window_end timestamp, n_changes long"
     PL.window_batch(out)(spark.createDataFrame([], kinds), 0)
     assert _rows(out.counts()) == counts and _rows(out.late()) == late
+
+
+def test_history_is_kept_and_the_log_folded(spark, sf_dir):
+    src = sources(spark, sf_dir)
+    base = scratch_path(spark, "hist")
+    _write_events(spark, sf_dir, base, 3)
+    sinks = PL.run_stream(spark, src, f"{base}/in", f"{base}/out", f"{base}/ckpt",
+                          initial=src.frames["user_feature_vector"], max_files=1)
+    columns = ["channel", "rank", "user_id", "type", "server_timestamp", "body"]
+    whole, log = _rows(PL.channel_history(sinks.messages()).select(*columns)), _rows(sinks.messages())
+    assert whole and _rows(sinks.history().select(*columns)) == whole
+    assert _rows(sinks.history(3).select(*columns)) == [r for r in whole if r[1] <= 3]
+    for upto in (0, 0, 1):  # folded batches leave the log as it is, also when folded again
+        sinks.compact_messages(upto)
+        assert _rows(sinks.messages()) == log
+        assert [r[0] for r in spark.read.parquet(sinks.messages_path).select("batch_id").distinct().collect()] == list(range(upto + 1, 3)) \
+            or upto == 0
+    sinks.compact_messages(5)
+    assert _rows(sinks.messages()) == log
+    sinks.update_history(sinks.messages().limit(0), 2)  # a batch that is there
+    assert _rows(sinks.history().select(*columns)) == whole
+
+
+def test_transitions_of_idle_and_late_users(spark):
+    """State of idle users is dropped; they come back to their stored level. Late rows are told apart."""
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("root_id", T.LongType()), T.StructField("event_id", T.LongType()),
+                           T.StructField("received_at", T.TimestampType()), T.StructField("risk_level", T.StringType())])
+    t0, levels = dt.datetime(2024, 1, 1), ["BAJO_RIESGO", "ALTO_RIESGO", "RIESGO_MODERADO"]
+    rows, late = [], []
+    for day in range(6):
+        for user in range(8):
+            if user < 2 or day % (user + 1) == 0:  # users 0 and 1 are active daily, others come back after days
+                rows.append((day, (user, day * 100 + user, t0 + dt.timedelta(days=day, minutes=user), levels[(day * user + day) % 3])))
+    late = (0, 999, t0 + dt.timedelta(days=1, hours=5), levels[0])
+    base = scratch_path(spark, "idle")
+    for day in range(6):
+        part = [r for d, r in rows if d == day] + ([late] if day == 4 else [])
+        spark.createDataFrame(part, schema).write.mode("append").parquet(f"{base}/in")
+        out = PL.run_transitions(spark.readStream.schema(schema).parquet(f"{base}/in"), f"{base}/out", f"{base}/ckpt", idle="1 day")
+    got = {r.event_id: r for r in out.collect()}
+    assert len(got) == len(rows) + 1 and [i for i, r in got.items() if r.is_late] == [999] and got[999].previous_level is None
+    last = {}
+    for _, (user, event, _, level) in rows:
+        assert got[event].previous_level == last.get(user) and got[event].is_transition == (last.get(user) != level)
+        last[user] = level
+    assert sum(r.is_first for r in got.values()) > 8  # some users' state had been dropped
+
+
+def test_a_late_source_loses_nothing(spark):
+    """Messaging changes arrive hours after the social ones' event times; equal ids of two sources are two changes."""
+    base = scratch_path(spark, "two")
+    paths = {n: f"{base}/{n}" for n in ("social", "messaging")}
+    arrive = [([_change(i, i) for i in range(60)], []), ([_change(100 + i, 600 + i) for i in range(60)], [_change(i, i) for i in range(60)]),
+              ([], [_change(100 + i, 600 + i) for i in range(60)])]
+    for path in paths.values():
+        spark.createDataFrame([], CH.ENVELOPE_SCHEMA).write.parquet(path)
+    for slices in arrive:
+        for path, part in zip(paths.values(), slices):
+            spark.createDataFrame(part, CH.ENVELOPE_SCHEMA).write.mode("append").parquet(path)
+        out = PL.run_window_counts(spark, paths, f"{base}/out", f"{base}/ckpt")
+    assert out.late().count() == 0
+    assert {(r.window_start.hour, r.n_changes) for r in out.counts().collect()} == {(0, 120), (10, 120)}
+    # one stream of both marks the messaging changes late
+    both = scratch_path(spark, "one")
+    for social, messaging in arrive:
+        for part in (social, messaging):
+            spark.createDataFrame([(i + 1000 * (part is messaging), *r) for i, *r in part], CH.ENVELOPE_SCHEMA).write.mode("append").parquet(f"{both}/in")
+        out = PL.run_window_counts(spark, f"{both}/in", f"{both}/out", f"{both}/ckpt")
+    assert sum(r.n_changes for r in out.counts().collect()) + out.late().count() == 240

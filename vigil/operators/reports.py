@@ -187,11 +187,14 @@ def chart_histogram(df: DataFrame, sev: str = "severity_index", bins: int = C.CH
 # ---------------------------------------------------------------- A16, O1
 
 def kpi_trends(df: DataFrame, as_of: str, hours: int = C.TREND_HOURS_DEFAULT) -> DataFrame:
-    """A16 + P14 + O1: hourly means of three KPIs over the last ``hours``."""
+    """A16 + P14 + O1: hourly means of three KPIs over the last ``hours``. Of a table
+    partitioned by ``extraction_day`` only the days since the cutoff are read."""
     if not (C.TREND_HOURS_MIN <= hours <= C.TREND_HOURS_MAX):
         raise ValueError(f"hours must be in {C.TREND_HOURS_MIN}..{C.TREND_HOURS_MAX}")
     cutoff = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(hours))
     bucket = F.date_trunc("hour", F.col("extraction_date").cast("timestamp"))
+    if "extraction_day" in df.columns:
+        df = df.filter(F.col("extraction_day") >= F.to_date(cutoff))
 
     def r(c):
         return F.round(F.coalesce(F.avg(c), F.lit(0.0)), 3)

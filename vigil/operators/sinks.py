@@ -201,3 +201,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
     for k, v in properties.items():
         w = w.option(k, v)
     w.mode(mode).save()
+
+
+# ---------------------------------------------------------------- P14
+
+def write_by_day(features: DataFrame, path: str, files: int = 8) -> None:
+    """The feature table partitioned by the day of extraction, for reports over recent
+    days; a day is written by up to ``files`` tasks, however many of all rows it holds."""
+    rows = conform(features).withColumn("extraction_day", F.to_date("extraction_date"))
+    spread = F.pmod(F.xxhash64(F.col("user_id_raiz").cast("string")), F.lit(files))
+    (rows.repartition(F.col("extraction_day"), spread).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("extraction_day").parquet(path))

@@ -16,6 +16,8 @@ from .. import fixtures
 from ..operators import features as FT
 from ..operators import reports as R
 from ..operators import sentiment as S
+from ..operators import sinks as K
+from ..session import scratch_path
 from ..sources import extract as E
 from ..sources.tables import SourceTables
 from . import oracle as O
@@ -280,17 +282,28 @@ def q_severity_histogram_20(spark, sf_dir):
     return finish(R.chart_histogram(R.report_severity(feature_table(spark, sf_dir))))
 
 
-@register("kpi_trends", O.q(final=f"""select {O.ts("date_trunc('hour', extraction_date)")} as time_bucket,
+TRENDS_SQL = O.q(final=f"""select {O.ts("date_trunc('hour', extraction_date)")} as time_bucket,
   strftime(date_trunc('hour', extraction_date), '%H:%M') as label,
   round(coalesce(avg(days_since_last_seen_norm), 0.0), 3) as avg_inactivity,
   round(coalesce(avg(sentiment_negativity_index), 0.0), 3) as avg_negativity,
   round(coalesce(avg(ratio_night_messages), 0.0), 3) as avg_night_ratio, count(*) as user_count
  from user_feature_vector where extraction_date >= timestamp '{REPORT_AS_OF}' - interval 24 hour
- group by date_trunc('hour', extraction_date)"""))
+ group by date_trunc('hour', extraction_date)""")
+
+
+@register("kpi_trends", TRENDS_SQL)
 def q_kpi_trends(spark, sf_dir):
     return finish(R.kpi_trends(feature_table(spark, sf_dir), REPORT_AS_OF, 24))
 
 
+@register("kpi_trends_by_day", TRENDS_SQL)
+def q_kpi_trends_by_day(spark, sf_dir):
+    """The same report from a table partitioned by day; older days aren't read."""
+    path = scratch_path(spark, "by_day")
+    K.write_by_day(feature_table(spark, sf_dir), path)
+    return finish(R.kpi_trends(spark.read.parquet(path), REPORT_AS_OF, 24))
+
+
 @register("high_risk_users", O.q(final="""select cast(user_id_raiz as varchar) as user_id, cluster_label as risk_level,
   round((days_since_last_seen_norm * 0.25 + ratio_night_messages * 0.2 + sentiment_negativity_index * 0.25
          + (1.0 - num_community_categories_norm) * 0.15) * 100.0, 1) as severity_index,

@@ -289,6 +289,24 @@ def q_stateful_transitions(spark, sf_dir):
     return finish(out.select("root_id", "event_id", "received_at", "risk_level", "previous_level", "is_transition"))
 
 
+@register("transitions_with_expiry", O.q(*HISTORY_CTES, final=TRANSITIONS_FINAL))
+def q_transitions_with_expiry(spark, sf_dir, chunks: int = 3):
+    """T10 with state that expires: time slices, and users idle for two days are forgotten
+    by the state and found in the table of last levels."""
+    base = scratch_path(spark, "expiry")
+    hist = checkpoint(scored_history(spark, sf_dir))
+    ends = hist.agg(F.min("received_at").alias("lo"), F.max("received_at").alias("hi")).first()
+    step = (ends["hi"] - ends["lo"]) / chunks
+    for i in range(chunks):
+        part = hist.filter(F.col("received_at") >= F.lit(ends["lo"] + step * i))
+        if i < chunks - 1:
+            part = part.filter(F.col("received_at") < F.lit(ends["lo"] + step * (i + 1)))
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(hist.schema).parquet(f"{base}/in")
+        out = PL.run_transitions(stream, f"{base}/out", f"{base}/ckpt", idle="2 days")
+    return finish(out.drop("is_first", "is_late"))
+
+
 # ---------------------------------------------------------------- K3, T3 stream, K4, K6, K1/K2/S5, S7
 
 @register("upsert_features", O.q(*STREAM_CTES, final_table_sql(), final=FT_SELECT))
@@ -325,6 +343,20 @@ def change_slices(spark, src, path: str, chunks: int):
         yield i
 
 
+@register("stream_history", O.q(*STREAM_CTES, HIST_SQL, final=f"""select channel, rank, user_id, type,
+  {O.ts('server_timestamp')} as server_timestamp from hist where rank <= 50"""))
+def q_stream_history(spark, sf_dir):
+    """The newest messages as the stream keeps them; the log, folded, holds the same."""
+    src = sources(spark, sf_dir)
+    base = scratch_path(spark, "history")
+    for _ in change_slices(spark, src, f"{base}/in", 1):
+        sinks = PL.run_stream(spark, src, f"{base}/in", f"{base}/out", f"{base}/ckpt",
+                              initial=src.frames["user_feature_vector"], max_files=None)
+    sinks.compact_messages(0)
+    kept, whole = (d.select("channel", "rank", "user_id", "type", "server_timestamp") for d in (sinks.history(), PL.channel_history(sinks.messages())))
+    return finish(kept.intersectAll(whole))
+
+
 LOADED = """loaded AS (select row_number() over (order by user_id_raiz % 3 = 0, user_id_raiz) as id, user_id_raiz,
    timestamp '{as_of}' as extraction_date, reciprocity_ratio_norm, days_since_last_seen_norm, ratio_night_messages,
    is_profile_incomplete, sentiment_negativity_index, num_community_categories_norm, int_gaming_one_hot,
@@ -511,6 +543,32 @@ def q_changes_per_window_stream(spark, sf_dir, chunks: int = 4):
     return finish(both.groupBy("window_start", "window_end", "table").agg(F.sum("n_changes").alias("n_changes")))
 
 
+@register("changes_per_window_sources", O.q(PC, final=f"""select {O.ts("date_trunc('hour', event_time)")} as window_start,
+  {O.ts("date_trunc('hour', event_time) + interval 1 hour")} as window_end, tbl as "table", count(*) as n_changes
+  from pv where event_time is not null group by date_trunc('hour', event_time), tbl"""))
+def q_changes_per_window_sources(spark, sf_dir, chunks: int = 3):
+    """S6 + T9: social and messaging changes from folders of their own, the messaging ones a
+    slice later; every change is counted in its window, none is late."""
+    src = sources(spark, sf_dir)
+    base = scratch_path(spark, "sources")
+    waiting = None
+    paths = {name: f"{base}/{name}" for name in ("social", "messaging")}
+    ev = src.frames["change_events"].select("event_id", "source", "channel",
+                                            F.col("received_at").cast("timestamp").alias("received_at"), "payload")
+    ends = ev.agg(F.min("received_at").alias("lo"), F.max("received_at").alias("hi")).first()
+    step = (ends["hi"] - ends["lo"]) / chunks
+    place = F.least(F.floor((F.col("received_at").cast("double") - ends["lo"].timestamp()) / step.total_seconds()), F.lit(chunks - 1))
+    for path in paths.values():
+        ev.limit(0).write.parquet(path)
+    for i in range(chunks + 1):
+        ev.filter((place == i) & (F.col("source") == "social")).write.mode("append").parquet(paths["social"])
+        if waiting is not None:
+            ev.filter((place == waiting) & (F.col("source") == "messaging")).write.mode("append").parquet(paths["messaging"])
+        waiting = i
+        out = PL.run_window_counts(spark, paths, f"{base}/out", f"{base}/ckpt")
+    return finish(out.counts())
+
+
 @register("ensemble_batch_scores", None)
 def q_ensemble_batch_scores(spark, sf_dir):
     """The stream's batch features scored by the fitted ensemble instead of T5."""

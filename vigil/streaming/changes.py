@@ -57,6 +57,13 @@ def change_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_file
     return r.load(path)
 
 
+def change_streams(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet",
+                   max_files: int | None = None) -> dict[str, DataFrame]:
+    """One stream for each source, by its name, which its events carry. Event ids
+    count within their source."""
+    return {name: change_stream(spark, path, fmt, max_files).withColumn("source", F.lit(name)) for name, path in paths.items()}
+
+
 def kafka_change_stream(spark: SparkSession, servers: str, topic: str, source: str) -> DataFrame:
     """S6 over Kafka (production): value = payload, timestamp = received_at.
     Needs the Kafka connector on the classpath; not exercised in tests."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -23,6 +23,7 @@ from ..functions import expressions as X
 from ..operators import reports as R
 from ..operators import sinks as K
 from ..operators.bucket_table import BucketTable
+from ..session import checkpoint, remove
 from ..sources import extract as E
 from ..sources.tables import SourceTables
 from . import changes as CH
@@ -175,7 +176,6 @@ def risk_transitions(history: DataFrame, key: str = "root_id", partitions: int |
     """
     order = ["received_at", "event_id"]
     n = partitions or int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    from ..session import checkpoint
     # range bounds are sampled per exchange: number the partitions once, in a written copy
     r = checkpoint(history.repartitionByRange(n, key, *order).withColumn("_p", F.spark_partition_id()))
     w = Window.partitionBy(key, "_p").orderBy(*order)
@@ -209,7 +209,6 @@ def score_changes(src: SourceTables, events: DataFrame, table: DataFrame | K.Fea
     rejects = CH.rejected_changes(parsed).unionByName(CH.unknown_users(valid, resolved))
     # the batch's users (bounded by the trigger size) feed every semi join below:
     # materialize them once instead of re-deriving parse → resolve → latest per use
-    from ..session import checkpoint
     latest = checkpoint(CH.latest_per_user(resolved).select("root_id", "table", "event_id",
                                                             F.col("received_at").alias("as_of")))
     found = (metrics or partial(affected_user_metrics, src))(latest.select("root_id"))
@@ -235,20 +234,77 @@ def score_changes(src: SourceTables, events: DataFrame, table: DataFrame | K.Fea
             "alerts": alerts}
 
 
+def _read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 @dataclass
 class StreamSinks:
     """Where the stream writes: feature table, messages, rejects."""
     spark: SparkSession
     root: str
     features: K.FeatureTable = field(init=False)
+    newest: BucketTable = field(init=False)
 
     def __post_init__(self):
         self.features = K.FeatureTable(self.spark, f"{self.root}/features")
+        self.newest = BucketTable(self.spark, f"{self.root}/newest", "channel", buckets=1)
 
     @property
     def messages_path(self) -> str:
         return f"{self.root}/messages"
 
+    def update_history(self, messages: DataFrame, batch_id: int, n: int = C.HISTORY_MAX) -> None:
+        """The newest n messages of every channel, from the last ones and the batch's."""
+        def combine(current: DataFrame | None, new: DataFrame, _) -> DataFrame:
+            new = new.withColumn("part", F.lit(None).cast("string"))
+            both = new if current is None else current.unionByName(new)
+            return channel_history(both, n, buckets=1).drop("rank")  # at most n + n rows of a channel
+
+        batch = channel_history(messages, n).select("channel", "user_id", "type", "server_timestamp", "body")
+        self.newest.merge(checkpoint(batch), combine, STREAM, batch_id)
+
+    def history(self, n: int = C.HISTORY_MAX) -> DataFrame:
+        """The newest n messages of every channel, ranked; the log isn't read."""
+        rows = self.newest.read()
+        if rows is None:
+            rows = self.spark.createDataFrame([], "channel string, user_id string, type string, server_timestamp timestamp, body string")
+        return channel_history(rows, n, buckets=1)
+
+    def _compacted(self) -> DataFrame | None:
+        return _read_if_written(self.spark, f"{self.root}/messages_old")
+
+    def messages(self) -> DataFrame:
+        """The whole message log: folded batches and those after them."""
+        columns = ["channel", "user_id", "type", "server_timestamp", "body"]
+        old, new = self._compacted(), _read_if_written(self.spark, self.messages_path)
+        if old is not None and new is not None:
+            new = new.filter(F.col("batch_id") > old.agg(F.max("upto")).first()[0])
+        parts = [p.select(*columns) for p in (old, new) if p is not None]
+        none = "channel string, user_id string, type string, server_timestamp timestamp, body string"
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], none)
+
+    def compact_messages(self, upto: int) -> None:
+        """Fold the log's batches up to one into a few files for each channel, and remove
+        their folders. Cut short after the write, the next call removes the rest."""
+        old, new = self._compacted(), _read_if_written(self.spark, self.messages_path)
+        done = -1 if old is None else old.agg(F.max("upto")).first()[0]
+        if new is None:
+            return
+        batches = [r[0] for r in new.filter(F.col("batch_id") <= upto).select("batch_id").distinct().collect()]
+        fresh = new.filter((F.col("batch_id") > done) & (F.col("batch_id") <= upto))
+        if any(b > done for b in batches):
+            (fresh.withColumn("upto", F.lit(upto)).drop("batch_id").repartition("channel", F.pmod(F.xxhash64("user_id"), F.lit(4)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upto", "channel")
+             .parquet(f"{self.root}/messages_old"))
+        for b in batches:
+            remove(self.spark, f"{self.messages_path}/batch_id={b}")
+
     @property
     def rejects_path(self) -> str:
         return f"{self.root}/rejects"
@@ -274,6 +330,7 @@ def make_batch_fn(src: SourceTables, sinks: StreamSinks, resolve_ids: bool = Tru
          .parquet(sinks.messages_path))
         (out["rejects"].withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sinks.rejects_path))
+        sinks.update_history(out["messages"], batch_id)
         sinks.features.upsert(out["updates"], STREAM, batch_id)
         out["scored"].unpersist()
         batch.unpersist()
@@ -297,15 +354,21 @@ def run_stream(spark: SparkSession, src: SourceTables, input_path: str, root: st
 
 # ---------------------------------------------------------------- T9 streaming form
 
-def distinct_changes(parsed: DataFrame, delay: str) -> DataFrame:
-    """Readable events, each id once; events behind the watermark are dropped. Spark
-    keeps the ids in its state store until the watermark has passed them."""
+def readable_changes(parsed: DataFrame) -> DataFrame:
     return (parsed.filter(~F.col("is_malformed") & F.col("event_time").isNotNull())
-            .select("event_id", "table", "event_time")
-            .withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"]))
+            .select("source", "event_id", "table", "event_time"))
+
+
+def distinct_changes(parsed: list[DataFrame], delay: str) -> DataFrame:
+    """Readable events of some sources, each id of a source once; events behind the
+    watermark are dropped. Every source has a watermark of its own and the least one
+    holds (Spark's default for several), so a source that lags loses nothing. Spark
+    keeps the ids in its state store until the watermark has passed them."""
+    marked = [readable_changes(p).withWatermark("event_time", delay) for p in parsed]
+    return reduce(DataFrame.unionByName, marked).dropDuplicatesWithinWatermark(["source", "event_id"])
 
 
-def windowed_change_counts(parsed: DataFrame, duration: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+def windowed_change_counts(parsed: list[DataFrame], duration: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     """Tumbling-window counts of distinct changes, in Spark's state store. In update
     mode a trigger gives the new totals of the windows it changed."""
     return (distinct_changes(parsed, delay).groupBy(F.window("event_time", duration).alias("w"), "table")
@@ -335,8 +398,8 @@ class WindowOutputs:
         return rows.drop("window_key")
 
     def events(self, name: str) -> DataFrame:
-        """``counted`` or ``late`` events (event_id, table, event_time, day, batch_id)."""
-        schema = "event_id long, table string, event_time timestamp, day date, batch_id long"
+        """``counted`` or ``late`` events (source, event_id, table, event_time, day, batch_id)."""
+        schema = "source string, event_id long, table string, event_time timestamp, day date, batch_id long"
         try:
             return self.spark.read.schema(schema).parquet(self.path(name))
         except AnalysisException as e:
@@ -349,7 +412,7 @@ class WindowOutputs:
 
     def write(self, events: DataFrame, name: str, batch_id: int) -> None:
         """Replace this batch's rows: a replayed batch leaves the output as it was."""
-        rows = events.select("event_id", "table", "event_time", F.to_date("event_time").alias("day"),
+        rows = events.select("source", "event_id", "table", "event_time", F.to_date("event_time").alias("day"),
                              F.lit(batch_id).cast("long").alias("batch_id"))
         (rows.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day", "batch_id").parquet(self.path(name)))
@@ -373,24 +436,28 @@ def window_batch(out: WindowOutputs):
         out.totals.merge(totals, _replace_totals, "windows", batch_id)
         out.write(kind["counted"], "counted", batch_id)
         # what wasn't counted now is late, unless it was counted (or late) in an earlier batch
-        rest = kind["raw"].dropDuplicates(["event_id"]).join(kind["counted"].select("event_id"), "event_id", "left_anti")
+        ids = ["source", "event_id"]
+        rest = kind["raw"].dropDuplicates(ids).join(kind["counted"].select(*ids), ids, "left_anti")
         days = [r[0] for r in rest.select(F.to_date("event_time")).distinct().collect()]  # a few, whatever the batch
         for name in ("counted", "late"):
             known = out.events(name).filter(F.col("day").isin(*days) & (F.col("batch_id") < batch_id))
-            rest = rest.join(known.select("event_id"), "event_id", "left_anti")
+            rest = rest.join(known.select(*ids), ids, "left_anti")
         out.write(rest, "late", batch_id)
         batch.unpersist()
     return run
 
 
-def run_window_counts(spark: SparkSession, input_path: str, root: str, checkpoint: str, max_files: int | None = None,
-                      duration: str = "1 hour", delay: str = "10 minutes") -> WindowOutputs:
-    """T9 end to end over a file stream, in one query: counts + late events = distinct
-    events. Watermark, seen ids and window totals are Spark's state; the side output
-    is checked against the counted ids of the late events' days."""
+def run_window_counts(spark: SparkSession, input_path: str | dict[str, str], root: str, checkpoint: str,
+                      max_files: int | None = None, duration: str = "1 hour", delay: str = "10 minutes") -> WindowOutputs:
+    """T9 end to end in one query over a file stream, or one for each source by name:
+    counts + late events = distinct events. Watermark, seen ids and window totals are
+    Spark's state; the side output is checked against the counted ids of the late
+    events' days."""
     out = WindowOutputs(spark, root)
-    parsed = CH.parse_changes(CH.change_stream(spark, input_path, max_files=max_files))
-    raw = parsed.filter(~F.col("is_malformed") & F.col("event_time").isNotNull()).select("event_id", "table", "event_time")
+    streams = (CH.change_streams(spark, input_path, max_files=max_files).values() if isinstance(input_path, dict)
+               else [CH.change_stream(spark, input_path, max_files=max_files)])
+    parsed = [CH.parse_changes(s) for s in streams]
+    raw = reduce(DataFrame.unionByName, [readable_changes(p) for p in parsed])
     parts = {"raw": raw, "counted": distinct_changes(parsed, delay), "total": windowed_change_counts(parsed, duration, delay)}
     both = None
     for kind, rows in parts.items():
@@ -404,37 +471,110 @@ def run_window_counts(spark: SparkSession, input_path: str, root: str, checkpoin
 
 # ---------------------------------------------------------------- T10
 
-
-
 def transition_schema(events: DataFrame) -> T.StructType:
-    """Output of T10: the id columns keep the types of the events."""
+    """Output of T10: the id columns keep the types of the events. ``is_first``: nothing
+    was known of the user; ``is_late``: older than what was known."""
     return T.StructType([
         T.StructField("root_id", events.schema["root_id"].dataType),
         T.StructField("event_id", events.schema["event_id"].dataType),
         T.StructField("received_at", T.TimestampType()), T.StructField("risk_level", T.StringType()),
         T.StructField("previous_level", T.StringType()), T.StructField("is_transition", T.BooleanType()),
+        T.StructField("is_first", T.BooleanType()), T.StructField("is_late", T.BooleanType()),
     ])
 
 
-STATE_SCHEMA = T.StructType([T.StructField("last_level", T.StringType())])
-
-
-def _transitions(key, pdfs, state):
+def _transitions(key, pdfs, state, idle_ms: int | None):
+    """The rows of one user in a trigger, in order, against the state: last level, time and id."""
+    if state.hasTimedOut:
+        state.remove()
+        return
     rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["received_at", "event_id"], ignore_index=True)
-    level = rows["risk_level"]
+    known = state.get if state.exists else None
+    last = None if known is None else (pd.Timestamp(known[1]), known[2])
+    late = [last is not None and (at, i) <= last for at, i in zip(rows["received_at"], rows["event_id"])]
+    first = len(late) if all(late) else late.index(False)  # late rows come first
+    level = rows["risk_level"][first:]
     previous = level.shift(1)
-    previous.iloc[0] = state.get[0] if state.exists else None
-    state.update((level.iloc[-1],))
+    if len(level):
+        previous.iloc[0] = None if known is None else known[0]
+        end = rows.iloc[-1]
+        state.update((level.iloc[-1], end["received_at"].to_pydatetime(), int(end["event_id"])))
+    if idle_ms is not None:
+        at = pd.Timestamp(state.get[1])
+        state.setTimeoutTimestamp(max(int(at.value // 10**6) + idle_ms, state.getCurrentWatermarkMs() + 1))
     same = (previous == level) | (previous.isna() & level.isna())
-    yield rows[["root_id", "event_id", "received_at", "risk_level"]].assign(
-        previous_level=previous.where(previous.notna(), None), is_transition=~same)
+    out = rows[["root_id", "event_id", "received_at", "risk_level"]].assign(previous_level=None, is_transition=None)
+    out.loc[first:, "previous_level"] = previous.where(previous.notna(), None)
+    out["is_transition"] = [None] * first + (~same).tolist()
+    yield out.assign(is_first=[known is None and k == first for k in range(len(out))], is_late=late)
 
 
-def stateful_transitions(scored_events: DataFrame) -> DataFrame:
-    """Keyed transition detector (state = last level per user) for streams."""
+def stateful_transitions(scored_events: DataFrame, idle: str | None = None, delay: str = "0 seconds") -> DataFrame:
+    """Keyed transition detector (state = last level per user) for streams. With
+    ``idle`` (in event time) the state of users without events for so long is dropped:
+    it is bounded by the active users."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    schema = transition_schema(scored_events)
+    if idle is not None:
+        scored_events = scored_events.withWatermark("received_at", delay)
+    idle_ms = None if idle is None else int(pd.Timedelta(idle).total_seconds() * 1000)
+
+    def run(key, pdfs, state):
+        return _transitions(key, pdfs, state, idle_ms)
+
+    state = T.StructType([T.StructField("last_level", T.StringType()), T.StructField("last_at", T.TimestampType()),
+                          T.StructField("last_id", T.LongType())])
     return (scored_events.select("root_id", "event_id", "received_at", "risk_level")
             .groupBy("root_id")
-            .applyInPandasWithState(_transitions, transition_schema(scored_events), STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
+            .applyInPandasWithState(run, schema, state, "append",
+                                    GroupStateTimeout.NoTimeout if idle is None else GroupStateTimeout.EventTimeTimeout))
+
+
+def run_transitions(scored_stream: DataFrame, root: str, checkpoint_path: str, idle: str, delay: str = "0 seconds") -> DataFrame:
+    """T10 end to end with bounded state: the last level of every user is also kept in a
+    table, where a user that comes back after its state was dropped finds it. Late rows,
+    also those that Spark drops behind the watermark, are written with ``is_late`` and no
+    previous level. Returns what was written."""
+    spark = scored_stream.sparkSession
+    last = BucketTable(spark, f"{root}/last", "root_id", buckets=8)
+    columns = [f.name for f in transition_schema(scored_stream).fields]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = checkpoint(batch)  # the state is asked once
+        rows = batch.filter("NOT raw").drop("raw")
+        dropped = batch.filter("raw").drop("raw").dropDuplicates(["root_id", "event_id"]).join(
+            rows.select("root_id", "event_id"), ["root_id", "event_id"], "left_anti")
+        stored = last.read_keys(rows.filter("is_first"), "root_id")
+        if stored is not None:
+            stored = stored.select("root_id", "last_level", "last_at", "last_id")
+            rows = rows.join(stored, "root_id", "left")
+            # a first row older than what is stored is late after all
+            old = F.col("is_first") & (F.struct("received_at", "event_id") <= F.struct("last_at", "last_id"))
+            back = F.col("is_first") & F.col("last_at").isNotNull() & ~old
+            rows = rows.withColumns({
+                "previous_level": F.when(back, F.col("last_level")).otherwise(F.col("previous_level")),
+                "is_transition": F.when(back, ~F.col("last_level").eqNullSafe(F.col("risk_level"))).when(old, None).otherwise(F.col("is_transition")),
+                "is_late": F.coalesce(old, F.lit(False)) | F.col("is_late")})
+        rows = checkpoint(rows.select(*columns).unionByName(dropped.select(*columns)))
+        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(f"{root}/transitions"))
+        newest = rows.filter("NOT is_late").groupBy("root_id").agg(F.max_by(F.struct("risk_level", "received_at", "event_id"),
+                                                                           F.struct("received_at", "event_id")).alias("l"))
+        newest = newest.select("root_id", F.col("l.risk_level").alias("last_level"), F.col("l.received_at").alias("last_at"),
+                               F.col("l.event_id").alias("last_id"))
+
+        def combine(current: DataFrame | None, new: DataFrame, _) -> DataFrame:
+            new = new.withColumn("part", F.lit(None).cast("string"))
+            return new if current is None else current.join(new.select("root_id"), "root_id", "left_anti").unionByName(new)
+
+        last.merge(newest, combine, STREAM, batch_id)
+
+    found = stateful_transitions(scored_stream, idle, delay).withColumn("raw", F.lit(False))
+    raw = scored_stream.select("root_id", "event_id", "received_at", "risk_level", F.lit(None).cast("string").alias("previous_level"),
+                               F.lit(None).cast("boolean").alias("is_transition"), F.lit(False).alias("is_first"),
+                               F.lit(True).alias("is_late"), F.lit(True).alias("raw"))
+    q = (found.unionByName(raw).writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/transitions").select(*columns)
