@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..session import checkpoint
 
-#: Half the width between the bounds of the mean at which the cells are fine enough.
+#: Distance of the mean's bounds from the estimate at which the cells are fine enough.
 ERROR = 1e-3
 #: Deviation of the first cells, in roots of the error: a deviation d widens a distance
 #: r by d²/2r, so the bounds ask for some root of the error.
@@ -173,11 +173,13 @@ def silhouette(df: DataFrame, cols: list[str] | None = None, cluster: str = "kme
     while True:
         cells = _cells(rows, cols, clusters)
         low, high, middle, added = _measure(rows, cols, clusters, cells)
+        middle = min(max(middle, low), high)
+        within = max(high - middle, middle - low)
         added = np.where(cells.variance > 0, added, 0.0)
-        if (high - low) / 2 <= error or not added.any():
+        if within <= error or not added.any():
             break
         # a halved cell keeps some half of its width: go for twice what is too much
-        share = min(0.9, 2.2 * (1 - 2 * error / (high - low)))
+        share = min(0.9, 2.2 * (1 - error / within))
         rows = checkpoint(_halve(rows, cols, cells, _heaviest(added, share)))
     shared = rows.sparkSession.sparkContext.broadcast(cells)
 
@@ -188,5 +190,4 @@ def silhouette(df: DataFrame, cols: list[str] | None = None, cluster: str = "kme
 
     id_type, cluster_type = (rows.schema[c].dataType.simpleString() for c in ("id", "cluster"))
     scored = rows.mapInPandas(score, f"id {id_type}, cluster {cluster_type}, silhouette double, silhouette_low double, silhouette_high double")
-    middle = min(max(middle, low), high)
-    return scored.select(*names, "silhouette", "silhouette_low", "silhouette_high"), float(middle), float(max(high - middle, middle - low))
+    return scored.select(*names, "silhouette", "silhouette_low", "silhouette_high"), float(middle), float(within)
