@@ -10,7 +10,8 @@ whole texts are read in the tasks.
 Edge cases: a null text, or one without letters, is ``und`` with score 0; without
 labelled documents every text is ``und``; with one language it is that language;
 a language missing from FAMILIES is a family of its own; equal texts get equal
-answers; an empty table gives no rows; other columns are ignored.
+answers; texts of any length are read whole; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,8 +16,8 @@ shuffled, and the result is the same.
 Edge cases: a null or empty text is one empty line, which is kept; white-space and
 short lines are kept; a null doc_id counts as one document, smaller than all others;
 rows with the same doc_id are one document; a key twice in a document counts once,
-and all its lines go or stay together; equal rows give equal results; an empty table
-gives no rows; other columns pass through.
+and all its lines go or stay together; texts and lines of any length are read whole;
+equal rows give equal results; an empty table gives no rows; other columns pass through.
 """
 
 from __future__ import annotations

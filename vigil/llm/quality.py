@@ -8,7 +8,8 @@ on the masks alone.
 
 Edge cases: null and empty texts have no words and all measurements 0; a text
 without words fails ``few_words`` and no ratio rule; equal rows give equal ledger
-rows; an empty table gives an empty ledger; other columns are ignored.
+rows; texts of any length are measured whole; an empty table gives an empty ledger;
+other columns are ignored.
 """
 
 from __future__ import annotations

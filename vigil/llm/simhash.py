@@ -23,6 +23,7 @@ unchanged ones, so its fingerprints go to more shards that agree in more bits. S
 that stay dense at ``MOST_BLOCKS`` agree in 40 of 64 bits.
 
 Edge cases: null and empty texts have fingerprint zero, which links like any other;
+texts of any length are read whole, in memory of a few times the text;
 a text with fewer words than a shingle is one shingle; equal rows share group and
 fingerprint; a null doc_id never names a group that holds another id, and a group
 of null ids only has a null component_id; empty tables give no rows; other columns

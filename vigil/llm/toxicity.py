@@ -6,7 +6,8 @@ sample: at most ``per_label`` labelled documents of each label, of which only th
 hashed terms leave the tasks. Scoring runs in the tasks with the broadcast model,
 whose size is bounded by the terms kept from the sample.
 
-Edge cases: a null or empty text has no terms and scores the machine's bias;
+Edge cases: a null or empty text has no terms and scores the machine's bias; texts of
+any length are scored whole;
 documents without label are only scored; a label table that is empty or knows one
 label gives a constant score; equal texts get equal scores; an empty table gives no
 rows; other columns pass through ``keep_clean``.

@@ -8,7 +8,8 @@ that rule paths have. Expressions meet rules on the first four bytes of their
 SHA-256, and the full digests confirm. Of the rules that fit, the longest text
 (host + path) wins; at equal length the longer host, then block before allow.
 
-Edge cases: a null URL or one without ``://`` has an empty host and path and fits
+Edge cases: A-Z in a rule's host count as lower case; URLs of any length are judged
+whole; a null URL or one without ``://`` has an empty host and path and fits
 no rule; without a fitting rule the verdict is the default; an empty path fits
 only a rule with an empty path; equal rows are all returned; of rules with equal
 host and path, block counts; an empty rule table leaves the default everywhere;
@@ -47,7 +48,7 @@ def _digest(host: Column, path: Column) -> Column:
 
 def _rule_table(rules: DataFrame) -> DataFrame:
     """Unique rules with their digests; (host, path) given twice counts as block."""
-    r = rules.select(F.coalesce("host", F.lit("")).alias("rhost"), F.coalesce("path", F.lit("")).alias("rpath"),
+    r = rules.select(lower_ascii(F.coalesce("host", F.lit(""))).alias("rhost"), F.coalesce("path", F.lit("")).alias("rpath"),
                      (F.col("verdict") == "block").cast("int").alias("block"))
     r = r.filter(F.col("rhost") != "").groupBy("rhost", "rpath").agg(F.max("block").alias("block"))
     digest = _digest(F.col("rhost"), F.col("rpath"))
