@@ -126,8 +126,8 @@ class Model:
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """Fit on documents with a language that aren't held out."""
     small_batches(docs.sparkSession)
-    labels = docs.select("doc_id", F.col("lang").alias("label"))
-    with_text = docs.filter(F.col("text").isNotNull())
+    with_text = docs.filter(F.col("text").isNotNull())  # others take no place in the sample
+    labels = with_text.select("doc_id", F.col("lang").alias("label"))
 
     @F.pandas_udf("binary")
     def grams(text: pd.Series) -> pd.Series:
