@@ -12,8 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 
 
-#: Terms that are held against as many others at once.
-PAIR_BLOCK = 1024
+#: Terms whose bits are set at once.
+PAIR_BLOCK = 2048
 
 
 @dataclass
@@ -61,39 +61,50 @@ def paired(flat: np.ndarray, rows: np.ndarray, y: np.ndarray, ids: np.ndarray, l
     """Terms of pairs that depend on the label together: among the texts with one of the
     two, the label depends on the other by at least ``least`` standard deviations, and
     the other way round. Whether a term alone tells anything doesn't matter. ``ids`` are
-    sorted and in at least least² texts: fewer can't deviate that far. Counts come from
-    products of a matrix of 0 and 1, block by block; it holds a byte for each text and term."""
+    sorted and in at least least² texts: fewer can't deviate that far. A term is a row of
+    bits, one for each text; two rows have as many texts in common as bits."""
     if not len(ids):
         return ids
     ids = _distinct(flat, rows, ids, len(y))
-    at = np.searchsorted(ids, flat)
-    known = ids[np.minimum(at, len(ids) - 1)] == flat
-    place = np.empty(len(y), dtype=np.int64)
-    place[np.argsort(-y, kind="stable")] = np.arange(len(y))  # positive texts first
-    x = np.zeros((len(ids), len(y)), np.uint8)  # a byte for each text and term
-    x[at[known], place[rows[known]]] = 1
+    column = np.full(int(flat.max()) + 1, -1, np.int32)
+    column[ids] = np.arange(len(ids))
+    column = column[flat]
+    # a bit for each text; positive texts first, the others from a new word on
     pos = int((y > 0).sum())
-    n, n_pos = x.sum(axis=1, dtype=np.float32), x[:, :pos].sum(axis=1, dtype=np.float32)
+    words = -(-pos // 64)
+    place = np.empty(len(y), dtype=np.int32)
+    place[y > 0], place[y <= 0] = np.arange(pos), 64 * words + np.arange(len(y) - pos)
+    bits = np.zeros((len(ids), words + -(-(len(y) - pos) // 64)), np.uint64)
+    for start in range(0, len(ids), PAIR_BLOCK):
+        some = (column >= start) & (column < start + PAIR_BLOCK)
+        dense = np.zeros((min(PAIR_BLOCK, len(ids) - start), 64 * bits.shape[1]), np.uint8)
+        dense[column[some] - start, place[rows[some]]] = 1
+        bits[start:start + PAIR_BLOCK] = np.packbits(dense, axis=1).view(np.uint64)
+    del column, dense, some
+
+    def counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts and positive texts of rows of bits."""
+        per_word = np.bitwise_count(x)
+        positive = per_word[:, :words].sum(axis=1, dtype=np.int32)
+        return positive + per_word[:, words:].sum(axis=1, dtype=np.int32), positive
+
+    n, n_pos = counts(bits)
     share = n_pos / n
     found = np.zeros(len(ids), dtype=bool)
 
     def deviates(both: np.ndarray, both_pos: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
         """Texts with both, against the share of positives among the n with one."""
         spread = both * (share * (1 - share)) * (1 - both / n)
-        return (both_pos - both * share) ** 2 >= least**2 * np.maximum(spread, np.float32(1e-6))
-
-    for i in range(0, len(ids), PAIR_BLOCK):
-        one = slice(i, i + PAIR_BLOCK)
-        a = x[one].astype(np.float32)
-        for j in range(i, len(ids), PAIR_BLOCK):
-            other = slice(j, j + PAIR_BLOCK)
-            b = x[other].astype(np.float32).T
-            both_pos = a[:, :pos] @ b[:pos]
-            both = both_pos + a[:, pos:] @ b[pos:]
-            hit = (both >= least**2) & deviates(both, both_pos, n[one, None], share[one, None])
-            hit &= deviates(both, both_pos, n[other], share[other])
-            found[one] |= hit.any(axis=1)
-            found[other] |= hit.any(axis=0)
+        return (both_pos - both * share) ** 2 >= least**2 * np.maximum(spread, 1e-6)
+
+    for i in range(len(ids) - 1):
+        both, both_pos = counts(bits[i + 1:] & bits[i])
+        at = np.flatnonzero(both >= least**2)
+        both, both_pos = both[at], both_pos[at]
+        at += i + 1
+        hit = at[deviates(both, both_pos, n[i], share[i]) & deviates(both, both_pos, n[at], share[at])]
+        found[hit] = True
+        found[i] |= len(hit) > 0
     return ids[found]
 
 
