@@ -115,10 +115,9 @@ def append_features(table: FeatureTable, features: DataFrame, as_of: str, check:
     start = table.state().next_id
     new = checkpoint(conform(assign_ids(with_load_columns(features, as_of), start=start)))
     if check:
-        cur = table.read().select("user_id_raiz")
-        clash = assert_feature_table(new).select("user_id_raiz").unionByName(
-            new.join(cur, "user_id_raiz", "left_semi").select("user_id_raiz"))
-        if not clash.isEmpty():
+        there = table.read().select(F.col("user_id_raiz").cast("string").alias("_id"))
+        again = new.join(there, F.col("user_id_raiz").cast("string") == F.col("_id"), "left_semi")
+        if not (assert_feature_table(new).isEmpty() and again.isEmpty()):
             raise ValueError("append would duplicate user_id_raiz (unique key)")
     n = new.count()
     table.append(new, next_id=start + n)
