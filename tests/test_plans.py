@@ -45,3 +45,18 @@ def test_aggregate_before_join(spark, sf_dir):
 def test_trends_read_only_recent_days(spark, sf_dir):
     plan = physical(REG["kpi_trends_by_day"][0](spark, sf_dir))
     assert "PartitionFilters: [isnotnull(extraction_day" in plan and "extraction_day#" in plan
+
+
+def test_trends_by_day_have_the_same_means(spark, sf_dir):
+    from vigil.operators import reports as R
+    from vigil.operators import sinks as K
+    from vigil.plans.contract import REPORT_AS_OF, feature_table
+    from vigil.session import scratch_path
+
+    path = scratch_path(spark, "by_day")
+    K.write_by_day(feature_table(spark, sf_dir), path)
+    one, other = (R.kpi_trends(d, REPORT_AS_OF, 24).collect() for d in (feature_table(spark, sf_dir), spark.read.parquet(path)))
+    assert len(one) == len(other) > 0
+    for a, b in zip(one, other):
+        assert (a.time_bucket, a.user_count) == (b.time_bucket, b.user_count)
+        assert max(abs(a[c] - b[c]) for c in ("avg_inactivity", "avg_negativity", "avg_night_ratio")) < 0.0011
