@@ -180,3 +180,22 @@ def test_new_rows_against_brute_force_neighbours(spark):
     want = [min(pdf["dbscan_cluster"][n], default=-1) for n in near]
     got = DB.assign_to_fit(spark.createDataFrame(pd.DataFrame(new, columns=FC).assign(user_id_raiz=range(150))), core, eps=0.25)
     assert [r.dbscan_cluster for r in got.orderBy("user_id_raiz").collect()] == want and len(set(want)) > 1
+
+
+def test_silhouette_deals_rows_not_bytes(spark):
+    """Rows of few bytes in one partition are measured by several tasks."""
+    n = 2 * SI.TASK_ROWS + 1
+    rows = spark.range(n).coalesce(1).select(F.col("id").alias("user_id_raiz"), (F.col("id") % 2).cast("int").alias("kmeans_cluster"),
+                                             ((F.col("id") % 2) + (F.col("id") % 7) / 70).alias("x"))
+    scored, mean, error = SI.silhouette(rows, ["x"], error=0.02)
+    assert scored.rdd.getNumPartitions() >= 3 and scored.count() == n
+    assert error <= 0.02 and 0.8 < mean < 1
+
+
+def test_silhouette_distances_do_not_cancel():
+    rng = np.random.default_rng(5)
+    mean = rng.random((40, 6)) + 100.0
+    x = np.vstack([mean[:20], mean[20:] + 1e-9, rng.random((20, 6)) + 100.0])
+    exact = ((x[:, None, :] - mean[None]) ** 2).sum(axis=2)
+    got = SI._distances(x, mean)
+    assert np.abs(np.sqrt(got) - np.sqrt(exact)).max() < 1e-8 and (got[np.arange(20), np.arange(20)] == 0).all()
