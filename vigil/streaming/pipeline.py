@@ -437,11 +437,12 @@ def window_batch(out: WindowOutputs):
         out.write(kind["counted"], "counted", batch_id)
         # what wasn't counted now is late, unless it was counted (or late) in an earlier batch
         ids = ["source", "event_id"]
-        rest = kind["raw"].dropDuplicates(ids).join(kind["counted"].select(*ids), ids, "left_anti")
+        # ids grow with the events: they are shuffled, never sent to the driver to be broadcast
+        rest = kind["raw"].dropDuplicates(ids).join(kind["counted"].select(*ids).hint("merge"), ids, "left_anti")
         days = [r[0] for r in rest.select(F.to_date("event_time")).distinct().collect()]  # a few, whatever the batch
         for name in ("counted", "late"):
             known = out.events(name).filter(F.col("day").isin(*days) & (F.col("batch_id") < batch_id))
-            rest = rest.join(known.select(*ids), ids, "left_anti")
+            rest = rest.join(known.select(*ids).hint("merge"), ids, "left_anti")
         out.write(rest, "late", batch_id)
         batch.unpersist()
     return run
