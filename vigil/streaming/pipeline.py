@@ -489,25 +489,27 @@ def _transitions(key, pdfs, state, idle_ms: int | None):
     if state.hasTimedOut:
         state.remove()
         return
-    rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["received_at", "event_id"], ignore_index=True)
+    # most users have a few rows: plain values, as each call of pandas costs more than they do
+    parts = list(pdfs)
+    rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    if len(rows) > 1:
+        rows = rows.sort_values(["received_at", "event_id"])
+    at, ids = rows["received_at"].tolist(), rows["event_id"].tolist()
+    level = [v if isinstance(v, str) else None for v in rows["risk_level"].tolist()]
     known = state.get if state.exists else None
     last = None if known is None else (pd.Timestamp(known[1]), known[2])
-    late = [last is not None and (at, i) <= last for at, i in zip(rows["received_at"], rows["event_id"])]
+    late = [last is not None and (t, i) <= last for t, i in zip(at, ids)]
     first = len(late) if all(late) else late.index(False)  # late rows come first
-    level = rows["risk_level"][first:]
-    previous = level.shift(1)
-    if len(level):
-        previous.iloc[0] = None if known is None else known[0]
-        end = rows.iloc[-1]
-        state.update((level.iloc[-1], end["received_at"].to_pydatetime(), int(end["event_id"])))
+    previous = [None] * first + [None if known is None else known[0], *level[first:-1]][:len(level) - first]
+    if first < len(level):
+        state.update((level[-1], at[-1].to_pydatetime(), int(ids[-1])))
     if idle_ms is not None:
-        at = pd.Timestamp(state.get[1])
-        state.setTimeoutTimestamp(max(int(at.value // 10**6) + idle_ms, state.getCurrentWatermarkMs() + 1))
-    same = (previous == level) | (previous.isna() & level.isna())
-    out = rows[["root_id", "event_id", "received_at", "risk_level"]].assign(previous_level=None, is_transition=None)
-    out.loc[first:, "previous_level"] = previous.where(previous.notna(), None)
-    out["is_transition"] = [None] * first + (~same).tolist()
-    yield out.assign(is_first=[known is None and k == first for k in range(len(out))], is_late=late)
+        newest = pd.Timestamp(state.get[1])
+        state.setTimeoutTimestamp(max(int(newest.value // 10**6) + idle_ms, state.getCurrentWatermarkMs() + 1))
+    changed = [None] * first + [p != v for p, v in zip(previous[first:], level[first:])]
+    yield pd.DataFrame({"root_id": rows["root_id"].array, "event_id": rows["event_id"].array, "received_at": rows["received_at"].array,
+                        "risk_level": level, "previous_level": previous, "is_transition": changed,
+                        "is_first": [known is None and k == first for k in range(len(level))], "is_late": late})
 
 
 def stateful_transitions(scored_events: DataFrame, idle: str | None = None, delay: str = "0 seconds") -> DataFrame:
