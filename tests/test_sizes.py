@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+
 from vigil import fixtures
 from vigil.operators import dbscan as DB
 

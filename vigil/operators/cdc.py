@@ -7,7 +7,9 @@ field, field_changed, timestamp). Null-safe comparison (IS DISTINCT FROM).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,12 +51,22 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, compare: list[str],
                       payload.alias("payload"))
 
 
-def row_images(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(seq, before, after) of the rows that two snapshots of a table hold differently:
-    images as structs of the columns, null where a snapshot lacks the row."""
-    def image(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col(key).alias("_key"), F.struct(*columns).alias(name))
+def row_images(old: DataFrame, new: DataFrame, key: str | list[str], columns: list[str]) -> DataFrame:
+    """(row_key, seq, before, after) of the rows that two snapshots of a table hold differently:
+    images as structs of the columns, null where a snapshot lacks the row. A key of several
+    columns may hold nulls. The images are built behind the join: each column moves once."""
+    keys = [key] if isinstance(key, str) else key
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{s}_{c}") for c in dict.fromkeys([*keys, *columns])], F.lit(True).alias(s))
+
+    def image(s: str) -> Column:
+        return F.when(F.col(s), F.struct(*[F.col(f"{s}_{c}").alias(c) for c in columns]))
 
-    both = image(old, "before").join(image(new, "after"), "_key", "full_outer")
-    changed = both.filter(~F.col("before").eqNullSafe(F.col("after")))
-    return changed.select(F.col("_key").cast("string").alias("row_key"), F.lit(0).cast("long").alias("seq"), "before", "after")
+    pairs = [(F.col(f"o_{k}"), F.col(f"n_{k}")) for k in keys]
+    same = pairs[0][0] == pairs[0][1] if len(keys) == 1 else reduce(lambda x, y: x & y, [o.eqNullSafe(n) for o, n in pairs])
+    ids = [F.coalesce(o, n).cast("string") for o, n in pairs]
+    both = side(old, "o").join(side(new, "n"), same, "full_outer").select(
+        (ids[0] if len(ids) == 1 else F.concat_ws(":", *ids)).alias("row_key"), F.lit(0).cast("long").alias("seq"),
+        image("o").alias("before"), image("n").alias("after"))
+    return both.filter(~F.col("before").eqNullSafe(F.col("after")))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..operators.bucket_table import BUCKETS, BucketTable
+from ..operators.bucket_table import BUCKETS, MERGED, BucketTable
 from ..session import checkpoint
 from ..sources import extract as E
 from ..sources.tables import SourceTables
@@ -62,11 +62,15 @@ def _counts(table: str, rows: DataFrame, sign: int = 1) -> DataFrame:
         *[F.sum(m * sign).cast("long").alias(name) for name, m in _measures(table).items()])
 
 
-def _add(table: str, current: DataFrame | None, delta: DataFrame) -> DataFrame:
-    delta = delta.withColumn("part", F.lit(None).cast("string"))
-    both = delta if current is None else current.unionByName(delta)
+def _add(table: str, current: DataFrame | None, delta: DataFrame, parts: tuple[str, ...] = (MERGED,)) -> DataFrame:
+    # a row's part goes through the aggregation as a number, not as the text
+    known = F.array(*[F.lit(p) for p in sorted(parts)])
+    delta = delta.withColumn("part", F.lit(None).cast("long"))
+    both = delta if current is None else current.withColumn("part", F.array_position(known, F.col("part"))).select(*delta.columns).unionByName(delta)
     names = list(_measures(table))
-    return both.groupBy(*COUNTED[table][1]).agg(*[F.sum(n).cast("long").alias(n) for n in names], F.max("part").alias("part"))
+    out = both.groupBy(*COUNTED[table][1]).agg(*[F.sum(n).cast("long").alias(n) for n in names], F.max("part").alias("part"))
+    # element_at alone takes a null place for some element
+    return out.withColumn("part", F.when(F.col("part").isNotNull(), F.element_at(known, F.col("part").cast("int"))))
 
 
 class MaintainedMetrics:
@@ -94,7 +98,7 @@ class MaintainedMetrics:
                   for image, sign in (("before", -1), ("after", 1))]
         # one row for each key of the batch, whatever the number of its changes
         delta = checkpoint(_add(t, None, images[0].unionByName(images[1])).drop("part"))
-        self.tables[t].merge(delta, lambda current, d, _: _add(t, current, d), WRITER, batch_id)
+        self.tables[t].merge(delta, lambda current, d, st: _add(t, current, d, st.parts), WRITER, batch_id)
 
     def _apply_keyed(self, t: str, rows: DataFrame, batch_id: int) -> None:
         keys, columns = KEYED[t]
